@@ -31,9 +31,14 @@ def query(name: str, operators: tuple[str, ...] | list[str] = (), sql: str | Non
 
 
 def r6(c: Column | str) -> Column:
-    """Doubles are compared at 6 decimals on both sides."""
+    """Doubles are compared at 6 decimals on both sides.
+
+    Scale, round half away from zero, unscale -- the same floating-point steps
+    as the SQL side's ``round(x, 6)``, so a value whose scaled form is just
+    below .5 rounds the same way on both engines.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), 6)
+    return F.round(col.cast("double") * F.lit(1e6)) / F.lit(1e6)
 
 
 def sql_index(order: str, partition: str | None = None) -> str:

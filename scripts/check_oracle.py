@@ -16,6 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from myosig.plans import all_queries  # noqa: E402
 from myosig.session import local_session  # noqa: E402
@@ -33,11 +34,11 @@ def duck(sf_dir):
 
 
 def norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return "NaN"
+            return None  # pandas turns NULL in numeric columns into NaN
         return round(v, 6)
     if hasattr(v, "tolist"):
         v = v.tolist()
