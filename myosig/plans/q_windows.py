@@ -260,3 +260,34 @@ def q_target_mean(spark, sf_dir):
         ix, 8, 4, series=["subject"], inclusive_end=False, aggs={"gait_mean": ft.target_mean("gait"), "x_mean": ft.mean("x")}
     )
     return w.select("subject", "window_id", r6("gait_mean").alias("gait_mean"), r6("x_mean").alias("x_mean"))
+
+
+# --------------------------------------------------------------------- per-channel features of an electrode grid
+@query(
+    "sliding_channel_features",
+    ["WIN-02", "AGG-02", "AGG-03", "AGG-05", "AGG-06"],
+    sql=f"""
+WITH g AS (SELECT vec_id, embedding, {sql_index('vec_id')} AS idx, count(*) OVER () AS n_rows FROM embeddings),
+l AS (SELECT idx, n_rows, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS ch, CAST(unnest(embedding) AS DOUBLE) AS v FROM g),
+m AS (SELECT *, unnest({sql_window_ids(8, 4)}) AS window_id FROM l),
+pc AS (SELECT window_id, ch, avg(abs(v)) AS mav, sqrt(avg(v * v)) AS rms, avg(v) AS mean_v, sum(v * v) AS energy
+       FROM m GROUP BY window_id, ch)
+SELECT window_id, round(avg(mav), 6) AS mav_avg, round(avg(rms), 6) AS rms_avg, round(avg(mean_v), 6) AS mean_avg,
+       round(avg(energy), 6) AS energy_avg, round(max(mav), 6) AS mav_max
+FROM pc GROUP BY window_id
+""",
+)
+def q_sliding_channels(spark, sf_dir):
+    from myosig.operators.profile import channel_long
+
+    g = with_row_index(adapters.grid(spark, sf_dir), ["idx"], name="pos", count_name="n_rows")
+    long = channel_long(g, "emg_ta", keys=["pos", "n_rows"]).withColumn("v", F.col("v").cast("double"))
+    per_ch = sliding_windows(
+        long, 8, 4, series=["ch"], idx="pos",
+        aggs={"mav": ft.mav("v"), "rms": ft.rms("v"), "mean_v": ft.mean("v"), "energy": ft.energy("v")},
+    )
+    w = per_ch.groupBy("window_id").agg(
+        F.avg("mav").alias("mav_avg"), F.avg("rms").alias("rms_avg"), F.avg("mean_v").alias("mean_avg"),
+        F.avg("energy").alias("energy_avg"), F.max("mav").alias("mav_max"),
+    )
+    return w.select("window_id", *[r6(c).alias(c) for c in ["mav_avg", "rms_avg", "mean_avg", "energy_avg", "mav_max"]])
