@@ -129,55 +129,67 @@ def kalman_smooth(
     q_ratio: float = 0.4,
     out: str | None = None,
     block: int = 1 << 16,
+    rows_per_group: int = 1 << 20,
 ) -> DataFrame:
     """WIN-09: scalar Kalman filter x_i = x_{i-1} + K_i (z_i - x_{i-1}), x_0 = z_0.
 
     With P0 = R and Q = q*R the gains depend only on i and q, and the effect of
-    the starting state dies out geometrically.  Each block therefore restarts
-    the recurrence ``halo`` rows early (copied from the previous block) and
-    reproduces the sequential result to double precision; blocks run in
-    parallel through ``applyInPandas``.  A constant series (R = 0, where the
-    source divides 0/0) is returned unchanged.
+    the starting state dies out geometrically.  Each block of a series therefore
+    restarts the recurrence ``halo`` rows early (copied from the same series'
+    previous block) and reproduces the sequential result to double precision.
+    Tasks are keyed by (hash bucket of the series, block), so many short series
+    share one pandas call while a long series is still cut into blocks.  A
+    constant series (R = 0, where the source divides 0/0) is returned unchanged.
     """
     out = out or f"{value}_kalman"
     series = list(series)
     halo = _kalman_halo(q_ratio)
     if halo >= block:
         raise ValueError("block too small for the filter's memory")
-    var = df.groupBy(*series).agg(F.var_pop(value).alias("_var")) if series else None
-    d = df.join(var, series) if series else df.withColumn("_var", F.lit(1.0))
-    if not series:
-        # the single series variance is one scalar
+    if series:
+        var = df.groupBy(*series).agg(F.var_pop(value).alias("_var"))
+        d = df.join(var, series)
+        n = df.count()  # one scalar: sizes the number of buckets
+        buckets = max(1, int(np.ceil(n / rows_per_group)))
+        d = d.withColumn("_bkt", F.pmod(F.xxhash64(*series), F.lit(buckets)))
+    else:
         v = df.agg(F.var_pop(value)).first()[0]
-        d = df.withColumn("_var", F.lit(float(v) if v is not None else 0.0))
+        d = df.withColumn("_var", F.lit(float(v) if v is not None else 0.0)).withColumn("_bkt", F.lit(0).cast("bigint"))
     u = _halo_blocks(d, idx, block, halo, 0)
     gains = kalman_gains(block + halo + 1, q_ratio)
-    fields = [f for f in u.schema.fields]
-    schema = T.StructType([*fields, T.StructField(out, T.DoubleType())])
+    schema = T.StructType([*u.schema.fields, T.StructField(out, T.DoubleType())])
+    skeys = list(series)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(idx, kind="stable").reset_index(drop=True)
+        if pdf.empty:
+            pdf[out] = np.zeros(0)
+            return pdf
+        pdf = pdf.sort_values([*skeys, idx], kind="stable").reset_index(drop=True)
         z = pdf[value].to_numpy(dtype="float64")
         pos = pdf[idx].to_numpy()
+        const = ~(pdf["_var"].to_numpy() > 0)
+        if skeys:
+            key = pd.util.hash_pandas_object(pdf[skeys], index=False).to_numpy()
+            start = np.ones(len(z), dtype=bool)
+            start[1:] = key[1:] != key[:-1]
+        else:
+            start = np.zeros(len(z), dtype=bool)
+            start[0] = True
         x = np.empty_like(z)
-        if len(z) == 0:
-            pdf[out] = x
-            return pdf
-        if not (pdf["_var"].iloc[0] > 0):
-            pdf[out] = z
-            return pdf
-        cur = z[0]
-        x[0] = cur
         k_last = gains[-1]
-        for i in range(1, len(z)):
-            g = gains[pos[i]] if pos[i] < len(gains) else k_last
-            cur = cur + g * (z[i] - cur)
+        cur = 0.0
+        for i in range(len(z)):
+            if start[i] or const[i]:
+                cur = z[i]
+            else:
+                p = pos[i]
+                cur = cur + (gains[p] if p < len(gains) else k_last) * (z[i] - cur)
             x[i] = cur
         pdf[out] = x
         return pdf
 
-    res = u.groupBy(*series, "_blk").applyInPandas(run, schema)
-    return res.where(~F.col("_halo")).drop("_blk", "_halo", "_var")
+    res = u.groupBy("_bkt", "_blk").applyInPandas(run, schema)
+    return res.where(~F.col("_halo")).drop("_blk", "_halo", "_var", "_bkt")
 
 
 # ---------------------------------------------------------------- WIN-10/11/12

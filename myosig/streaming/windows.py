@@ -65,47 +65,65 @@ def _window_step(size: int, step: int):
     if not 0 < step <= size:
         raise ValueError("need 0 < step <= size")
 
+    cols = [f.name for f in OUT_SCHEMA.fields]
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         series = int(key[0])
         if state.exists:
             nxt, nwin, bs, bx, bt, ps, px, pt = state.get
         else:
             nxt, nwin, bs, bx, bt, ps, px, pt = 0, 0, [], [], [], [], [], []
-        parts = [pd.DataFrame({"seq": np.asarray(ps, dtype="int64"), "x": np.asarray(px, dtype="float64"), "t": np.asarray(pt, dtype="float64")})]
+        seqs, xs, ts = [np.asarray(ps, dtype="int64")], [np.asarray(px, dtype="float64")], [np.asarray(pt, dtype="float64")]
         for p in pdfs:
-            parts.append(pd.DataFrame({"seq": p["seq"].astype("int64"), "x": p["x"].astype("float64"), "t": p["t"].astype("float64")}))
-        rows = pd.concat(parts, ignore_index=True)
-        before = len(rows)
-        rows = rows[rows["seq"] >= nxt].drop_duplicates("seq").sort_values("seq", kind="stable")
-        dropped = before - len(rows)
-        seq = rows["seq"].to_numpy()
+            seqs.append(p["seq"].to_numpy(dtype="int64"))
+            xs.append(p["x"].to_numpy(dtype="float64"))
+            ts.append(p["t"].to_numpy(dtype="float64"))
+        seq, x, t = np.concatenate(seqs), np.concatenate(xs), np.concatenate(ts)
+        before = len(seq)
+        keep = seq >= nxt
+        seq, x, t = seq[keep], x[keep], t[keep]
+        o = np.argsort(seq, kind="stable")
+        seq, x, t = seq[o], x[o], t[o]
+        first = np.ones(len(seq), dtype=bool)
+        first[1:] = seq[1:] != seq[:-1]
+        seq, x, t = seq[first], x[first], t[first]
+        dropped = before - len(seq)
         # contiguous run starting at next_seq
-        run = 0
-        while run < len(seq) and seq[run] == nxt + run:
-            run += 1
-        take, rest = rows.iloc[:run], rows.iloc[run:]
-        b_seq = np.concatenate([np.asarray(bs, dtype="int64"), take["seq"].to_numpy()])
-        b_x = np.concatenate([np.asarray(bx, dtype="float64"), take["x"].to_numpy()])
-        b_t = np.concatenate([np.asarray(bt, dtype="float64"), take["t"].to_numpy()])
+        gap = np.nonzero(seq != nxt + np.arange(len(seq)))[0]
+        run = int(gap[0]) if len(gap) else len(seq)
+        b_seq = np.concatenate([np.asarray(bs, dtype="int64"), seq[:run]])
+        b_x = np.concatenate([np.asarray(bx, dtype="float64"), x[:run]])
+        b_t = np.concatenate([np.asarray(bt, dtype="float64"), t[:run]])
         nxt += run
-        out = []
-        while len(b_seq) >= size:
-            w = b_x[:size]
-            out.append((series, nwin, int(b_seq[0]), int(b_seq[size - 1]), float(np.mean(np.abs(w))), float(np.mean(w)), float(b_t[size - 1]), 0))
-            nwin += 1
-            b_seq, b_x, b_t = b_seq[step:], b_x[step:], b_t[step:]
-        state.update(
-            (
-                int(nxt), int(nwin), b_seq.tolist(), b_x.tolist(), b_t.tolist(),
-                rest["seq"].tolist(), rest["x"].tolist(), rest["t"].tolist(),
+        n_win = 0 if len(b_seq) < size else (len(b_seq) - size) // step + 1
+        out = None
+        if n_win:
+            starts = np.arange(n_win) * step
+            idx = starts[:, None] + np.arange(size)[None, :]
+            w = b_x[idx]
+            out = pd.DataFrame(
+                {
+                    "series": np.full(n_win, series, dtype="int64"),
+                    "window_id": nwin + np.arange(n_win, dtype="int64"),
+                    "start_seq": b_seq[starts],
+                    "end_seq": b_seq[starts + size - 1],
+                    "mav": np.abs(w).mean(axis=1),
+                    "mean_x": w.mean(axis=1),
+                    "truth_last": b_t[starts + size - 1],
+                    "n_dropped": np.zeros(n_win, dtype="int64"),
+                }
             )
+            out.loc[out.index[-1], "n_dropped"] = dropped
+            nwin += n_win
+            cut = n_win * step
+            b_seq, b_x, b_t = b_seq[cut:], b_x[cut:], b_t[cut:]
+        state.update(
+            (int(nxt), int(nwin), b_seq.tolist(), b_x.tolist(), b_t.tolist(), seq[run:].tolist(), x[run:].tolist(), t[run:].tolist())
         )
-        if out:
-            df = pd.DataFrame(out, columns=[f.name for f in OUT_SCHEMA.fields])
-            df.loc[df.index[-1], "n_dropped"] = dropped
-            yield df
+        if out is not None:
+            yield out[cols]
         elif dropped:
-            yield pd.DataFrame([(series, -1, -1, -1, None, None, None, dropped)], columns=[f.name for f in OUT_SCHEMA.fields])
+            yield pd.DataFrame([(series, -1, -1, -1, None, None, None, dropped)], columns=cols)
 
     return fn
 
