@@ -17,10 +17,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REL = "_rel"
+# Label vocabularies up to this size are broadcast; larger ones use a shuffle join.
+MAX_BROADCAST_VOCAB = 1_000_000
+
+
+def _vocabulary(df: DataFrame, col: str) -> tuple[DataFrame, bool]:
+    """Distinct values of ``col`` with dense codes in sorted order (code order = value order)."""
+    d = df.select(col).where(F.col(col).isNotNull()).distinct()
+    n = d.count()  # one scalar: decides broadcast vs shuffle join
+    # the window below sees one row per distinct value (a vocabulary, not the data)
+    v = d.withColumn(f"_code_{col}", (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    return v, n <= MAX_BROADCAST_VOCAB
+
+
+def _side(v: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(v) if small else v
 
 
 def window_bounds(idx: Column, n: Column, size: int, step: int, inclusive_end: bool = True):
@@ -62,35 +78,70 @@ def sliding_windows(
     df: DataFrame,
     size: int,
     step: int,
-    aggs: Mapping[str, Column],
+    aggs: Mapping[str, Column] | None = None,
     series: Sequence[str] = (),
     idx: str = "idx",
     n: str = "n_rows",
     inclusive_end: bool = True,
     purity: Sequence[str] | None = None,
+    labels: Mapping[str, tuple[str, str]] | None = None,
     window_col: str = "window_id",
 ) -> DataFrame:
     """Aggregate every full window of ``size`` rows starting each ``step`` rows.
 
-    ``aggs`` maps output names to aggregate expressions (see
-    :mod:`myosig.functions.features`).  ``purity`` drops windows in which any of
+    ``aggs`` maps output names to numeric aggregate expressions (see
+    :mod:`myosig.functions.features`).  ``labels`` maps output names to
+    ``(column, 'last' | 'majority')``.  ``purity`` drops windows in which any of
     the listed columns takes more than one value (training drops boundary
     windows, live inference keeps them: pass ``None`` for parity with a stream).
-    Output: series columns, ``window_id``, ``start_idx``, ``end_idx`` and ``aggs``.
+
+    String label / purity columns are dictionary-encoded first (codes follow
+    the value order, so ties and min/max behave as on the strings): with only
+    fixed-width buffers Spark runs a hash aggregate with map-side partial
+    aggregation instead of sorting every exploded row.
+    Output: series columns, ``window_id``, ``start_idx``, ``end_idx``, ``aggs``, ``labels``.
     """
-    members = assign_windows(df, size, step, idx=idx, n=n, inclusive_end=inclusive_end, window_col=window_col)
+    aggs = dict(aggs or {})
+    labels = dict(labels or {})
+    purity = list(purity or [])
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    coded = sorted(({c for c, _ in labels.values()} | set(purity)) & strings)
+    vocab = {}
+    base = df
+    for c in coded:
+        v, small = _vocabulary(df, c)
+        vocab[c] = (v, small)
+        base = base.join(_side(v, small), c, "left")
+
+    def key(c):
+        return f"_code_{c}" if c in vocab else c
+
+    members = assign_windows(base, size, step, idx=idx, n=n, inclusive_end=inclusive_end, window_col=window_col)
     exprs = [a.alias(k) for k, a in aggs.items()]
-    checks = []
-    for c in purity or []:
-        checks.append((F.min(c) == F.max(c)).alias(f"_pure_{c}"))
+    for out, (c, mode) in labels.items():
+        col = F.col(key(c))
+        if mode == "last":
+            exprs.append(F.max_by(col, F.col(idx)).alias(f"_lbl_{out}"))
+        elif mode == "majority":
+            exprs.append(F.mode(col, deterministic=True).alias(f"_lbl_{out}"))
+        else:
+            raise ValueError(f"unknown label mode {mode!r}")
+    checks = [(F.min(key(c)) == F.max(key(c))).alias(f"_pure_{c}") for c in purity]
     grouped = members.groupBy(*series, window_col).agg(*exprs, *checks)
-    for c in purity or []:
+    for c in purity:
         grouped = grouped.where(F.col(f"_pure_{c}")).drop(f"_pure_{c}")
+    for out, (c, _) in labels.items():
+        if c in vocab:
+            v, small = vocab[c]
+            dec = v.select(F.col(f"_code_{c}").alias(f"_lbl_{out}"), F.col(c).alias(out))
+            grouped = grouped.join(_side(dec, small), f"_lbl_{out}", "left").drop(f"_lbl_{out}")
+        else:
+            grouped = grouped.withColumnRenamed(f"_lbl_{out}", out)
     grouped = grouped.withColumn("start_idx", (F.col(window_col) * step).cast("bigint")).withColumn(
         "end_idx", (F.col(window_col) * step + size - 1).cast("bigint")
     )
     front = [*series, window_col, "start_idx", "end_idx"]
-    return grouped.select(*front, *aggs.keys())
+    return grouped.select(*front, *aggs.keys(), *labels.keys())
 
 
 def tumbling_windows(

@@ -27,8 +27,8 @@ def window_features(spark, sf_dir):
     ix = with_lags(ix, ["xs"], lags=2)
     w = sliding_windows(
         ix, 8, 4,
+        labels={"activity": ("activity", "last")},
         aggs={
-            "activity": ft.last_value("activity"),
             "mav": ft.mav("xs"), "std_x": ft.std_pop("xs"), "wl_x": ft.waveform_length("xs"),
             "zc_x": ft.zero_crossings("xs").cast("double"), "ssc_x": ft.slope_sign_changes("xs").cast("double"),
             "rms_x": ft.rms("xs"), "gait_target": ft.target_mean("gait"),

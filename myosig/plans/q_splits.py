@@ -102,7 +102,7 @@ FROM w
 )
 def q_split_by_class(spark, sf_dir):
     ix = indexed_signal(spark, sf_dir, variants=True)
-    w = sliding_windows(ix, 7, 3, inclusive_end=False, aggs={"label": ft.majority("activity")})
+    w = sliding_windows(ix, 7, 3, inclusive_end=False, labels={"label": ("activity", "majority")})
     return sp.split_by_class(w.select("window_id", "label"), "label", ["window_id"], 0.8)
 
 

@@ -69,7 +69,8 @@ def sliding_mav(ix):
         ix,
         8,
         4,
-        aggs={"activity": ft.last_value("activity"), "mav": ft.mav("x"), "mean_x": ft.mean("x")},
+        aggs={"mav": ft.mav("x"), "mean_x": ft.mean("x")},
+        labels={"activity": ("activity", "last")},
         purity=["activity", "reps"],
     )
     return w.select("window_id", "start_idx", "end_idx", "activity", r6("mav").alias("mav"), r6("mean_x").alias("mean_x"))
@@ -105,8 +106,8 @@ def q_sliding_full(spark, sf_dir):
         ix,
         8,
         4,
+        labels={"activity": ("activity", "last")},
         aggs={
-            "activity": ft.last_value("activity"),
             "mav": ft.mav("xs"),
             "mean_x": ft.mean("xs"),
             "std_x": ft.std_pop("xs"),
@@ -148,7 +149,8 @@ def q_sliding_exclusive(spark, sf_dir):
         7,
         3,
         inclusive_end=False,
-        aggs={"label": ft.majority("activity"), "mean_x": ft.mean("x"), "mav": ft.mav("x")},
+        aggs={"mean_x": ft.mean("x"), "mav": ft.mav("x")},
+        labels={"label": ("activity", "majority")},
     )
     w = w.where(F.col("label").isNotNull())  # PRJ-22 skip unlabelled windows
     return w.select("window_id", "label", r6("mean_x").alias("mean_x"), r6("mav").alias("mav"))
@@ -174,8 +176,8 @@ def q_sliding_purity(spark, sf_dir):
         307,
         153,
         purity=["activity"],
+        labels={"activity": ("activity", "last")},
         aggs={
-            "activity": ft.last_value("activity"),
             "mav": ft.mav("x"),
             "mean_x": ft.mean("x"),
             "gait_target": ft.last_value("gait"),
@@ -222,7 +224,7 @@ SELECT subject, window_id, label FROM top WHERE rk = 1
 )
 def q_label_majority(spark, sf_dir):
     ix = indexed_signal(spark, sf_dir, variants=True, per_subject=True)
-    w = sliding_windows(ix, 8, 4, series=["subject"], aggs={"label": ft.majority("activity")})
+    w = sliding_windows(ix, 8, 4, series=["subject"], labels={"label": ("activity", "majority")})
     return w.select("subject", "window_id", "label")
 
 
@@ -239,7 +241,7 @@ FROM m GROUP BY subject, window_id
 def q_label_last(spark, sf_dir):
     ix = indexed_signal(spark, sf_dir, per_subject=True)
     w = sliding_windows(
-        ix, 7, 3, series=["subject"], aggs={"activity": ft.last_value("activity"), "gait_target": ft.last_value("gait")}
+        ix, 7, 3, series=["subject"], aggs={"gait_target": ft.last_value("gait")}, labels={"activity": ("activity", "last")}
     )
     return w.select("subject", "window_id", "activity", r6("gait_target").alias("gait_target"))
 

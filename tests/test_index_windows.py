@@ -74,9 +74,9 @@ def test_purity_and_labels(spark):
     rows = [(i, "b" if i < 6 else "a", float(i)) for i in range(12)]
     df = spark.createDataFrame(rows, "t long, act string, x double")
     ix = with_row_index(df, ["t"], count_name="n_rows")
-    w = sliding_windows(ix, 4, 2, purity=["act"], aggs={"last": ft.last_value("act")}).toPandas()
+    w = sliding_windows(ix, 4, 2, purity=["act"], labels={"last": ("act", "last")}).toPandas()
     assert sorted(w["window_id"]) == [0, 1, 3, 4]
-    m = sliding_windows(ix, 4, 2, aggs={"maj": ft.majority("act")}).toPandas().set_index("window_id")
+    m = sliding_windows(ix, 4, 2, labels={"maj": ("act", "majority")}).toPandas().set_index("window_id")
     assert m.loc[2, "maj"] == "a"  # rows 4,5 = b, 6,7 = a: tie -> 'a'
 
 
