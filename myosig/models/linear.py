@@ -140,3 +140,24 @@ def mlp_forward(x: Column, layers: Sequence[tuple[Sequence[Sequence[float]], Seq
             units = [F.greatest(u, F.lit(0.0)) for u in units]
         h = F.array(*units)
     return h
+
+
+# ---------------------------------------------------------------- per-group closed form and ML-25
+def fit_ridge_by_group(df: DataFrame, group: str, feature: str, target: str, alpha: float = 1.0) -> DataFrame:
+    """One-feature ridge fitted separately for every group: pass 1 group means,
+    pass 2 centred sums (means joined back); one row per group."""
+    m = df.groupBy(group).agg(F.avg(feature).alias("_mx"), F.avg(target).alias("_my"))
+    j = df.join(m, group)
+    xc = F.col(feature) - F.col("_mx")
+    g = j.groupBy(group, "_mx", "_my").agg(F.sum(xc * xc).alias("_sxx"), F.sum(xc * (F.col(target) - F.col("_my"))).alias("_sxy"))
+    coef = F.col("_sxy") / (F.col("_sxx") + F.lit(alpha))
+    return g.select(group, coef.alias("coef"), (F.col("_my") - coef * F.col("_mx")).alias("intercept"))
+
+
+def activity_then_angle(df: DataFrame, activity_expr: Column, models: DataFrame, group: str, feature: str, out: str = "angle") -> DataFrame:
+    """ML-25: classify each row's activity, then apply that activity's regressor.
+
+    ``models`` has one row per activity (a bounded table: broadcast)."""
+    d = df.withColumn(group, activity_expr)
+    j = d.join(F.broadcast(models), group, "left")
+    return j.withColumn(out, F.col("intercept") + F.col("coef") * F.col(feature)).drop("intercept", "coef")

@@ -223,3 +223,33 @@ def cap_duration(
     )
     acts = [r[col] for r in first]
     return df.where(~(F.col(col).isin(acts) & (F.col(time_col) > seconds)))
+
+
+# ---------------------------------------------------------------- PRJ-16/17 (schema only, driver side)
+def split_columns(
+    df: DataFrame, meta: Sequence[str], targets: Sequence[str] | None = None, target_suffix: str = "_Target"
+) -> tuple[list[str], list[str], list[str]]:
+    """PRJ-16: (features, targets, metadata) by name; targets default to ``*_Target`` columns.
+
+    Raises when no target or no feature remains, or a requested target is absent.
+    """
+    cols = list(df.columns)
+    tg = list(targets) if targets is not None else [c for c in cols if c.endswith(target_suffix)]
+    missing = [t for t in tg if t not in cols]
+    if missing:
+        raise ValueError(f"targets not found: {missing}")
+    if not tg:
+        raise ValueError("no target columns")
+    md = [c for c in cols if c in set(meta)]
+    feats = [c for c in cols if c not in set(tg) and c not in set(md)]
+    if not feats:
+        raise ValueError("no feature columns")
+    return feats, tg, md
+
+
+def assert_same_columns(train: DataFrame, test: DataFrame) -> None:
+    """PRJ-17: train and test must have the same columns (names and types, in order)."""
+    a = [(f.name, f.dataType.simpleString()) for f in train.schema.fields]
+    b = [(f.name, f.dataType.simpleString()) for f in test.schema.fields]
+    if a != b:
+        raise ValueError(f"column mismatch: only in train {sorted(set(a) - set(b))}, only in test {sorted(set(b) - set(a))}")

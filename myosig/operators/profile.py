@@ -149,3 +149,9 @@ def bad_channels(df: DataFrame, arr: str, z: float = 3.0, eps: float = 1e-6) ->
     st = med.agg(F.avg("median_sq").alias("m"), F.stddev_samp("median_sq").alias("s")).first()
     zc = (F.col("median_sq") - F.lit(st["m"])) / (F.lit(st["s"]) + eps)
     return med.select("ch", "median_sq", zc.alias("z"), (F.abs(zc) > z).alias("is_bad"))
+
+
+def cardinality(df: DataFrame, cols: Sequence[str], approximate: bool = False, rsd: float = 0.01) -> DataFrame:
+    """AGG-25: distinct count of each column (``approx_count_distinct`` when ``approximate``)."""
+    f = (lambda c: F.approx_count_distinct(c, rsd)) if approximate else F.countDistinct
+    return df.agg(*[f(c).alias(f"n_{c}") for c in cols])
