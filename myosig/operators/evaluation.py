@@ -165,3 +165,19 @@ def joint_error(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """EVL-09: MAE and worst absolute error per target."""
     e = F.abs(F.col("y") - F.col("p"))
     return long.groupBy(*by, "target").agg(F.avg(e).alias("mae"), F.max(e).alias("max_err"))
+
+
+def compare_smoothers(df: DataFrame, truth: str, raw: str, smooth: str, idx: str = "idx", series: Sequence[str] = ()) -> DataFrame:
+    """EVL-10: MAE against the truth and jitter (std of successive differences) before and after
+    smoothing, with the jitter reduction in percent, per series."""
+    from myosig.operators.index import with_lags
+    from myosig.operators.sequence import jitter_reduction
+
+    d = with_lags(df, [raw, smooth], idx=idx, series=series, lags=1)
+    g = d.groupBy(*series).agg(
+        F.avg(F.abs(F.col(raw) - F.col(truth))).alias("mae_raw"),
+        F.avg(F.abs(F.col(smooth) - F.col(truth))).alias("mae_kalman"),
+        F.stddev_pop(F.col(raw) - F.col(f"{raw}_lag1")).alias("jitter_raw"),
+        F.stddev_pop(F.col(smooth) - F.col(f"{smooth}_lag1")).alias("jitter_kalman"),
+    )
+    return g.withColumn("reduction_pct", jitter_reduction(F.col("jitter_raw"), F.col("jitter_kalman")))

@@ -163,3 +163,14 @@ def tumbling_windows(
         *[a.alias(k) for k, a in aggs.items()], F.count(F.lit(1)).alias("_cnt")
     )
     return grouped.where(F.col("_cnt") == size).select(*series, window_col, *aggs.keys())
+
+
+def align_truth(windows: DataFrame, samples: DataFrame, cols: Sequence[str], idx: str = "idx", end: str = "end_idx", series: Sequence[str] = ()) -> DataFrame:
+    """JOI-03: attach sample values at each window's last position (equi-join end_idx = idx)."""
+    s = samples.select(*series, F.col(idx).alias(end), *cols)
+    return windows.join(s, [*series, end], "left")
+
+
+def prediction_time(window: Column, step: int, hz: float) -> Column:
+    """WIN-05: the live step clock k * step / hz."""
+    return window * F.lit(step) / F.lit(float(hz))

@@ -14,6 +14,7 @@ from myosig.operators.sequence import elapsed_time
 from myosig.plans.q_windows import GLOBAL_ORDER, SIG_SQL, SIGV_SQL
 from myosig.plans.registry import query, r6, sql_index
 from myosig.session import table
+from myosig.sources.io import head_samples
 
 
 @query(
@@ -252,7 +253,7 @@ SELECT event_id, idx, round(x, 6) AS x FROM ix WHERE idx < 350
 )
 def q_head(spark, sf_dir):
     ix = with_row_index(adapters.signal(spark, sf_dir), adapters.SIGNAL_ORDER)
-    return ix.where(F.col("idx") < 350).select("event_id", "idx", r6("x").alias("x"))
+    return head_samples(ix, 350).select("event_id", "idx", r6("x").alias("x"))
 
 
 @query(

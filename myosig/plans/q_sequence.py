@@ -11,7 +11,8 @@ from myosig.models import trees
 from myosig.operators import control as ctl
 from myosig.operators import sequence as sq
 from myosig.operators.index import with_lags, with_row_index
-from myosig.operators.windows import sliding_windows, tumbling_windows
+from myosig.operators import evaluation as ev
+from myosig.operators.windows import align_truth, prediction_time, sliding_windows
 from myosig.plans.q_windows import GLOBAL_ORDER, SIG_SQL, indexed_signal
 from myosig.plans.registry import query, r6, sql_index, sql_window_ids
 
@@ -95,14 +96,7 @@ FROM g
 def q_compare_smoothers(spark, sf_dir):
     s = sq.kalman_smooth(subject_series(spark, sf_dir), "x", series=["subject"], out="kal")
     s = s.withColumn("truth", F.col("x") / 3.0)
-    s = with_lags(s, ["x", "kal"], series=["subject"], lags=1)
-    g = s.groupBy("subject").agg(
-        F.avg(F.abs(F.col("x") - F.col("truth"))).alias("mae_raw"),
-        F.avg(F.abs(F.col("kal") - F.col("truth"))).alias("mae_kalman"),
-        F.stddev_pop(F.col("x") - F.col("x_lag1")).alias("jitter_raw"),
-        F.stddev_pop(F.col("kal") - F.col("kal_lag1")).alias("jitter_kalman"),
-    )
-    g = g.withColumn("reduction_pct", sq.jitter_reduction(F.col("jitter_raw"), F.col("jitter_kalman")))
+    g = ev.compare_smoothers(s, "truth", "x", "kal", series=["subject"])
     return g.select("subject", *[r6(c).alias(c) for c in ["mae_raw", "mae_kalman", "jitter_raw", "jitter_kalman", "reduction_pct"]])
 
 
@@ -172,11 +166,11 @@ FROM w JOIN ix ON ix.idx = w.end_idx
 def q_align(spark, sf_dir):
     ix = indexed_signal(spark, sf_dir)
     w = sliding_windows(ix, 8, 4, aggs={"mav": ft.mav("x")}, purity=["activity", "reps"])
-    samples = ix.select(F.col("idx").alias("end_idx"), F.col("event_id").alias("end_event_id"), F.col("gait").alias("gait_truth"))
-    j = w.join(samples, "end_idx")
+    samples = ix.select("idx", F.col("event_id").alias("end_event_id"), F.col("gait").alias("gait_truth"))
+    j = align_truth(w, samples, ["end_event_id", "gait_truth"])
     return j.select(
         "window_id", r6("mav").alias("mav"), "end_event_id", r6("gait_truth").alias("gait_truth"),
-        r6(F.col("window_id") * 4 / 2048.0).alias("t_step"),
+        r6(prediction_time(F.col("window_id"), 4, 2048.0)).alias("t_step"),
     )
 
 
@@ -365,28 +359,11 @@ def q_control_replay(spark, sf_dir):
         warnings.simplefilter("ignore")
         curve = ctl.reference_trajectory(sig, JOINTS)
     ix = with_row_index(sig, adapters.SIGNAL_ORDER)
-    chunks = tumbling_windows(
-        ix, 64, aggs={"mav": ft.mav("x"), "gait_mean": ft.mean("gait"), "gait_pct": ft.last_value("gait")}
-    )
-    p0, p1 = trees.forest_expr(control_tree(), ["mav", "gait_mean"], 2)
-    sc = chunks.select("chunk", "gait_pct", p0.alias("p0"), p1.alias("p1"))
-    long = sc.select(
-        "chunk",
-        "gait_pct",
-        F.explode(
-            F.array(
-                F.struct(F.lit(CONTROL_OUT[0]).alias("joint"), F.col("p0").alias("pred")),
-                F.struct(F.lit(CONTROL_OUT[1]).alias("joint"), F.col("p1").alias("pred")),
-            )
-        ).alias("j"),
-    ).select("chunk", "gait_pct", "j.joint", "j.pred")
-    long = long.withColumn("gait_bin", ctl.gait_bin(F.col("gait_pct")))
-    long = ctl.lookup_reference(long, curve)
-    tq, err = ctl.torque(F.col("pred"), F.col("ref_angle"), F.col("joint"))
-    return long.select(
-        "chunk", "joint", r6("gait_pct").alias("gait_pct"), r6("pred").alias("pred"), r6("ref_angle").alias("ref"),
-        r6(err).alias("error"), r6(tq).alias("torque"),
+    log = ctl.control_replay(
+        ix, curve, 64, {"mav": ft.mav("x"), "gait_mean": ft.mean("gait")},
+        lambda c: trees.forest_expr(control_tree(), ["mav", "gait_mean"], 2), CONTROL_OUT,
     )
+    return log.select("chunk", "joint", *[r6(c).alias(c) for c in ["gait_pct", "pred", "ref", "error", "torque"]])
 
 
 # --------------------------------------------------------------------- AGG-23 / EVL-11

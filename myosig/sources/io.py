@@ -124,3 +124,8 @@ def save_ml_model(model, path: str) -> None:
 def write_control_log(log: DataFrame, path: str) -> None:
     """SRC-11: the control log (one row per chunk and joint) as CSV with a header."""
     log.write.mode("overwrite").option("header", True).csv(path)
+
+
+def head_samples(df: DataFrame, n: int = 350, idx: str = "idx") -> DataFrame:
+    """SRC-17: the first ``n`` samples by position (a predicate on the index, no sort or collect)."""
+    return df.where(F.col(idx) < n)
