@@ -1 +1,14 @@
-"""myosig.functions."""
+"""myosig.functions: column expressions and small shared helpers."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when its row count is checked to be at most this.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int | None = None, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking its size (``rows`` if already known);
+    otherwise leave the join strategy to Spark (shuffle join, AQE may still convert it)."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= limit else df

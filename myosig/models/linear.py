@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from myosig.functions import broadcast_if_small
+
 
 def _sum_products(df: DataFrame, a: Sequence[Column], b: Sequence[Column]) -> np.ndarray:
     row = df.agg(*[F.sum(x * y).alias(f"p{i}_{j}") for i, x in enumerate(a) for j, y in enumerate(b)]).first()
@@ -101,7 +103,7 @@ def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> LdaModel:
     counts = np.array([r["_n"] for r in st], dtype="float64")
     means = np.array([[r[f"_m_{c}"] for c in feats] for r in st], dtype="float64")
     n = counts.sum()
-    j = df.join(F.broadcast(stats), label)
+    j = df.join(broadcast_if_small(stats, rows=len(st)), label)
     xc = [F.col(c) - F.col(f"_m_{c}") for c in feats]
     scatter = _sum_products(j, xc, xc)
     cov = scatter / n
@@ -159,5 +161,5 @@ def activity_then_angle(df: DataFrame, activity_expr: Column, models: DataFrame,
 
     ``models`` has one row per activity (a bounded table: broadcast)."""
     d = df.withColumn(group, activity_expr)
-    j = d.join(F.broadcast(models), group, "left")
+    j = d.join(broadcast_if_small(models), group, "left")
     return j.withColumn(out, F.col("intercept") + F.col("coef") * F.col(feature)).drop("intercept", "coef")

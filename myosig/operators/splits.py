@@ -4,8 +4,8 @@ Splits are expressed as a ``split`` column (one pass, one table) rather than two
 materialised frames.  Per-group rankings use the distributed row index, so a
 class or activity holding a third of the rows is numbered by many tasks.
 Membership tables ((activity, rep) pairs, label maps, class counts) are small
-aggregates joined back; only tables whose size is bounded by construction
-(labels, folds) are broadcast explicitly, the rest is left to AQE.
+aggregates joined back; a side is broadcast only after its row count has been
+checked (``broadcast_if_small``), otherwise the join strategy is left to Spark/AQE.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from myosig.functions import broadcast_if_small
 from myosig.operators.index import with_row_index
 
 TRAIN, TEST = "train", "test"
@@ -154,7 +155,7 @@ def sample_balanced(df: DataFrame, id_col: str, label: str, total: int = 100, se
     quota = cr.select(label, (F.lit(base) + F.when(F.col("_cr") < rem, 1).otherwise(0)).alias("_q"))
     h = df.withColumn("_h", stable_hash(id_col, seed))
     r = with_row_index(h, ["_h", id_col], series=[label], name="_crk")
-    picked = r.join(F.broadcast(quota), label).where(F.col("_crk") < F.col("_q"))
+    picked = r.join(broadcast_if_small(quota, rows=k), label).where(F.col("_crk") < F.col("_q"))
     # at most `total` rows remain: shuffle them with a second stable hash
     out = picked.withColumn("_h2", stable_hash(id_col, seed + 1))
     out = out.withColumn("pos", (F.row_number().over(Window.orderBy("_h2", id_col)) - 1).cast("bigint"))
@@ -235,7 +236,7 @@ def label_map(df: DataFrame, label: str) -> DataFrame:
 
 def encode_labels(df: DataFrame, mapping: DataFrame, label: str, out: str = "label_id", default: int | None = None) -> DataFrame:
     """JOI-07: label -> id with a left join on the (bounded) label map; unknown -> ``default``."""
-    m = F.broadcast(mapping.select(F.col(label).alias("_lbl"), F.col("id").alias(out)))
+    m = broadcast_if_small(mapping.select(F.col(label).alias("_lbl"), F.col("id").alias(out)))
     j = df.join(m, df[label] == m["_lbl"], "left").drop("_lbl")
     if default is not None:
         j = j.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
