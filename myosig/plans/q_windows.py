@@ -293,3 +293,38 @@ def q_sliding_channels(spark, sf_dir):
         F.avg("energy").alias("energy_avg"), F.max("mav").alias("mav_max"),
     )
     return w.select("window_id", *[r6(c).alias(c) for c in ["mav_avg", "rms_avg", "mean_avg", "energy_avg", "mav_max"]])
+
+
+# --------------------------------------------------------------------- pane form (large step)
+@query(
+    "sliding_panes",
+    ["WIN-02", "WIN-06", "AGG-01", "AGG-03", "AGG-04", "AGG-05", "AGG-06", "AGG-07", "AGG-08", "AGG-09", "AGG-11", "AGG-12", "AGG-17"],
+    sql=f"""
+WITH {SIG_SQL},
+ix AS (SELECT *, x - 50 AS xs, {sql_index(GLOBAL_ORDER)} AS idx, count(*) OVER () AS n_rows FROM sig),
+lg AS (SELECT *, lag(xs, 1) OVER (ORDER BY idx) AS xs_lag1, lag(xs, 2) OVER (ORDER BY idx) AS xs_lag2 FROM ix),
+m AS (SELECT *, unnest({sql_window_ids(307, 153)}) AS window_id FROM lg),
+r AS (SELECT *, idx - window_id * 153 AS rel FROM m)
+SELECT window_id, max_by(activity, idx) AS last_activity, count(*) AS n,
+       round(avg(abs(xs)), 6) AS mav, round(avg(xs), 6) AS mean_x, round(stddev_pop(xs), 6) AS std_x,
+       round(sqrt(avg(xs * xs)), 6) AS rms_x, round(sum(xs * xs), 6) AS energy_x,
+       round(coalesce(sum(CASE WHEN rel >= 1 THEN abs(xs - xs_lag1) END), 0), 6) AS wl_x,
+       CAST(count(*) FILTER (WHERE rel >= 1 AND xs * xs_lag1 < 0) AS BIGINT) AS zc_x,
+       CAST(count(*) FILTER (WHERE rel >= 2 AND (xs - xs_lag1) * (xs_lag1 - xs_lag2) < 0) AS BIGINT) AS ssc_x,
+       round(max(xs) - min(xs), 6) AS p2p_x
+FROM r GROUP BY window_id HAVING min(activity) = max(activity)
+""",
+)
+def q_sliding_panes(spark, sf_dir):
+    from myosig.operators.panes import sliding_window_stats
+
+    ix = indexed_signal(spark, sf_dir).withColumn("xs", F.col("x") - 50)
+    ix = with_lags(ix, ["xs"], lags=2)
+    w = sliding_window_stats(ix, 307, 153, "xs", purity=["activity"], last_label="activity", lag1="xs_lag1", lag2="xs_lag2")
+    ren = {"mean": "mean_x", "std": "std_x", "rms": "rms_x", "energy": "energy_x", "wl": "wl_x", "p2p": "p2p_x"}
+    return w.select(
+        "window_id", "last_activity", "n", "zc", "ssc", "mav", *[F.col(k).alias(v) for k, v in ren.items()]
+    ).select(
+        "window_id", "last_activity", "n", F.col("zc").alias("zc_x"), F.col("ssc").alias("ssc_x"),
+        *[r6(c).alias(c) for c in ["mav", "mean_x", "std_x", "rms_x", "energy_x", "wl_x", "p2p_x"]],
+    )
