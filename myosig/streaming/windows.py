@@ -149,16 +149,33 @@ def add_latency(df: DataFrame, arrived: str | None = None) -> DataFrame:
     return out
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Stateful shuffles are not coalesced by AQE and their partition count is fixed
+    for the life of the checkpoint: size it to the cluster (2 x default parallelism),
+    never above the session's shuffle partitions."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(current, 2 * spark.sparkContext.defaultParallelism))
+
+
 def run_to_table(
-    spark: SparkSession, sdf: DataFrame, name: str, base: str | None = None, trigger_once: bool = True
+    spark: SparkSession, sdf: DataFrame, name: str, base: str | None = None, trigger_once: bool = True, partitions: int | None = None
 ) -> str:
     """SRC-13: run a streaming frame to a Parquet table in the shared checkpoint folder
-    (append sink, exactly-once through the query checkpoint); returns the table path."""
+    (append sink, exactly-once through the query checkpoint); returns the table path.
+
+    ``partitions`` (default :func:`state_partitions`) is the state-store partition
+    count recorded in the checkpoint when the query first starts."""
     root = base or os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "streams")
     path = os.path.join(root, name, "data")
     ckpt = os.path.join(root, name, "checkpoint")
     w = sdf.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).outputMode("append")
-    q = w.trigger(availableNow=True).start() if trigger_once else w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        q = w.trigger(availableNow=True).start() if trigger_once else w.start()
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return path
 
