@@ -25,9 +25,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
@@ -45,11 +48,15 @@ def with_row_index(
     count_name: str | None = None,
     num_partitions: int | None = None,
     stable: bool = False,
+    lag_cols: Sequence[str] = (),
+    lags: int = 1,
 ) -> DataFrame:
     """Add a dense 0-based position ``name`` in ``order`` (per ``series`` if given).
 
     ``count_name`` adds the number of rows of the row's series (the whole frame
-    when ``series`` is empty), which window bounds need.
+    when ``series`` is empty), which window bounds need.  ``lag_cols`` adds
+    ``<c>_lag1 .. <c>_lag{lags}`` (NULL across a series start) in the same pass:
+    see :func:`_sorted_lags` -- no extra shuffle.
     """
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -62,6 +69,10 @@ def with_row_index(
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
         .drop("_mid")
     )
+    lag_cols = list(lag_cols)
+    if lag_cols:
+        # in-partition lags before persisting: the Arrow pass runs once per partition
+        ranged = _local_lags(ranged, lag_cols, lags, list(series))
     if stable:
         ranged = ranged.checkpoint(eager=True)
     else:
@@ -83,11 +94,96 @@ def with_row_index(
     if not series:
         # One row per partition: a bound we control, safe to broadcast.
         pieces = F.broadcast(pieces)
-    out = ranged.join(pieces, on=["_pid", *series], how="inner")
+    src = _fix_partition_edges(ranged, lag_cols, lags, series) if lag_cols else ranged
+    out = src.join(pieces, on=["_pid", *series], how="inner")
     out = out.withColumn(name, (F.col("_loc") - F.col("_first") + F.col("_off")).cast("bigint"))
     return out.drop("_pid", "_loc", "_first", "_off")
 
 
+def _local_lags(ranged: DataFrame, cols: list[str], lags: int, series: list[str], suffix: str = "_lag") -> DataFrame:
+    """Lags on the range-partitioned, sorted frame without another shuffle (step 1 of 2).
+
+    Inside each partition rows are already in order: an Arrow pass computes the
+    lags, carrying the last ``lags`` rows from one batch to the next.  Rows with
+    no predecessor in their partition get NULL; :func:`_fix_partition_edges`
+    fills them.  A lag is NULL when the previous row belongs to another series.
+    """
+    out_cols = [f"{c}{suffix}{k}" for c in cols for k in range(1, lags + 1)]
+    schema = T.StructType(
+        [*ranged.schema.fields, *[T.StructField(f"{c}{suffix}{k}", T.DoubleType()) for c in cols for k in range(1, lags + 1)]]
+    )
+
+    def run(batches):
+        carry_v = {c: np.zeros(0) for c in cols}
+        carry_k = {c: np.zeros(0, dtype=object) for c in series}
+        for pdf in batches:
+            if pdf.empty:
+                for oc in out_cols:
+                    pdf[oc] = pd.array([], dtype="Float64")
+                yield pdf
+                continue
+            m = len(next(iter(carry_v.values()))) if cols else 0
+            keys = {c: np.concatenate([carry_k[c], pdf[c].to_numpy(dtype=object)]) for c in series}
+            n = len(pdf)
+            for k in range(1, lags + 1):
+                src = np.arange(m, m + n) - k
+                ok = src >= 0
+                same = ok.copy()
+                for c in series:
+                    kk = keys[c]
+                    same[ok] &= kk[src[ok]] == kk[m:][ok]
+                for c in cols:
+                    v = np.concatenate([carry_v[c], pdf[c].to_numpy(dtype="float64", na_value=np.nan)])
+                    vals = np.zeros(n)
+                    vals[ok] = v[src[ok]]
+                    # no in-partition predecessor, or another series: NULL (a NaN sample stays NaN)
+                    pdf[f"{c}{suffix}{k}"] = pd.arrays.FloatingArray(vals, mask=~same)
+            for c in cols:
+                v = np.concatenate([carry_v[c], pdf[c].to_numpy(dtype="float64", na_value=np.nan)])
+                carry_v[c] = v[-lags:]
+            for c in series:
+                carry_k[c] = keys[c][-lags:]
+            yield pdf
+
+    local = ranged.mapInPandas(run, schema)
+    # rows without an in-partition predecessor get NULL, then the fix-up fills them
+    local = local.select(
+        *[F.col(c) for c in ranged.columns],
+        *[F.when(F.col("_loc") >= k, F.col(f"{c}{suffix}{k}")).alias(f"{c}{suffix}{k}") for c in cols for k in range(1, lags + 1)],
+    )
+    return local
+
+
+def _fix_partition_edges(ranged: DataFrame, cols: list[str], lags: int, series: list[str], suffix: str = "_lag") -> DataFrame:
+    """Step 2 of 2: the first ``lags`` rows of a partition take their predecessors
+    from earlier partitions.  The first and last ``lags`` rows of every partition
+    form a table of at most 2 x lags x partitions rows; ordered by (partition,
+    position) it holds every such predecessor, so one small window gives the
+    missing lags, which a broadcast join puts back (the big side is not moved).
+    """
+    last = ranged.groupBy("_pid").agg(F.max("_loc").alias("_last"))  # one row per partition
+    edge = (
+        ranged.join(F.broadcast(last), "_pid")
+        .where((F.col("_loc") < lags) | (F.col("_loc") > F.col("_last") - lags))
+        .select("_pid", "_loc", *series, *cols)
+    )
+    w = Window.orderBy("_pid", "_loc")  # over the edge table only: <= 2 x lags x partitions rows
+    skey = F.struct(*series) if series else F.lit(0)
+    fix = edge.withColumn("_skey", skey)
+    for c in cols:
+        for k in range(1, lags + 1):
+            fix = fix.withColumn(
+                f"_fix_{c}{k}", F.when(F.lag("_skey", k).over(w) == F.col("_skey"), F.lag(c, k).over(w).cast("double"))
+            )
+    fix = fix.where(F.col("_loc") < lags).select("_pid", "_loc", *[f"_fix_{c}{k}" for c in cols for k in range(1, lags + 1)])
+    j = ranged.join(F.broadcast(fix), ["_pid", "_loc"], "left")
+    for c in cols:
+        for k in range(1, lags + 1):
+            lc = f"{c}{suffix}{k}"
+            j = j.withColumn(lc, F.when(F.col("_loc") < k, F.col(f"_fix_{c}{k}")).otherwise(F.col(lc)))
+    return j.drop(*[f"_fix_{c}{k}" for c in cols for k in range(1, lags + 1)])
+
+
 def with_lags(
     df: DataFrame,
     cols: Sequence[str],

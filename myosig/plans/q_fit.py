@@ -13,7 +13,7 @@ from myosig.models import fit, trees
 from myosig.operators import evaluation as ev
 from myosig.operators import scaling as sc
 from myosig.operators import splits as sp
-from myosig.operators.index import with_lags, with_row_index
+from myosig.operators.index import with_row_index
 from myosig.operators.windows import sliding_windows
 from myosig.plans.q_windows import indexed_signal
 from myosig.plans.registry import query, r6
@@ -23,8 +23,7 @@ WIN_FEATURES = ["mav", "std_x", "wl_x", "zc_x", "ssc_x", "rms_x"]
 
 def window_features(spark, sf_dir):
     """Global 8/4 windows of the signed signal with six features, gait target and split."""
-    ix = indexed_signal(spark, sf_dir).withColumn("xs", F.col("x") - 50)
-    ix = with_lags(ix, ["xs"], lags=2)
+    ix = indexed_signal(spark, sf_dir, signed=True, lags=2)
     w = sliding_windows(
         ix, 8, 4,
         labels={"activity": ("activity", "last")},

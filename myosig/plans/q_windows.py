@@ -25,11 +25,15 @@ SIGV_SQL = """sig AS (
 GLOBAL_ORDER = "activity, subject, ts, event_id"
 
 
-def indexed_signal(spark, sf_dir, variants: bool = False, per_subject: bool = False):
+def indexed_signal(spark, sf_dir, variants: bool = False, per_subject: bool = False, signed: bool = False, lags: int = 0):
+    """The signal with its position; ``signed`` adds xs = x - 50, ``lags`` its lags (same pass)."""
     s = adapters.signal_variants(spark, sf_dir) if variants else adapters.signal(spark, sf_dir)
+    if signed:
+        s = s.withColumn("xs", F.col("x") - 50)
+    lag_cols = ["xs"] if lags else []
     if per_subject:
-        return with_row_index(s, adapters.SUBJECT_ORDER, series=["subject"], count_name="n_rows")
-    return with_row_index(s, adapters.SIGNAL_ORDER, count_name="n_rows")
+        return with_row_index(s, adapters.SUBJECT_ORDER, series=["subject"], count_name="n_rows", lag_cols=lag_cols, lags=max(lags, 1))
+    return with_row_index(s, adapters.SIGNAL_ORDER, count_name="n_rows", lag_cols=lag_cols, lags=max(lags, 1))
 
 
 # --------------------------------------------------------------------- WIN-01
@@ -100,8 +104,7 @@ FROM r GROUP BY window_id
 """,
 )
 def q_sliding_full(spark, sf_dir):
-    ix = indexed_signal(spark, sf_dir).withColumn("xs", F.col("x") - 50)
-    ix = with_lags(ix, ["xs"], lags=2)
+    ix = indexed_signal(spark, sf_dir, signed=True, lags=2)
     w = sliding_windows(
         ix,
         8,
@@ -318,8 +321,7 @@ FROM r GROUP BY window_id HAVING min(activity) = max(activity)
 def q_sliding_panes(spark, sf_dir):
     from myosig.operators.panes import sliding_window_stats
 
-    ix = indexed_signal(spark, sf_dir).withColumn("xs", F.col("x") - 50)
-    ix = with_lags(ix, ["xs"], lags=2)
+    ix = indexed_signal(spark, sf_dir, signed=True, lags=2)
     w = sliding_window_stats(ix, 307, 153, "xs", purity=["activity"], last_label="activity", lag1="xs_lag1", lag2="xs_lag2")
     ren = {"mean": "mean_x", "std": "std_x", "rms": "rms_x", "energy": "energy_x", "wl": "wl_x", "p2p": "p2p_x"}
     return w.select(

@@ -92,3 +92,17 @@ def test_tumbling_drops_tail(spark):
     ix = with_row_index(df, ["t"])
     t = tumbling_windows(ix, 4, aggs={"s": F.sum("x")}).toPandas().sort_values("chunk")
     assert t["s"].tolist() == [6.0, 22.0]
+
+
+@pytest.mark.parametrize("series", [[], ["series"]])
+def test_index_time_lags_match_block_lags(spark, series):
+    df, pdf = _series(spark, [900, 3, 1, 40, 260], seed=11, parts=5)
+    df = df.withColumn("x", F.when(F.col("t") == 7, F.lit(float("nan"))).otherwise(F.col("x")))
+    order = ["t"] if series else ["series", "t"]
+    a = with_row_index(df, order, series=series, lag_cols=["x"], lags=2, num_partitions=13).toPandas()
+    b = with_lags(with_row_index(df, order, series=series), ["x"], series=series, lags=2, block=50).toPandas()
+    keys = ["series", "t"]
+    a, b = a.sort_values(keys).reset_index(drop=True), b.sort_values(keys).reset_index(drop=True)
+    for c in ["x_lag1", "x_lag2"]:
+        assert (a[c].isna() == b[c].isna()).all()
+        np.testing.assert_allclose(a[c].fillna(-1).to_numpy(dtype=float), b[c].fillna(-1).to_numpy(dtype=float))
