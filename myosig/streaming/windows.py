@@ -34,6 +34,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from myosig.session import ensure_checkpoint_dir
 
+# State lives in RocksDB (off-heap, spills to local disk, checkpointed incrementally).
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 OUT_SCHEMA = T.StructType(
     [
         T.StructField("series", T.LongType()),
@@ -169,13 +172,22 @@ def run_to_table(
     path = os.path.join(root, name, "data")
     ckpt = os.path.join(root, name, "checkpoint")
     w = sdf.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).outputMode("append")
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    # Both settings are recorded in the checkpoint when the query first starts.
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions or state_partitions(spark)),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         q = w.trigger(availableNow=True).start() if trigger_once else w.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     return path
 
