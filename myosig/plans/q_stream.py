@@ -43,3 +43,16 @@ def q_stream_windows(spark, sf_dir):
         "series", "window_id", "start_seq", "end_seq", r6("mav").alias("mav"), r6("mean_x").alias("mean_x"),
         r6("truth_last").alias("truth_last"), r6("pred").alias("pred"),
     )
+
+
+@query("stream_live_view", ["STR-06", "STR-07", "WIN-12", "SRC-13"])
+def q_stream_live_view(spark, sf_dir):
+    """Rows-only: emission time is processing time. The last 150 windows per series with latency."""
+    from myosig.streaming.windows import add_latency, live_view
+
+    base = fd.scratch_folder(spark, "live_view")
+    path = fd.write_feed(spark, sf_dir, os.path.join(base, "feed"), files=2)
+    sdf = fd.stream_samples(spark, path)
+    w = stream_windows(sdf, 8, 4, series="subject", seq="seq", x="x", truth="gait")
+    out = run_to_table(spark, add_latency(w), "windows", base)
+    return live_view(spark, out, n=150).select("series", "window_id", "mav", "truth_last", "emitted_at")
