@@ -21,7 +21,7 @@ from myosig.plans import all_queries  # noqa: E402
 from myosig.session import local_session  # noqa: E402
 
 # Fits with many small Spark jobs (iterative training, grid search) are timed by their own tests.
-DEFAULT_SKIP = {"grid_search", "mlp_fit", "kernel_models", "boosted_models", "forest_classifier", "pca_variance"}
+DEFAULT_SKIP = {"grid_search", "mlp_fit", "kernel_models", "boosted_models", "forest_classifier", "pca_variance", "forest_fit_joint"}
 
 
 def main() -> int:

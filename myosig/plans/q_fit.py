@@ -88,3 +88,18 @@ def q_packets(spark, sf_dir):
     enc = msg.encode_float_packets(g.withColumn("orig", F.col("emg_ta")), "emg_ta")
     dec = msg.decode_float_packets(enc, "payload", n=64, out="values")
     return dec.select("vec_id", F.size("values").alias("n_values"), (F.col("values") == F.col("orig")).alias("roundtrip_ok"))
+
+
+@query("forest_fit_joint", ["ML-03", "ML-19", "EVL-03"])
+def q_forest_fit_joint(spark, sf_dir):
+    """Joint two-output forest (one structure for both targets), grown level-wise on Spark."""
+    from myosig.models.multiforest import fit_multi_forest
+
+    w = window_features(spark, sf_dir).persist()
+    feats = [f for f in WIN_FEATURES if f != "mav"]
+    nodes = fit_multi_forest(w.where(F.col("split") == sp.TRAIN), feats, ["gait_target", "mav"], "window_id", trees=10, depth=5, min_leaf=10)
+    test = w.where(F.col("split") == sp.TEST)
+    pred = trees.score_forest(test.select("activity", "gait_target", "mav", *feats), nodes, feats, ["p_gait", "p_mav"])
+    long = ev.long_pairs(pred, {"gait": ("gait_target", "p_gait"), "mav": ("mav", "p_mav")}, keep=["activity"])
+    m = ev.metrics_by_target(long, ["activity"])
+    return m.select("activity", "target", "n", r6("r2").alias("r2"), r6("rmse").alias("rmse"))
