@@ -170,7 +170,7 @@ def q_report(spark, sf_dir):
     sql=f"""
 WITH {CLS_SQL}, per AS (SELECT fold, count(*) AS n, avg(CASE WHEN truth = pred THEN 1.0 ELSE 0.0 END) AS accuracy FROM c GROUP BY fold)
 SELECT fold, n, round(accuracy, 6) AS accuracy, false AS is_mean FROM per
-UNION ALL SELECT NULL, sum(n), round(avg(accuracy), 6), true FROM per
+UNION ALL SELECT NULL, CAST(sum(n) AS BIGINT), round(avg(accuracy), 6), true FROM per
 """,
 )
 def q_fold_report(spark, sf_dir):

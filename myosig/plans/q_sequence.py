@@ -391,7 +391,7 @@ def q_latency(spark, sf_dir):
     ["EVL-11"],
     sql="""
 SELECT CAST(count(*) FILTER (WHERE quality = toxic) AS BIGINT) AS n_correct, count(*) AS n_total,
-       round(avg((doc_id % 97) * 10.0 + 500.0), 6) AS mean_us, round(sum((doc_id % 97) * 10.0 + 500.0), 6) AS total_us
+       round(avg(CAST((doc_id % 97) * 10.0 + 500.0 AS DOUBLE)), 6) AS mean_us, round(sum(CAST((doc_id % 97) * 10.0 + 500.0 AS DOUBLE)), 6) AS total_us
 FROM labels
 """,
 )

@@ -57,7 +57,7 @@ def q_split_first_seen(spark, sf_dir):
     sql=f"""
 WITH {SIG_SQL}, g AS (SELECT subject, count(*) AS rows_total FROM sig GROUP BY subject),
 c AS (SELECT subject, rows_total, CAST(floor(rows_total * 0.8) AS BIGINT) AS train_end FROM g)
-SELECT subject, rows_total, 0.8 AS train_ratio, CAST(4 AS BIGINT) AS gap_samples, train_end, train_end + 4 AS test_start,
+SELECT subject, rows_total, CAST(0.8 AS DOUBLE) AS train_ratio, CAST(4 AS BIGINT) AS gap_samples, train_end, train_end + 4 AS test_start,
        train_end AS train_rows, greatest(rows_total - (train_end + 4), 0) AS test_rows,
        rows_total >= 24 AND train_end >= 8 AND rows_total - (train_end + 4) >= 8 AS valid
 FROM c
@@ -201,7 +201,7 @@ def q_class_guard(spark, sf_dir):
     sql=f"""
 WITH {REPS_SQL}, g AS (SELECT subject, count(*) AS n_test FROM r GROUP BY subject)
 SELECT CAST(row_number() OVER (ORDER BY subject) - 1 AS INT) AS fold, subject, n_test,
-       sum(n_test) OVER () - n_test AS n_train FROM g
+       CAST(sum(n_test) OVER () - n_test AS BIGINT) AS n_train FROM g
 """,
 )
 def q_logo(spark, sf_dir):
