@@ -129,7 +129,7 @@ def kalman_smooth(
     q_ratio: float = 0.4,
     out: str | None = None,
     block: int = 1 << 16,
-    rows_per_group: int = 1 << 20,
+    rows_per_group: int = 1 << 16,
 ) -> DataFrame:
     """WIN-09: scalar Kalman filter x_i = x_{i-1} + K_i (z_i - x_{i-1}), x_0 = z_0.
 
