@@ -64,10 +64,10 @@ def with_row_index(
     ranged = (
         df.repartitionByRange(n_parts, *keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-        .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
-        .drop("_mid")
+        .withColumn("_rix_mid", F.monotonically_increasing_id())
+        .withColumn("_rix_pid", F.shiftright("_rix_mid", _LOCAL_BITS))
+        .withColumn("_rix_loc", F.col("_rix_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
+        .drop("_rix_mid")
     )
     lag_cols = list(lag_cols)
     if lag_cols:
@@ -79,25 +79,25 @@ def with_row_index(
         ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
 
     series = list(series)
-    pieces = ranged.groupBy("_pid", *series).agg(
-        F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_n")
+    pieces = ranged.groupBy("_rix_pid", *series).agg(
+        F.min("_rix_loc").alias("_rix_first"), F.count(F.lit(1)).alias("_rix_n")
     )
-    w = Window.partitionBy(*series).orderBy("_pid")
+    w = Window.partitionBy(*series).orderBy("_rix_pid")
     pieces = pieces.withColumn(
-        "_off",
-        F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_rix_off",
+        F.coalesce(F.sum("_rix_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
     if count_name:
-        pieces = pieces.withColumn(count_name, F.sum("_n").over(Window.partitionBy(*series)))
-    keep = ["_pid", *series, "_first", "_off"] + ([count_name] if count_name else [])
+        pieces = pieces.withColumn(count_name, F.sum("_rix_n").over(Window.partitionBy(*series)))
+    keep = ["_rix_pid", *series, "_rix_first", "_rix_off"] + ([count_name] if count_name else [])
     pieces = pieces.select(*keep)
     if not series:
         # One row per partition: a bound we control, safe to broadcast.
         pieces = F.broadcast(pieces)
     src = _fix_partition_edges(ranged, lag_cols, lags, series) if lag_cols else ranged
-    out = src.join(pieces, on=["_pid", *series], how="inner")
-    out = out.withColumn(name, (F.col("_loc") - F.col("_first") + F.col("_off")).cast("bigint"))
-    return out.drop("_pid", "_loc", "_first", "_off")
+    out = src.join(pieces, on=["_rix_pid", *series], how="inner")
+    out = out.withColumn(name, (F.col("_rix_loc") - F.col("_rix_first") + F.col("_rix_off")).cast("bigint"))
+    return out.drop("_rix_pid", "_rix_loc", "_rix_first", "_rix_off")
 
 
 def _local_lags(ranged: DataFrame, cols: list[str], lags: int, series: list[str], suffix: str = "_lag") -> DataFrame:
@@ -149,7 +149,7 @@ def _local_lags(ranged: DataFrame, cols: list[str], lags: int, series: list[str]
     # rows without an in-partition predecessor get NULL, then the fix-up fills them
     local = local.select(
         *[F.col(c) for c in ranged.columns],
-        *[F.when(F.col("_loc") >= k, F.col(f"{c}{suffix}{k}")).alias(f"{c}{suffix}{k}") for c in cols for k in range(1, lags + 1)],
+        *[F.when(F.col("_rix_loc") >= k, F.col(f"{c}{suffix}{k}")).alias(f"{c}{suffix}{k}") for c in cols for k in range(1, lags + 1)],
     )
     return local
 
@@ -161,27 +161,27 @@ def _fix_partition_edges(ranged: DataFrame, cols: list[str], lags: int, series:
     position) it holds every such predecessor, so one small window gives the
     missing lags, which a broadcast join puts back (the big side is not moved).
     """
-    last = ranged.groupBy("_pid").agg(F.max("_loc").alias("_last"))  # one row per partition
+    last = ranged.groupBy("_rix_pid").agg(F.max("_rix_loc").alias("_rix_last"))  # one row per partition
     edge = (
-        ranged.join(F.broadcast(last), "_pid")
-        .where((F.col("_loc") < lags) | (F.col("_loc") > F.col("_last") - lags))
-        .select("_pid", "_loc", *series, *cols)
+        ranged.join(F.broadcast(last), "_rix_pid")
+        .where((F.col("_rix_loc") < lags) | (F.col("_rix_loc") > F.col("_rix_last") - lags))
+        .select("_rix_pid", "_rix_loc", *series, *cols)
     )
-    w = Window.orderBy("_pid", "_loc")  # over the edge table only: <= 2 x lags x partitions rows
+    w = Window.orderBy("_rix_pid", "_rix_loc")  # over the edge table only: <= 2 x lags x partitions rows
     skey = F.struct(*series) if series else F.lit(0)
-    fix = edge.withColumn("_skey", skey)
+    fix = edge.withColumn("_rix_skey", skey)
     for c in cols:
         for k in range(1, lags + 1):
             fix = fix.withColumn(
-                f"_fix_{c}{k}", F.when(F.lag("_skey", k).over(w) == F.col("_skey"), F.lag(c, k).over(w).cast("double"))
+                f"_rix_fix_{c}{k}", F.when(F.lag("_rix_skey", k).over(w) == F.col("_rix_skey"), F.lag(c, k).over(w).cast("double"))
             )
-    fix = fix.where(F.col("_loc") < lags).select("_pid", "_loc", *[f"_fix_{c}{k}" for c in cols for k in range(1, lags + 1)])
-    j = ranged.join(F.broadcast(fix), ["_pid", "_loc"], "left")
+    fix = fix.where(F.col("_rix_loc") < lags).select("_rix_pid", "_rix_loc", *[f"_rix_fix_{c}{k}" for c in cols for k in range(1, lags + 1)])
+    j = ranged.join(F.broadcast(fix), ["_rix_pid", "_rix_loc"], "left")
     for c in cols:
         for k in range(1, lags + 1):
             lc = f"{c}{suffix}{k}"
-            j = j.withColumn(lc, F.when(F.col("_loc") < k, F.col(f"_fix_{c}{k}")).otherwise(F.col(lc)))
-    return j.drop(*[f"_fix_{c}{k}" for c in cols for k in range(1, lags + 1)])
+            j = j.withColumn(lc, F.when(F.col("_rix_loc") < k, F.col(f"_rix_fix_{c}{k}")).otherwise(F.col(lc)))
+    return j.drop(*[f"_rix_fix_{c}{k}" for c in cols for k in range(1, lags + 1)])
 
 
 def with_lags(

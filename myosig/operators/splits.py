@@ -46,15 +46,14 @@ def rep_split_table(
     """
     if order == "sorted":
         pairs = df.select(activity, reps).distinct()
-        w = Window.partitionBy(activity).orderBy(reps)
+        by = [reps]
     elif order == "first_seen":
-        pairs = df.groupBy(activity, reps).agg(F.min(idx).alias("_first"))
-        w = Window.partitionBy(activity).orderBy("_first", reps)
+        pairs = df.groupBy(activity, reps).agg(F.min(idx).alias("_seen"))
+        by = ["_seen", reps]
     else:
         raise ValueError(order)
-    ranked = pairs.withColumn("_rk", F.row_number().over(w) - 1).withColumn(
-        "_n", F.count(F.lit(1)).over(Window.partitionBy(activity))
-    )
+    # distributed ranking: an activity with very many reps is still numbered by many tasks
+    ranked = with_row_index(pairs, by, series=[activity], name="_rk", count_name="_n")
     return ranked.select(activity, reps, _cut(F.col("_rk"), F.col("_n"), ratio).alias("split"))
 
 
@@ -217,7 +216,7 @@ def argmax_class(scores: str | Column) -> Column:
 def group_folds(df: DataFrame, group: str) -> DataFrame:
     """JOI-06: fold id = rank of the group in sorted order (one fold per group)."""
     g = df.select(group).distinct()
-    return g.withColumn("fold", (F.row_number().over(Window.orderBy(group)) - 1).cast("int"))
+    return with_row_index(g, [group], name="fold").withColumn("fold", F.col("fold").cast("int"))
 
 
 def leave_one_group_out(df: DataFrame, group: str) -> DataFrame:
@@ -229,9 +228,9 @@ def leave_one_group_out(df: DataFrame, group: str) -> DataFrame:
 
 
 def label_map(df: DataFrame, label: str) -> DataFrame:
-    """Sorted distinct labels -> dense ids 0..k-1 (a table with one row per label)."""
+    """Sorted distinct labels -> dense ids 0..k-1 (one row per label, ranked by the distributed index)."""
     d = df.select(label).distinct()
-    return d.withColumn("id", (F.row_number().over(Window.orderBy(label)) - 1).cast("int"))
+    return with_row_index(d, [label], name="id").withColumn("id", F.col("id").cast("int"))
 
 
 def encode_labels(df: DataFrame, mapping: DataFrame, label: str, out: str = "label_id", default: int | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,11 @@ MAX_BROADCAST_VOCAB = 1_000_000
 
 def _vocabulary(df: DataFrame, col: str) -> tuple[DataFrame, bool]:
     """Distinct values of ``col`` with dense codes in sorted order (code order = value order)."""
+    from myosig.operators.index import with_row_index
+
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
     n = d.count()  # one scalar: decides broadcast vs shuffle join
-    # the window below sees one row per distinct value (a vocabulary, not the data)
-    v = d.withColumn(f"_code_{col}", (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    v = with_row_index(d, [col], name=f"_code_{col}").withColumn(f"_code_{col}", F.col(f"_code_{col}").cast("int"))
     return v, n <= MAX_BROADCAST_VOCAB
 
 
