@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from myosig import adapters
-from myosig.functions import features as ft
 from myosig.operators import scaling as sc
 from myosig.operators import splits as sp
 from myosig.operators.index import with_row_index
