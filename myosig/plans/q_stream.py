@@ -56,3 +56,33 @@ def q_stream_live_view(spark, sf_dir):
     w = stream_windows(sdf, 8, 4, series="subject", seq="seq", x="x", truth="gait")
     out = run_to_table(spark, add_latency(w), "windows", base)
     return live_view(spark, out, n=150).select("series", "window_id", "mav", "truth_last", "emitted_at")
+
+
+@query(
+    "stream_grid_windows",
+    ["STR-01", "STR-02", "STR-03", "STR-05", "AGG-01", "AGG-03", "SRC-12"],
+    sql=f"""
+WITH g AS (SELECT label AS series, vec_id, embedding, {sql_index('vec_id', 'label')} AS idx,
+                  count(*) OVER (PARTITION BY label) AS n_rows FROM embeddings),
+m AS (SELECT *, unnest({sql_window_ids(8, 4)}) AS window_id FROM g),
+l AS (SELECT series, window_id, idx, vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS ch,
+             CAST(unnest(embedding) AS DOUBLE) AS v FROM m)
+SELECT CAST(series AS BIGINT) AS series, window_id, round(avg(abs(v)), 6) AS mav,
+       round(avg(v) FILTER (WHERE ch = 0), 6) AS mean_c0, round(avg(v) FILTER (WHERE ch = 63), 6) AS mean_c63,
+       round(CAST(max(vec_id) AS DOUBLE), 6) AS truth_last
+FROM l GROUP BY series, window_id
+""",
+)
+def q_stream_grid(spark, sf_dir):
+    from myosig.streaming.windows import stream_block_windows
+
+    base = fd.scratch_folder(spark, "stream_grid")
+    path = fd.write_grid_feed(spark, sf_dir, os.path.join(base, "feed"), files=4)
+    sdf = spark.readStream.schema(fd.GRID_FEED_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    w = stream_block_windows(sdf, 8, 4, series="series", seq="seq", x="x", truth="t").where(F.col("window_id") >= 0)
+    out = run_to_table(spark, w, "windows", base)
+    t = spark.read.parquet(out)
+    return t.select(
+        "series", "window_id", r6("mav").alias("mav"), r6(F.col("mean_ch")[0]).alias("mean_c0"),
+        r6(F.col("mean_ch")[63]).alias("mean_c63"), r6("truth_last").alias("truth_last"),
+    )

@@ -41,3 +41,16 @@ def write_feed(spark: SparkSession, sf_dir: str, path: str, files: int = 4, star
 def stream_samples(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
     """SRC-12: the feed as a stream (fixed schema, one file per micro-batch by default)."""
     return spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def write_grid_feed(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
+    """Electrode-grid samples (64 channels) numbered per class, written out of order."""
+    g = adapters.grid(spark, sf_dir)
+    ix = with_row_index(g, ["idx"], series=["label"], name="seq")
+    ix.select(F.col("label").cast("bigint").alias("series"), "seq", F.col("emg_ta").alias("x"), F.col("idx").cast("double").alias("t")).repartition(
+        files, F.xxhash64("idx")
+    ).write.mode("overwrite").parquet(path)
+    return path
+
+
+GRID_FEED_SCHEMA = "series bigint, seq bigint, x array<float>, t double"

@@ -198,3 +198,119 @@ def live_view(spark: SparkSession, path: str, n: int = 150) -> DataFrame:
 
     t = spark.read.parquet(path).where(F.col("window_id") >= 0)
     return last_n(t, n, ["window_id"], series=["series"])
+
+
+# ---------------------------------------------------------------- multi-channel sample blocks
+MULTI_OUT_SCHEMA = T.StructType(
+    [
+        T.StructField("series", T.LongType()),
+        T.StructField("window_id", T.LongType()),
+        T.StructField("start_seq", T.LongType()),
+        T.StructField("end_seq", T.LongType()),
+        T.StructField("mav", T.DoubleType()),
+        T.StructField("mean_ch", T.ArrayType(T.DoubleType())),
+        T.StructField("truth_last", T.DoubleType()),
+        T.StructField("n_dropped", T.LongType()),
+    ]
+)
+
+MULTI_STATE_SCHEMA = T.StructType(
+    [
+        T.StructField("next_seq", T.LongType()),
+        T.StructField("next_win", T.LongType()),
+        T.StructField("channels", T.IntegerType()),
+        T.StructField("buf_seq", T.ArrayType(T.LongType())),
+        T.StructField("buf_x", T.ArrayType(T.DoubleType())),  # row-major samples x channels
+        T.StructField("buf_t", T.ArrayType(T.DoubleType())),
+        T.StructField("pend_seq", T.ArrayType(T.LongType())),
+        T.StructField("pend_x", T.ArrayType(T.DoubleType())),
+        T.StructField("pend_t", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+
+def _multi_window_step(size: int, step: int):
+    if not 0 < step <= size:
+        raise ValueError("need 0 < step <= size")
+    cols = [f.name for f in MULTI_OUT_SCHEMA.fields]
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        series = int(key[0])
+        if state.exists:
+            nxt, nwin, ch, bs, bx, bt, ps, px, pt = state.get
+        else:
+            nxt, nwin, ch, bs, bx, bt, ps, px, pt = 0, 0, 0, [], [], [], [], [], []
+        seqs, ts, blocks = [np.asarray(ps, dtype="int64")], [np.asarray(pt, dtype="float64")], []
+        for p in pdfs:
+            if p.empty:
+                continue
+            seqs.append(p["seq"].to_numpy(dtype="int64"))
+            ts.append(p["t"].to_numpy(dtype="float64"))
+            blocks.append(np.stack([np.asarray(v, dtype="float64") for v in p["x"]]))
+        if blocks and not ch:
+            ch = blocks[0].shape[1]
+        xs = [np.asarray(px, dtype="float64").reshape(-1, ch)] + blocks if ch else []
+        seq, t = np.concatenate(seqs), np.concatenate(ts)
+        x = np.concatenate(xs) if xs else np.zeros((len(seq), 0))
+        before = len(seq)
+        keep = seq >= nxt
+        seq, x, t = seq[keep], x[keep], t[keep]
+        o = np.argsort(seq, kind="stable")
+        seq, x, t = seq[o], x[o], t[o]
+        first = np.ones(len(seq), dtype=bool)
+        first[1:] = seq[1:] != seq[:-1]
+        seq, x, t = seq[first], x[first], t[first]
+        dropped = before - len(seq)
+        gap = np.nonzero(seq != nxt + np.arange(len(seq)))[0]
+        run = int(gap[0]) if len(gap) else len(seq)
+        b_seq = np.concatenate([np.asarray(bs, dtype="int64"), seq[:run]])
+        b_x = np.concatenate([np.asarray(bx, dtype="float64").reshape(-1, ch) if ch else np.zeros((0, 0)), x[:run]]) if ch else x[:run]
+        b_t = np.concatenate([np.asarray(bt, dtype="float64"), t[:run]])
+        nxt += run
+        n_win = 0 if len(b_seq) < size else (len(b_seq) - size) // step + 1
+        out = None
+        if n_win:
+            starts = np.arange(n_win) * step
+            wins = np.stack([b_x[s : s + size] for s in starts])  # (windows, size, channels)
+            out = pd.DataFrame(
+                {
+                    "series": np.full(n_win, series, dtype="int64"),
+                    "window_id": nwin + np.arange(n_win, dtype="int64"),
+                    "start_seq": b_seq[starts],
+                    "end_seq": b_seq[starts + size - 1],
+                    "mav": np.abs(wins).mean(axis=(1, 2)),
+                    "mean_ch": list(wins.mean(axis=1)),
+                    "truth_last": b_t[starts + size - 1],
+                    "n_dropped": np.zeros(n_win, dtype="int64"),
+                }
+            )
+            out.loc[out.index[-1], "n_dropped"] = dropped
+            nwin += n_win
+            cut = n_win * step
+            b_seq, b_x, b_t = b_seq[cut:], b_x[cut:], b_t[cut:]
+        state.update(
+            (
+                int(nxt), int(nwin), int(ch), b_seq.tolist(), b_x.ravel().tolist(), b_t.tolist(),
+                seq[run:].tolist(), x[run:].ravel().tolist(), t[run:].tolist(),
+            )
+        )
+        if out is not None:
+            yield out[cols]
+        elif dropped:
+            yield pd.DataFrame([(series, -1, -1, -1, None, None, None, dropped)], columns=cols)
+
+    return fn
+
+
+def stream_block_windows(sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t") -> DataFrame:
+    """STR-01/04 for multi-channel samples (``x`` is an array per sample, e.g. an electrode grid):
+    per window the MAV over all samples and channels and the mean of every channel."""
+    s = sdf.select(
+        F.col(series).cast("long").alias("series"),
+        F.col(seq).cast("long").alias("seq"),
+        F.col(x).cast("array<double>").alias("x"),
+        F.col(truth).cast("double").alias("t"),
+    )
+    return s.groupBy("series").applyInPandasWithState(
+        _multi_window_step(size, step), MULTI_OUT_SCHEMA, MULTI_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )

@@ -64,3 +64,28 @@ def test_stream_equals_batch_with_duplicates(spark):
     assert len(got) == len(exp)
     np.testing.assert_allclose(got["mav"].to_numpy(), exp["mav"].to_numpy(), rtol=1e-12)
     assert int(spark.read.parquet(out).agg(F.sum("n_dropped")).first()[0]) == len(dup)
+
+
+def test_block_stream_equals_batch(spark):
+    from myosig.streaming.windows import stream_block_windows
+
+    rng = np.random.default_rng(8)
+    rows = [(s, i, rng.normal(size=4).tolist(), float(i)) for s in range(3) for i in range(40 + 5 * s)]
+    base = fd.scratch_folder(spark, "test_block_stream")
+    path = os.path.join(base, "feed")
+    df = spark.createDataFrame(rows + rows[3:9], "subject long, seq long, x array<double>, gait double")
+    df.repartition(3, F.xxhash64("seq", "subject")).write.parquet(path)
+    sdf = spark.readStream.schema("subject long, seq long, x array<double>, gait double").option("maxFilesPerTrigger", 1).parquet(path)
+    out = run_to_table(spark, stream_block_windows(sdf, 8, 4, series="subject", truth="gait"), "w", base)
+    got = spark.read.parquet(out).where("window_id >= 0").toPandas().sort_values(["series", "window_id"]).reset_index(drop=True)
+    exp = []
+    for s in range(3):
+        xs = np.array([r[2] for r in rows if r[0] == s])
+        for k, st in enumerate(range(0, len(xs) - 8 + 1, 4)):
+            w = xs[st : st + 8]
+            exp.append((s, k, np.abs(w).mean(), w.mean(axis=0)))
+    assert len(got) == len(exp)
+    for (s, k, mav, mch), row in zip(exp, got.itertuples()):
+        assert (row.series, row.window_id) == (s, k)
+        assert abs(row.mav - mav) < 1e-12
+        np.testing.assert_allclose(np.asarray(row.mean_ch), mch, rtol=1e-12)
