@@ -109,7 +109,7 @@ def q_feature_store(spark, sf_dir):
     w = sliding_windows(ix, 8, 4, series=["subject"], aggs={"mav": ft.mav("x"), "gait_target": ft.target_mean("gait")})
     base = scratch_folder(spark, "feature_store")
     io.write_features(w, os.path.join(base, "features"), partition_by=["subject"], order=["window_id"])
-    io.write_schema_artifacts(os.path.join(base, "schema"), ["mav"], ["gait_target"])
+    io.write_schema_artifacts(os.path.join(base, "schema"), ["mav"], ["gait_target"], spark=spark)
     back = io.read_subjects(spark, os.path.join(base, "features"))
     return back.select(F.col("subject").cast("bigint").alias("subject"), "window_id", r6("mav").alias("mav"), r6("gait_target").alias("gait_target"))
 
@@ -118,11 +118,8 @@ def q_feature_store(spark, sf_dir):
 def q_golden_roundtrip(spark, sf_dir):
     g = q_golden(spark, sf_dir).orderBy("window_id").drop("window_id")
     rows = [r.asDict() for r in g.collect()]  # at most 5 vectors: the artefact is a small JSON file
-    base = scratch_folder(spark, "golden")
-    os.makedirs(base, exist_ok=True)
-    path = os.path.join(base, "vectors.json")
-    with open(path, "w") as f:
-        json.dump(rows, f)
+    path = os.path.join(scratch_folder(spark, "golden"), "vectors.json")
+    io.write_text(spark, path, json.dumps(rows, indent=2))
     return io.read_golden(spark, path)
 
 

@@ -90,16 +90,39 @@ def write_split_info(info: DataFrame, path: str) -> None:
     info.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_schema_artifacts(path: str, feature_names: Sequence[str], target_names: Sequence[str], label_map: dict | None = None) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small text file through the Hadoop FileSystem of ``path`` (HDFS, object
+    stores, local), so artefacts land in the shared folder; local ``open`` as fallback."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote client): local file
+        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+        with open(path, "w") as f:
+            f.write(text)
+
+
+def write_schema_artifacts(
+    path: str, feature_names: Sequence[str], target_names: Sequence[str], label_map: dict | None = None, spark: SparkSession | None = None
+) -> None:
     """SRC-06: feature/target names and label map (driver-side metadata, a few KB)."""
-    os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, "feature_names.json"), "w") as f:
-        json.dump(list(feature_names), f)
-    with open(os.path.join(path, "target_names.json"), "w") as f:
-        json.dump(list(target_names), f)
+    files = {"feature_names.json": list(feature_names), "target_names.json": list(target_names)}
     if label_map is not None:
-        with open(os.path.join(path, "label_map.json"), "w") as f:
-            json.dump(label_map, f)
+        files["label_map.json"] = label_map
+    for name, obj in files.items():
+        target = os.path.join(path, name)
+        if spark is not None:
+            write_text(spark, target, json.dumps(obj))
+        else:
+            os.makedirs(path, exist_ok=True)
+            with open(target, "w") as f:
+                json.dump(obj, f)
 
 
 def metrics_document(metrics: DataFrame, by: str = "activity", target: str = "target", values: Sequence[str] = ("r2", "rmse", "n")) -> DataFrame:
