@@ -9,7 +9,9 @@ distributed sort numbers rows:
    position) -- high bits and low 33 bits;
 3. per (partition, series) we keep the first local position and the row count,
    a table whose size is bounded by partitions + series;
-4. a running sum of those counts per series gives each piece its offset.
+4. a running sum of those counts per series gives each piece its offset;
+5. optionally, lags of some columns: an Arrow pass over each sorted partition,
+   then a fix-up of every partition's first rows from a small edge table.
 
 The order key must be total (ties broken by a unique column).  The range
 bounds Spark samples depend on the RDD id, so two separately planned branches
@@ -56,7 +58,7 @@ def with_row_index(
     ``count_name`` adds the number of rows of the row's series (the whole frame
     when ``series`` is empty), which window bounds need.  ``lag_cols`` adds
     ``<c>_lag1 .. <c>_lag{lags}`` (NULL across a series start) in the same pass:
-    see :func:`_sorted_lags` -- no extra shuffle.
+    see :func:`_local_lags` and :func:`_fix_partition_edges` -- no extra shuffle.
     """
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
