@@ -53,7 +53,7 @@ def exact_quantile(
     data = (
         df.select(*keys, F.col(value).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .persist(StorageLevel.DISK_ONLY)
     )
     stats = data.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")

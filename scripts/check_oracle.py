@@ -60,7 +60,13 @@ def main():
     sf_dir = "/root/testdata/sf0.01"
     if args and args[0].startswith("/"):
         sf_dir, args = args[0], args[1:]
-    spark = local_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's situation: a default session, none of our settings
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     qs = all_queries()
     names = args or list(qs)
