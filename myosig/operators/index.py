@@ -16,7 +16,7 @@ distributed sort numbers rows:
 The order key must be total (ties broken by a unique column).  The range
 bounds Spark samples depend on the RDD id, so two separately planned branches
 would cut the data differently: the range-partitioned frame is therefore
-persisted (disk only) and both the count branch and the data branch read
+persisted (memory and disk) and both the count branch and the data branch read
 that one physical partitioning.  A lost cached block is recomputed from the same
 exchange (same partitioner object), so positions stay identical.  ``stable=True``
 writes it to the reliable checkpoint folder instead (cuts lineage; survives the
@@ -78,9 +78,8 @@ def with_row_index(
     if stable:
         ranged = ranged.checkpoint(eager=True)
     else:
-        # disk only: positions must come from one partitioning, but pinning it in the
-        # heap is not needed (reads come back through the page cache)
-        ranged = ranged.persist(StorageLevel.DISK_ONLY)
+        # memory and disk: Spark evicts to disk under memory pressure
+        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
 
     series = list(series)
     pieces = ranged.groupBy("_rix_pid", *series).agg(
