@@ -23,8 +23,8 @@ LICENSES: list[tuple[str, int, list[str], list[str]]] = [
     ("mit-0", 55, ["mit no attribution", "mit 0"], []),
     ("x11", 50, ["x11", "mit x11", "x consortium"], ["except as contained in this notice the name of the x consortium shall not be used"]),
     ("isc", 50, ["isc", "internet systems consortium"], ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"]),
-    ("apache-2", 55, [f"apache (?:software )?(?:license )?{_V}2(?: 0)?", "asl 2 0"], ["unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"]),
-    ("apache-1.1", 55, [f"apache (?:software )?(?:license )?{_V}1 1"], ["this product includes software developed by the apache software foundation"]),
+    ("apache-2", 55, [f"apache (?:software )?(?:license )?{_V}2(?: 0)?", "asl 2 0"], [f"apache (?:software )?licen[cs]e {_V}2(?: 0)?", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"]),
+    ("apache-1.1", 55, [f"apache (?:software )?(?:license )?{_V}1 1"], [f"apache (?:software )?licen[cs]e {_V}1 1", "this product includes software developed by the apache software foundation"]),
     ("apache", 40, ["apache(?: software)?"], []),
     ("bsd-0-clause", 55, ["bsd 0 clause", "zero clause bsd", "0bsd"], ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is"]),
     ("bsd-2-clause", 55, ["bsd 2 clause", "2 clause bsd", "two clause bsd", "simplified bsd", "freebsd"], ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"]),
@@ -32,8 +32,8 @@ LICENSES: list[tuple[str, int, list[str], list[str]]] = [
     ("bsd-4-clause", 56, ["bsd 4 clause", "4 clause bsd", "four clause bsd", "original bsd"], ["all advertising materials mentioning features or use of this software must display the following acknowledge?ment"]),
     ("bsd", 40, ["bsd", "berkeley software distribution"], []),
     ("gpl-1", 60, [f"(?:gnu )?gpl {_V}1(?: 0)?", f"(?:gnu )?general public licen[cs]e {_V}1(?: 0)?"], []),
-    ("gpl-2", 60, [f"(?:gnu )?gpl ?{_V}2(?: 0)?", f"(?:gnu )?general public licen[cs]e {_V}2(?: 0)?", "gplv2"], ["either version 2 of the license or at your option any later version"]),
-    ("gpl-3", 60, [f"(?:gnu )?gpl ?{_V}3(?: 0)?", f"(?:gnu )?general public licen[cs]e {_V}3(?: 0)?", "gplv3"], ["either version 3 of the license or at your option any later version"]),
+    ("gpl-2", 60, [f"(?:gnu )?gpl {_V}2(?: 0)?", "gpl2", f"(?:gnu )?general public licen[cs]e {_V}2(?: 0)?", "gplv2"], ["either version 2 of the license or at your option any later version"]),
+    ("gpl-3", 60, [f"(?:gnu )?gpl {_V}3(?: 0)?", "gpl3", f"(?:gnu )?general public licen[cs]e {_V}3(?: 0)?", "gplv3"], ["either version 3 of the license or at your option any later version"]),
     ("gpl", 45, ["(?:gnu )?gpl", "gnu general public", "gnu public"], ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"]),
     ("lgpl-2", 65, [f"(?:gnu )?lgpl {_V}2(?: 0)?", f"(?:gnu )?library general public licen[cs]e {_V}2(?: 0)?"], []),
     ("lgpl-2.1", 66, [f"(?:gnu )?lgpl {_V}2 1", f"(?:gnu )?lesser general public licen[cs]e {_V}2 1", "lgplv2 1"], ["either version 2 1 of the license or at your option any later version"]),
@@ -69,7 +69,7 @@ LICENSES: list[tuple[str, int, list[str], list[str]]] = [
     ("ofl-1.1", 55, ["(?:sil )?open font", "ofl 1 1"], ["this font software is licensed under the sil open font license"]),
     ("wtfpl", 55, ["wtfpl", "do what the fuck you want to public"], ["everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed"]),
     ("unlicense", 55, ["unlicense"], ["this is free and unencumbered software released into the public domain"]),
-    ("cc0", 65, ["(?:creative commons )?cc ?0(?: 1 0)?", "creative commons zero", "cc zero"], ["to the extent possible under law (?:[^ ]+ ){1,12}waived all copyright"]),
+    ("cc0", 65, ["(?:creative commons )?cc0(?: 1 0)?", "(?:creative commons )?cc 0(?: 1 0)?", "creative commons zero", "cc zero"], ["to the extent possible under law (?:[^ ]+ ){1,12}waived all copyright"]),
     ("cc-by", 50, ["(?:creative commons )?cc by(?: [1-4] [05])?", "creative commons attribution(?: [1-4] [05])?"], []),
     ("cc-by-sa", 60, ["cc by sa(?: [1-4] [05])?", "creative commons attribution share ?alike(?: [1-4] [05])?"], []),
     ("cc-by-nd", 60, ["cc by nd(?: [1-4] [05])?", "creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [05])?"], []),
@@ -91,12 +91,12 @@ LICENSES: list[tuple[str, int, list[str], list[str]]] = [
     ("qpl-1", 50, ["q public"], []),
     ("sleepycat", 50, ["sleepycat"], []),
     ("vim", 50, ["vim"], []),
-    ("beerware", 50, ["beer ?ware"], ["as long as you retain this notice you can do whatever you want with this stuff"]),
+    ("beerware", 50, ["beerware", "beer ware"], ["as long as you retain this notice you can do whatever you want with this stuff"]),
     ("json", 50, ["json"], ["the software shall be used for good not evil"]),
     ("sspl-1", 60, ["server side public", "sspl"], []),
     ("elastic-2", 55, ["elastic"], []),
     ("polyform-nc", 60, ["polyform noncommercial"], []),
-    ("openrail", 55, ["(?:bigscience )?open ?rail(?: m)?", "creativeml open ?rail m"], []),
+    ("openrail", 55, ["(?:bigscience )?openrail(?: m)?", "(?:bigscience )?open rail(?: m)?", "creativeml openrail m"], []),
     ("llama", 50, ["llama(?: [23])? community"], []),
     ("public-domain", 30, ["public domain"], ["(?:released|placed|dedicated) (?:in ?to|to|in) the public domain", "this work is in the public domain"]),
     ("proprietary", 30, ["proprietary", "commercial"], ["proprietary and confidential", "unauthorized copying of this file via any medium is strictly prohibited"]),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from myosig.llm import chat, license_scan
+from myosig.llm import chat, license_scan, merkle
 from myosig.session import ensure_checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.conversation_digests(chat.format_turns(rows.unionByName(chat.probe(spark))))
+
+
+@query
+def op1_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_report(table(spark, sf_dir, "documents"))
