@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from myosig.llm import chat, license_scan, merkle
+from myosig.llm import chat, langid, license_scan, merkle, quality_knn
 from myosig.session import ensure_checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,13 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
