@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from myosig.llm import chat, langid, license_scan, merkle, mixing, quality_knn, quality_rules
+from myosig.llm import chat, langid, license_scan, merkle, mixing, packing, quality_knn, quality_rules
 from myosig.session import ensure_checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
