@@ -113,20 +113,20 @@ def minhash(s: np.ndarray) -> np.ndarray:
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("size", pa.int32()), ("coords", pa.binary()), ("tokens", pa.binary())])
+    """The set of every text: its name (``node``), its embedding and its tokens; nulls without a word."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("node", pa.binary()), ("coords", pa.binary()), ("tokens", pa.binary())])
     for b in batches:
         for at in range(0, len(b), 1000):
-            part, rows = b.slice(at, 1000), []
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            part, sets = b.slice(at, 1000), []
+            for text in part.column(1).to_pylist():
                 s = shingles(text)
                 if not len(s):
-                    rows.append((doc_id, None, 0, None, None))
+                    sets.append((None, None, None))
                     continue
-                node = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 # 32 bits of each shingle: a chance collision moves a similarity by about 1 / size
                 t = np.unique((s >> _U64(32)).astype(np.uint32))
-                rows.append((doc_id, node, len(t), minhash(s).tobytes(), t.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                sets.append((hashlib.blake2b(s.tobytes(), digest_size=16).digest(), minhash(s).tobytes(), t.tobytes()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), *(pa.array(c, pa.binary()) for c in zip(*sets))], schema=schema)
 
 
 def _expand(n_runs: int | None):
@@ -294,13 +294,19 @@ def _name(rep: Column, node: Column) -> Column:
     return F.coalesce(rep, -F.abs(F.xxhash64(node) % F.lit(1 << 62)) - 1)
 
 
-def join(docs: DataFrame, target: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
-    """doc_id, class_id, n_links of every document."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(plain.mapInArrow(_set_batches, "doc_id long, node binary, size int, coords binary, tokens binary"), "sets")
-    classes = written(
-        sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("coords").alias("coords")), "classes"
-    )
+def _row_key() -> list[Column]:
+    """Two 64-bit hashes that tell rows apart by id and text."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(F.lit(n), F.col("doc_id").cast("long"), text).alias(f"key{n}") for n in (1, 2)]
+
+
+def _named_classes(docs: DataFrame, target: float, leaf: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(sets, classes): a row per document, and a row per class of equal sets with its near-duplicate label and links."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *_row_key())
+    sets = written(plain.mapInArrow(_set_batches, "doc_id long, key1 long, key2 long, node binary, coords binary, tokens binary"), "sets")
+    # the least row of a class: by id, null last, then by key
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key1", "key2"))
+    classes = written(sets.where("node is not null").groupBy("node").agg(rep.alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("coords").alias("coords")), "classes")
     near = written(components(candidates(classes, runs(target), leaf)), "candidates")
     sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
@@ -315,9 +321,28 @@ def join(docs: DataFrame, target: float = TARGET_RECALL, leaf: int = LEAF, block
     exact = written(pairs.mapInArrow(_exact_batches, "a binary, b binary, links long"), "links")
     links = exact.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = components(exact.where("b is not null").select("a", "b"))
-    named = classes.join(groups, "node", "left").join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = written(named.select("node", "label", "rep", "copies", F.coalesce("links", F.lit(0)).alias("links")), "named")
+    named = classes.join(groups, "node", "left").join(links, "node", "left")
+    return sets, written(named.select("node", F.coalesce("label", "node").alias("label"), "rep", "copies", F.coalesce("links", F.lit(0)).alias("links")), "named")
+
+
+def join(docs: DataFrame, target: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+    """doc_id, class_id, n_links of every document."""
+    sets, named = _named_classes(docs, target, leaf, block)
     least = named.groupBy("label").agg(F.min("rep").alias("class_rep"))
-    result = written(named.join(least, "label").select("node", _name(F.col("class_rep"), F.col("label")).alias("class_id"), (F.col("copies") - 1 + F.col("links")).alias("n_links")), "classes")
+    result = written(named.join(least, "label").select("node", _name(F.col("class_rep.doc_id"), F.col("label")).alias("class_id"), (F.col("copies") - 1 + F.col("links")).alias("n_links")), "classes")
     rows = sets.select("doc_id", "node").join(result, "node", "left")
     return rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def distinct(docs: DataFrame, target: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+    """``docs`` with all columns, one row per near-duplicate class: the one of the least doc_id.
+
+    Of rows that repeat in id and text one stays.  Rows without a word are no duplicates of
+    each other; of those, too, only repeated rows go.
+    """
+    sets, named = _named_classes(docs, target, leaf, block)
+    least = named.groupBy("label").agg(F.min("rep").alias("rep")).select("rep.key1", "rep.key2")
+    kept = least.unionByName(sets.where("node is null").select("key1", "key2").distinct())
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_row_key())
+    # joined and grouped by one key: the second step needs no shuffle or sort of its own
+    return rows.join(kept, ["key1", "key2"], "left_semi").groupBy("key1", "key2").agg(F.first("row").alias("row")).select("row.*")

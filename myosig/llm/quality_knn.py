@@ -38,6 +38,8 @@ SHARPNESS = 4
 PRIOR_VOTES = 0.05
 #: A score from which on a document is predicted to be of quality 1.
 ACCEPT = 0.7
+#: A score below which a filter drops a document; between the two a document is doubtful and stays.
+REJECT_BELOW = 0.3
 #: Documents per block of the cosine product.
 BLOCK = 512
 

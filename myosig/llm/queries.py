@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from myosig.llm import chat, chosen_path, langid, license_scan, merkle, mixing, packing, quality_knn, quality_rules
+from myosig.llm import chat, chosen_path, langid, license_scan, masked_lm, merkle, mixing, packing, quality_knn, quality_rules
 from myosig.session import ensure_checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score(table(spark, sf_dir, "documents"))
