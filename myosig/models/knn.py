@@ -18,7 +18,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from myosig.operators.splits import stable_hash
 
 SUB = 128  # test rows per numpy sub-batch (bounds the difference tensor)
 
@@ -38,10 +37,10 @@ def knn_topk(
     s_blocks = max(1, math.ceil(n_test / block))
     r_blocks = max(1, math.ceil(n_train / block))
     te = test.select(F.col(test_id).alias("tid"), F.col(vec).alias("tv")).withColumn(
-        "_tb", F.pmod(stable_hash("tid", 11), F.lit(s_blocks))
+        "_tb", F.pmod(F.xxhash64("tid", F.lit(11)), F.lit(s_blocks))
     ).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
     tr = train.select(F.col(train_id).alias("rid"), F.col(vec).alias("rv"), F.col(label).alias("lbl")).withColumn(
-        "_rb", F.pmod(stable_hash("rid", 13), F.lit(r_blocks))
+        "_rb", F.pmod(F.xxhash64("rid", F.lit(13)), F.lit(r_blocks))
     ).withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(s_blocks - 1))))
     lbl_type = train.schema[label].dataType.simpleString()
     schema = f"tid bigint, rid bigint, lbl {lbl_type}, dist2 double"

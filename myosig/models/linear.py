@@ -103,7 +103,7 @@ def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> LdaModel:
     counts = np.array([r["_n"] for r in st], dtype="float64")
     means = np.array([[r[f"_m_{c}"] for c in feats] for r in st], dtype="float64")
     n = counts.sum()
-    j = df.join(broadcast_if_small(stats, rows=len(st)), label)
+    j = df.join(broadcast_if_small(stats), label)
     xc = [F.col(c) - F.col(f"_m_{c}") for c in feats]
     scatter = _sum_products(j, xc, xc)
     cov = scatter / n

@@ -28,12 +28,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from myosig.functions import broadcast_if_small
+
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
@@ -92,63 +95,61 @@ def with_row_index(
     )
     if count_name:
         pieces = pieces.withColumn(count_name, F.sum("_rix_n").over(Window.partitionBy(*series)))
-    keep = ["_rix_pid", *series, "_rix_first", "_rix_off"] + ([count_name] if count_name else [])
-    pieces = pieces.select(*keep)
-    if not series:
-        # One row per partition: a bound we control, safe to broadcast.
-        pieces = F.broadcast(pieces)
+    # null series are series too: keys get names of their own and match null-safe
+    names = {s: f"_rix_s{i}" for i, s in enumerate(series)}
+    pieces = pieces.select(
+        F.col("_rix_pid").alias("_rix_p"), *[F.col(s).alias(n) for s, n in names.items()], "_rix_first", "_rix_off", *([count_name] if count_name else [])
+    )
+    # one row per partition and series: broadcast after a size check, so the rows stay where they are
+    pieces = broadcast_if_small(pieces) if series else F.broadcast(pieces)
     src = _fix_partition_edges(ranged, lag_cols, lags, series) if lag_cols else ranged
-    out = src.join(pieces, on=["_rix_pid", *series], how="inner")
+    same = F.col("_rix_pid") == F.col("_rix_p")
+    for s, n in names.items():
+        same = same & F.col(s).eqNullSafe(F.col(n))
+    out = src.join(pieces, same, "inner")
     out = out.withColumn(name, (F.col("_rix_loc") - F.col("_rix_first") + F.col("_rix_off")).cast("bigint"))
-    return out.drop("_rix_pid", "_rix_loc", "_rix_first", "_rix_off")
+    return out.drop("_rix_pid", "_rix_loc", "_rix_first", "_rix_off", "_rix_p", *names.values())
 
 
 def _local_lags(ranged: DataFrame, cols: list[str], lags: int, series: list[str], suffix: str = "_lag") -> DataFrame:
     """Lags on the range-partitioned, sorted frame without another shuffle (step 1 of 2).
 
-    Inside each partition rows are already in order: an Arrow pass computes the
-    lags, carrying the last ``lags`` rows from one batch to the next.  Rows with
+    Inside each partition rows are already in order: an Arrow pass appends the
+    lags to the columns as they are (no value is converted, a null stays null),
+    carrying the last ``lags`` rows from one batch to the next.  Rows with
     no predecessor in their partition get NULL; :func:`_fix_partition_edges`
     fills them.  A lag is NULL when the previous row belongs to another series.
     """
-    out_cols = [f"{c}{suffix}{k}" for c in cols for k in range(1, lags + 1)]
-    schema = T.StructType(
-        [*ranged.schema.fields, *[T.StructField(f"{c}{suffix}{k}", T.DoubleType()) for c in cols for k in range(1, lags + 1)]]
-    )
+    added = [(c, k) for c in cols for k in range(1, lags + 1)]
+    schema = T.StructType([*ranged.schema.fields, *[T.StructField(f"{c}{suffix}{k}", T.DoubleType()) for c, k in added]])
 
     def run(batches):
-        carry_v = {c: np.zeros(0) for c in cols}
-        carry_k = {c: np.zeros(0, dtype=object) for c in series}
-        for pdf in batches:
-            if pdf.empty:
-                for oc in out_cols:
-                    pdf[oc] = pd.array([], dtype="Float64")
-                yield pdf
-                continue
-            m = len(next(iter(carry_v.values()))) if cols else 0
-            keys = {c: np.concatenate([carry_k[c], pdf[c].to_numpy(dtype=object)]) for c in series}
-            n = len(pdf)
+        # the last rows of the batch before, as Arrow columns: values keep their type and nulls
+        carry: pa.Table | None = None
+        for batch in batches:
+            here = pa.Table.from_batches([batch.select([*series, *cols])])
+            both = here if carry is None else pa.concat_tables([carry, here])
+            m, n = (0 if carry is None else len(carry)), len(batch)
+            out = list(batch.columns)
+            same = {}
             for k in range(1, lags + 1):
                 src = np.arange(m, m + n) - k
                 ok = src >= 0
-                same = ok.copy()
-                for c in series:
-                    kk = keys[c]
-                    same[ok] &= kk[src[ok]] == kk[m:][ok]
-                for c in cols:
-                    v = np.concatenate([carry_v[c], pdf[c].to_numpy(dtype="float64", na_value=np.nan)])
-                    vals = np.zeros(n)
-                    vals[ok] = v[src[ok]]
-                    # no in-partition predecessor, or another series: NULL (a NaN sample stays NaN)
-                    pdf[f"{c}{suffix}{k}"] = pd.arrays.FloatingArray(vals, mask=~same)
-            for c in cols:
-                v = np.concatenate([carry_v[c], pdf[c].to_numpy(dtype="float64", na_value=np.nan)])
-                carry_v[c] = v[-lags:]
-            for c in series:
-                carry_k[c] = keys[c][-lags:]
-            yield pdf
-
-    local = ranged.mapInPandas(run, schema)
+                take = pa.array(np.where(ok, src, 0), pa.int64(), mask=~ok)
+                keep = pa.array(ok)
+                for s in series:
+                    a, b = both[s].take(take).combine_chunks(), batch.column(s)
+                    eq = pc.or_kleene(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+                    keep = pc.and_(keep, eq)
+                same[k] = (take, keep)
+            for c, k in added:
+                take, keep = same[k]
+                v = both[c].take(take).combine_chunks().cast(pa.float64())
+                out.append(pc.if_else(keep, v, pa.scalar(None, pa.float64())))
+            yield pa.RecordBatch.from_arrays(out, [*batch.schema.names, *[f"{c}{suffix}{k}" for c, k in added]])
+            carry = both.slice(max(0, len(both) - lags)).combine_chunks()
+
+    local = ranged.mapInArrow(run, schema)
     # rows without an in-partition predecessor get NULL, then the fix-up fills them
     local = local.select(
         *[F.col(c) for c in ranged.columns],

@@ -10,13 +10,15 @@ spread over many tasks like any other.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from myosig.functions import broadcast_if_small
 from myosig.operators.index import with_row_index
 
 
@@ -147,8 +149,10 @@ def kalman_smooth(
     if halo >= block:
         raise ValueError("block too small for the filter's memory")
     if series:
-        var = df.groupBy(*series).agg(F.var_pop(value).alias("_var"))
-        d = df.join(var, series)
+        names = {c: f"_s{i}" for i, c in enumerate(series)}
+        var = df.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.var_pop(value).alias("_var"))
+        same = reduce(lambda x, y: x & y, [df[c].eqNullSafe(F.col(n)) for c, n in names.items()])
+        d = df.join(broadcast_if_small(var), same).drop(*names.values())
         n = df.count()  # one scalar: sizes the number of buckets
         buckets = max(1, int(np.ceil(n / rows_per_group)))
         d = d.withColumn("_bkt", F.pmod(F.xxhash64(*series), F.lit(buckets)))
@@ -160,38 +164,51 @@ def kalman_smooth(
     schema = T.StructType([*u.schema.fields, T.StructField(out, T.DoubleType())])
     skeys = list(series)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            pdf[out] = np.zeros(0)
-            return pdf
-        pdf = pdf.sort_values([*skeys, idx], kind="stable").reset_index(drop=True)
-        z = pdf[value].to_numpy(dtype="float64")
-        pos = pdf[idx].to_numpy()
-        const = ~(pdf["_var"].to_numpy() > 0)
-        if skeys:
-            key = pd.util.hash_pandas_object(pdf[skeys], index=False).to_numpy()
-            start = np.ones(len(z), dtype=bool)
-            start[1:] = key[1:] != key[:-1]
-        else:
-            start = np.zeros(len(z), dtype=bool)
-            start[0] = True
-        x = np.empty_like(z)
-        k_last = gains[-1]
-        cur = 0.0
-        for i in range(len(z)):
-            if start[i] or const[i]:
-                cur = z[i]
-            else:
-                p = pos[i]
-                cur = cur + (gains[p] if p < len(gains) else k_last) * (z[i] - cur)
-            x[i] = cur
-        pdf[out] = x
-        return pdf
-
-    res = u.groupBy("_bkt", "_blk").applyInPandas(run, schema)
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in [*skeys, idx]])
+        z = table[value].cast(pa.float64()).to_numpy()
+        const = ~(np.nan_to_num(table["_var"].to_numpy()) > 0)
+        start = np.zeros(len(z), dtype=bool)
+        start[:1] = True
+        for c in skeys:
+            code = table[c].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            start[1:] |= code[1:] != code[:-1]
+        x = _filter(z, table[idx].to_numpy(), start, const, gains)
+        return table.append_column(out, pa.array(x, pa.float64(), mask=np.isnan(x)))
+
+    res = u.groupBy("_bkt", "_blk").applyInArrow(run, schema)
     return res.where(~F.col("_halo")).drop("_blk", "_halo", "_var", "_bkt")
 
 
+def _filter(z: np.ndarray, pos: np.ndarray, start: np.ndarray, const: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """x_i = a_i x_{i-1} + b_i for all series of a group at once.
+
+    Steps compose, so a doubling scan gives every x in log2 passes over the arrays; it
+    ends when no start-up weight is left.  A missing sample keeps the state; before a
+    series' first sample there is none (NaN).
+    """
+    n = len(z)
+    known = ~np.isnan(z)
+    run = np.cumsum(start) - 1
+    seen = np.cumsum(known)
+    before = np.concatenate([[0], seen])[np.flatnonzero(start)] if n else seen
+    first = known & (seen - before[run] == 1) if n else known
+    k = gains[np.minimum(pos, len(gains) - 1)]
+    reset = first | (const & known)
+    a = np.where(reset, 0.0, np.where(known, 1.0 - k, 1.0))
+    b = np.where(reset, z, np.where(known, k * np.nan_to_num(z), 0.0))
+    # no state yet: nothing to carry into these rows
+    void = seen - before[run] == 0 if n else known
+    a[void] = 0.0
+    s = 1
+    while s < n and np.abs(a).max() > 1e-18:
+        pa_, pb = a[:-s].copy(), b[:-s].copy()
+        b[s:] += a[s:] * pb
+        a[s:] *= pa_
+        s *= 2
+    return np.where(void, np.nan, b)
+
+
 # ---------------------------------------------------------------- WIN-10/11/12
 def jitter(df: DataFrame, value: str, idx: str = "idx", series: Sequence[str] = (), out: str = "jitter") -> DataFrame:
     """WIN-10: population std of successive differences, per series."""

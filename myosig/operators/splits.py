@@ -19,15 +19,13 @@ from myosig.functions import broadcast_if_small
 from myosig.operators.index import with_row_index
 
 TRAIN, TEST = "train", "test"
-HASH_MULT = 2654435761
-HASH_MOD = 4294967296
-HASH_WRAP = 1000003
 
 
 def stable_hash(col: str | Column, seed: int = 0) -> Column:
-    """Deterministic 32-bit multiplicative hash (unlike ``rand``, stable under re-execution)."""
+    """Sortable 128-bit hash of (id, seed) as a hex string: stable under re-execution, another
+    order for every seed, and the same in any engine that has md5."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.pmod(F.pmod(c.cast("bigint"), F.lit(HASH_WRAP)) * F.lit(HASH_MULT) + F.lit(seed), F.lit(HASH_MOD))
+    return F.md5(F.concat_ws(":", c.cast("string"), F.lit(str(seed))).cast("binary"))
 
 
 def _cut(rank: Column, n: Column, ratio: float) -> Column:
@@ -60,12 +58,13 @@ def rep_split_table(
 def split_by_reps(df: DataFrame, ratio: float = 0.8, order: str = "sorted", activity: str = "activity", reps: str = "reps", idx: str = "idx") -> DataFrame:
     """SPL-01/02: add ``split`` to every row by its (activity, rep)."""
     table = rep_split_table(df, ratio, order, activity, reps, idx)
-    return df.join(table, [activity, reps], "inner")
+    t = broadcast_if_small(table.select(F.col(activity).alias("_a"), F.col(reps).alias("_r"), "split"))
+    return df.join(t, df[activity].eqNullSafe(F.col("_a")) & df[reps].eqNullSafe(F.col("_r"))).drop("_a", "_r")
 
 
 def semi_reps(df: DataFrame, pairs: DataFrame, activity: str = "activity", reps: str = "reps") -> DataFrame:
     """JOI-01: rows whose (activity, rep) is in ``pairs`` (left semi join)."""
-    return df.join(pairs.select(activity, reps), [activity, reps], "left_semi")
+    return df.join(broadcast_if_small(pairs.select(activity, reps).distinct()), [activity, reps], "left_semi")
 
 
 def split_distribution(df: DataFrame, activity: str = "activity", reps: str = "reps", split: str = "split") -> DataFrame:
@@ -150,14 +149,13 @@ def sample_balanced(df: DataFrame, id_col: str, label: str, total: int = 100, se
     if k == 0:
         return df.withColumn("pos", F.lit(None).cast("bigint")).limit(0)
     base, rem = divmod(total, k)
-    cr = classes.withColumn("_cr", F.row_number().over(Window.orderBy(label)) - 1)  # one row per class
+    cr = with_row_index(classes, [label], name="_cr")
     quota = cr.select(label, (F.lit(base) + F.when(F.col("_cr") < rem, 1).otherwise(0)).alias("_q"))
     h = df.withColumn("_h", stable_hash(id_col, seed))
     r = with_row_index(h, ["_h", id_col], series=[label], name="_crk")
-    picked = r.join(broadcast_if_small(quota, rows=k), label).where(F.col("_crk") < F.col("_q"))
-    # at most `total` rows remain: shuffle them with a second stable hash
-    out = picked.withColumn("_h2", stable_hash(id_col, seed + 1))
-    out = out.withColumn("pos", (F.row_number().over(Window.orderBy("_h2", id_col)) - 1).cast("bigint"))
+    picked = r.join(broadcast_if_small(quota), label).where(F.col("_crk") < F.col("_q"))
+    # the sample in a second, unrelated stable order
+    out = with_row_index(picked.withColumn("_h2", stable_hash(id_col, seed + 1)), ["_h2", id_col], name="pos")
     return out.drop("_h", "_h2", "_crk", "_q")
 
 
@@ -185,7 +183,7 @@ def shuffle(df: DataFrame, id_col: str, seed: int = 0) -> DataFrame:
 def class_guard(df: DataFrame, label: str, min_count: int = 2) -> DataFrame:
     """AGG-24: drop rows of classes with fewer than ``min_count`` rows."""
     keep = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count).select(label)
-    return df.join(keep, label, "left_semi")
+    return df.join(broadcast_if_small(keep), label, "left_semi")
 
 
 def sorted_distinct(df: DataFrame, col: str) -> DataFrame:

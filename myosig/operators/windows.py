@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from myosig.functions import MAX_BROADCAST_BYTES, frame_bytes
+
 REL = "_rel"
-# Label vocabularies up to this size are broadcast; larger ones use a shuffle join.
-MAX_BROADCAST_VOCAB = 1_000_000
 
 
 def _vocabulary(df: DataFrame, col: str) -> tuple[DataFrame, bool]:
@@ -31,9 +31,8 @@ def _vocabulary(df: DataFrame, col: str) -> tuple[DataFrame, bool]:
     from myosig.operators.index import with_row_index
 
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    n = d.count()  # one scalar: decides broadcast vs shuffle join
     v = with_row_index(d, [col], name=f"_code_{col}").withColumn(f"_code_{col}", F.col(f"_code_{col}").cast("int"))
-    return v, n <= MAX_BROADCAST_VOCAB
+    return v, frame_bytes(v) <= MAX_BROADCAST_BYTES
 
 
 def _side(v: DataFrame, small: bool) -> DataFrame:

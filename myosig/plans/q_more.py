@@ -25,7 +25,7 @@ from myosig.plans.registry import query, r6, sql_index, sql_window_ids
 from myosig.sources import io
 from myosig.streaming.feed import scratch_folder
 
-H = "((({c} % 1000003) * 2654435761 + {seed}) % 4294967296)"
+H = "md5(CAST({c} AS VARCHAR) || ':{seed}')"
 CH = adapters.REPS_CHANNELS
 
 

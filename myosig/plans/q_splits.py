@@ -18,7 +18,7 @@ REP_SPLIT_SQL = """rp AS (SELECT activity, reps,
                    CASE WHEN (row_number() OVER (PARTITION BY activity ORDER BY reps) - 1)
                              < floor(count(*) OVER (PARTITION BY activity) * 0.8) THEN 'train' ELSE 'test' END AS split
             FROM (SELECT DISTINCT activity, reps FROM r))"""
-H = "((({c} % 1000003) * 2654435761 + {seed}) % 4294967296)"
+H = "md5(CAST({c} AS VARCHAR) || ':{seed}')"
 
 
 @query(

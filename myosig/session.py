@@ -7,6 +7,7 @@ file system).  Only when it is unset -- local tests -- do we pick a fresh folder
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    # Unset: local/test run only.
+    if not re.fullmatch(r"local(\[[^,]*(,[^,]*)?\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # Unset on a local master: tests.
     scratch = tempfile.mkdtemp(prefix="myosig-ckpt-", dir="/tmp")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch

@@ -92,20 +92,15 @@ def write_split_info(info: DataFrame, path: str) -> None:
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write one small text file through the Hadoop FileSystem of ``path`` (HDFS, object
-    stores, local), so artefacts land in the shared folder; local ``open`` as fallback."""
+    stores, local), so artefacts land in the shared folder; errors are the caller's."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote client): local file
-        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-        with open(path, "w") as f:
-            f.write(text)
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def write_schema_artifacts(
