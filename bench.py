@@ -20,8 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from myosig.plans import all_queries  # noqa: E402
 from myosig.session import local_session  # noqa: E402
 
-# Fits with many small Spark jobs (iterative training, grid search) are timed by their own tests.
-DEFAULT_SKIP = {"grid_search", "mlp_fit", "kernel_models", "boosted_models", "forest_classifier", "pca_variance", "forest_fit_joint"}
 
 
 def main() -> int:
@@ -30,7 +28,7 @@ def main() -> int:
     spark = local_session(cores=cpus, shuffle_partitions=max(8, int(cpus) * 2) if cpus.isdigit() else 16, app="myosig-bench")
     qs = all_queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(qs)
-    skip = set(n for n in os.environ.get("BENCH_SKIP", "").split(",") if n) | (DEFAULT_SKIP if "BENCH_QUERIES" not in os.environ else set())
+    skip = set(n for n in os.environ.get("BENCH_SKIP", "").split(",") if n)
     names = [n for n in names if n not in skip]
 
     # Warm-up, not counted: JVM class loading / JIT, the Parquet reader, the first shuffle and

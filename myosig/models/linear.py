@@ -1,26 +1,48 @@
 """ML-01/05/11/21/22: closed-form linear models and array-expression scorers.
 
-Fitting is two distributed aggregate passes (means, then centred cross
-products -- numerically safer than raw sums); the d x d solve happens on the
+Fitting is two distributed passes (means, then centred cross products, one
+matrix product per Arrow batch -- numerically safer than raw sums); the d x d solve happens on the
 driver, where the input is O(d^2) numbers whatever the row count.  Scoring is a
 per-row expression (JVM, whole-stage codegen), so it scales with the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from myosig.functions import broadcast_if_small
 
 
-def _sum_products(df: DataFrame, a: Sequence[Column], b: Sequence[Column]) -> np.ndarray:
-    row = df.agg(*[F.sum(x * y).alias(f"p{i}_{j}") for i, x in enumerate(a) for j, y in enumerate(b)]).first()
-    return np.array([[row[f"p{i}_{j}"] or 0.0 for j in range(len(b))] for i in range(len(a))], dtype="float64")
+def _gram(df: DataFrame, left: Sequence[str], right: Sequence[str], centre: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], extra: Sequence[str] = ()) -> np.ndarray:
+    """sum over rows of a^T b with (a, b) = ``centre(batch)``: a matrix product per Arrow batch,
+    one matrix per task, and the tasks' matrices summed entry by entry in a shuffle of d x d keys."""
+    cols = list(dict.fromkeys([*left, *right]))
+    shape = (len(left), len(right))
+
+    def run(batches):
+        g = np.zeros(shape)
+        for b in batches:
+            x, y = centre(b)
+            g += x.T @ y
+        yield pa.RecordBatch.from_arrays([pa.array([g.ravel()], pa.list_(pa.float64()))], ["g"])
+
+    per_task = df.select(*extra, *[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(run, "g array<double>")
+    rows = per_task.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros(shape[0] * shape[1])
+    for r in rows:
+        out[r.i] = r.v
+    return out.reshape(shape)
+
+
+def _matrix(batch: pa.RecordBatch, cols: Sequence[str]) -> np.ndarray:
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols])
 
 
 @dataclass
@@ -49,13 +71,16 @@ def fit_ridge(df: DataFrame, features: Sequence[str], targets: Sequence[str], al
     feats, tgts = list(features), list(targets)
     clean = df.dropna(subset=feats + tgts)
     m = clean.agg(*[F.avg(c).alias(c) for c in feats + tgts], F.count(F.lit(1)).alias("_n")).first()
-    xc = [F.col(c) - F.lit(m[c]) for c in feats]
-    yc = [F.col(c) - F.lit(m[c]) for c in tgts]
-    sxx = _sum_products(clean, xc, xc)
-    sxy = _sum_products(clean, xc, yc)
-    coef = np.linalg.solve(sxx + alpha * np.eye(len(feats)), sxy).T  # (t, d)
-    xm = np.array([m[c] for c in feats])
-    ym = np.array([m[c] for c in tgts])
+    xm = np.array([m[c] for c in feats], dtype="float64")
+    ym = np.array([m[c] for c in tgts], dtype="float64")
+    both = np.concatenate([xm, ym])
+
+    def centre(b):
+        z = _matrix(b, feats + tgts) - both
+        return z[:, : len(feats)], z
+
+    s = _gram(clean, feats, feats + tgts, centre)
+    coef = np.linalg.solve(s[:, : len(feats)] + alpha * np.eye(len(feats)), s[:, len(feats) :]).T  # (t, d)
     return LinearModel(feats, tgts, ym - coef @ xm, coef)
 
 
@@ -92,20 +117,24 @@ class LdaModel:
 def fit_lda(df: DataFrame, features: Sequence[str], label: str) -> LdaModel:
     """ML-05: linear discriminant analysis with the prior-weighted (biased) class covariance.
 
-    Pass 1: class counts and means (one row per class).  Pass 2: the pooled
-    within-class scatter, with the class means joined back by a broadcast of
-    that bounded table.
+    Pass 1: class counts and means (one row per class, on the driver).  Pass 2: the
+    pooled within-class scatter, where every task subtracts the mean of the row's class.
+    Rows with a missing feature or label are left out.
     """
     feats = list(features)
+    df = df.dropna(subset=[*feats, label])
     stats = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m_{c}") for c in feats])
     st = sorted(stats.collect(), key=lambda r: r[label])
     classes = [r[label] for r in st]
     counts = np.array([r["_n"] for r in st], dtype="float64")
     means = np.array([[r[f"_m_{c}"] for c in feats] for r in st], dtype="float64")
     n = counts.sum()
-    j = df.join(broadcast_if_small(stats), label)
-    xc = [F.col(c) - F.col(f"_m_{c}") for c in feats]
-    scatter = _sum_products(j, xc, xc)
+    def centre(b):
+        own = pc.index_in(b.column("_class"), pa.array(classes, b.column("_class").type)).to_numpy(zero_copy_only=False)
+        z = _matrix(b, feats) - means[own]
+        return z, z
+
+    scatter = _gram(df.withColumn("_class", F.col(label)), feats, feats, centre, ["_class"])
     cov = scatter / n
     inv = np.linalg.inv(cov)
     priors = counts / n
@@ -149,7 +178,7 @@ def fit_ridge_by_group(df: DataFrame, group: str, feature: str, target: str, alp
     """One-feature ridge fitted separately for every group: pass 1 group means,
     pass 2 centred sums (means joined back); one row per group."""
     m = df.groupBy(group).agg(F.avg(feature).alias("_mx"), F.avg(target).alias("_my"))
-    j = df.join(m, group)
+    j = df.join(broadcast_if_small(m.withColumnRenamed(group, "_g")), df[group].eqNullSafe(F.col("_g"))).drop("_g")
     xc = F.col(feature) - F.col("_mx")
     g = j.groupBy(group, "_mx", "_my").agg(F.sum(xc * xc).alias("_sxx"), F.sum(xc * (F.col(target) - F.col("_my"))).alias("_sxy"))
     coef = F.col("_sxy") / (F.col("_sxx") + F.lit(alpha))
@@ -161,5 +190,5 @@ def activity_then_angle(df: DataFrame, activity_expr: Column, models: DataFrame,
 
     ``models`` has one row per activity (a bounded table: broadcast)."""
     d = df.withColumn(group, activity_expr)
-    j = d.join(broadcast_if_small(models), group, "left")
+    j = d.join(broadcast_if_small(models.withColumnRenamed(group, "_g")), F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
     return j.withColumn(out, F.col("intercept") + F.col("coef") * F.col(feature)).drop("intercept", "coef")

@@ -13,11 +13,13 @@ bounded by ``max_final`` whatever the group size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from myosig.functions import broadcast_if_small
+
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """AGG-19: counts per value, most frequent first (ties by value)."""
@@ -35,6 +37,19 @@ def activity_activation(df: DataFrame, arr: str, activity: str = "activity") ->
     return long.groupBy(activity, "ch").agg(F.avg("v").alias("mean_v"))
 
 
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, null keys included; the right side's keys go."""
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(F.col(n)) for k, n in names.items()], F.lit(True))
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
+def _inside(data: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values within the brackets of their group (two rows per group: broadcast after a size check,
+    so the values are counted where they lie, whatever the share of one group)."""
+    return _match(data, broadcast_if_small(brackets), keys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+
+
 def exact_quantile(
     df: DataFrame,
     keys: Sequence[str],
@@ -42,7 +57,6 @@ def exact_quantile(
     q: float = 0.5,
     buckets: int = 4096,
     max_final: int = 100_000,
-    max_iter: int = 12,
     out: str = "quantile",
 ) -> DataFrame:
     """Exact linear-interpolated quantile per group (``percentile_cont`` / pandas ``quantile``).
@@ -50,11 +64,7 @@ def exact_quantile(
     NULL and NaN values are skipped (pandas ``median``).
     """
     keys = list(keys)
-    data = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     stats = data.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
@@ -78,15 +88,15 @@ def exact_quantile(
         .checkpoint()
     )
 
-    for _ in range(max_iter):
+    # every pass takes at least the outermost values off an open bracket, and usually all but 1/buckets of its width
+    while True:
         big = targets.where((F.col("_cnt") > max_final) & (F.col("_lo") < F.col("_hi")))
         if big.limit(1).count() == 0:
             break
-        j = data.join(big.select(*keys, "_t", "_lo", "_hi", "_need"), keys).where(
-            (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
-        )
-        width = F.col("_hi") - F.col("_lo")
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1)).cast("int")
+        j = _inside(data, big.select(*keys, "_t", "_lo", "_hi", "_need"), keys)
+        # halves: the width of a bracket may exceed the largest double
+        width = F.col("_hi") / 2 - F.col("_lo") / 2
+        b = F.least(F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / width * buckets), F.lit(buckets - 1)).cast("int")
         h = j.groupBy(*keys, "_t", "_need", b.alias("_b")).agg(
             F.count(F.lit(1)).alias("_bc"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
         )
@@ -102,7 +112,7 @@ def exact_quantile(
             F.col("_bc").alias("_cnt2"),
         )
         targets = (
-            targets.join(chosen, [*keys, "_t"], "left")
+            _match(targets, chosen, [*keys, "_t"], "left")
             .select(
                 *keys,
                 "_t",
@@ -119,7 +129,7 @@ def exact_quantile(
     # (each holds at most max_final values).
     direct = targets.where(F.col("_lo") == F.col("_hi")).select(*keys, "_t", F.col("_lo").alias("_v"))
     open_t = targets.where(F.col("_lo") < F.col("_hi")).select(*keys, "_t", "_lo", "_hi", "_need")
-    cand = data.join(open_t, keys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    cand = _inside(data, open_t, keys)
     wr = Window.partitionBy(*keys, "_t").orderBy("_v")
     ranked = (
         cand.withColumn("_r", F.row_number().over(wr) - 1)
@@ -132,7 +142,7 @@ def exact_quantile(
         .agg(F.max(F.when(F.col("_t") == 0, F.col("_v"))).alias("_v0"), F.max(F.when(F.col("_t") == 1, F.col("_v"))).alias("_v1"))
     )
     fr = targets.where(F.col("_t") == 0).select(*keys, "_frac")
-    res = picked.join(fr, keys).select(
+    res = _match(picked, fr, keys).select(
         *keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias(out)
     )
     return res

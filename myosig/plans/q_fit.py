@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import PCA
 from pyspark.sql import functions as F
 
 from myosig import adapters
 from myosig.functions import features as ft
 from myosig.functions import messages as msg
-from myosig.models import fit, trees
+from myosig.models import fit, linear, trees
 from myosig.operators import evaluation as ev
 from myosig.operators import scaling as sc
 from myosig.operators import splits as sp
@@ -56,18 +60,34 @@ def q_model_summary(spark, sf_dir):
     return trees.model_summary(nodes)
 
 
-@query("grid_search", ["ML-14", "ML-06", "JOI-06", "ML-17"])
+@query("grid_search", ["ML-14", "JOI-06", "ML-17"])
 def q_grid_search(spark, sf_dir):
     r = adapters.reps(spark, sf_dir)
     z = sc.standardize_by_group(r, ["subject"], adapters.REPS_CHANNELS, suffix="_z")
     mapping = sp.label_map(z, "activity")
     z = sp.encode_labels(z, mapping, "activity", out="label").withColumn("label", F.col("label").cast("double"))
     z = fit.assemble(z, [f"{c}_z" for c in adapters.REPS_CHANNELS]).withColumn("fold", F.col("subject").cast("int"))
-    est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)
-    ev_acc = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    _, scores = fit.grid_search(z, est, {est.regParam: [0.01, 0.1]}, ev_acc, "fold")
-    rows = [(float(p["regParam"]), float(s)) for p, s in scores]
-    return spark.createDataFrame(rows, "reg_param double, mean_accuracy double")
+    z = z.select("l_orderkey", "l_linenumber", "features", "label", "fold")
+    families = search_families(len(adapters.REPS_CHANNELS))
+    best, _ = fit.grid_search(z, families, MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"), "fold")
+    pred = fit.refit_best(families, best, z).transform(z)
+    return pred.select(
+        "l_orderkey", "l_linenumber", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+        F.lit(best["family"]).alias("family"), F.lit(json.dumps(best["params"], sort_keys=True)).alias("params"),
+        F.lit(best["mean_train"]).alias("mean_train"), F.lit(best["mean_test"]).alias("mean_test"),
+    )
+
+
+def search_families(d: int) -> dict:
+    """Families and grids of the search: PCA with logistic regression, forests, linear SVM."""
+    pca, log = PCA(inputCol="features", outputCol="pcs"), LogisticRegression(featuresCol="pcs", labelCol="label", maxIter=100)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=40, seed=42)
+    svc = LinearSVC(featuresCol="features", labelCol="label", maxIter=50)
+    return {
+        "pca_logistic": (Pipeline(stages=[pca, log]), {pca.k: [d // 2, d], log.regParam: [0.01, 0.1]}),
+        "forest": (forest, {forest.maxDepth: [5, 9]}),
+        "linear_svm": (OneVsRest(classifier=svc, featuresCol="features", labelCol="label", parallelism=2), {svc.regParam: [0.01, 0.1]}),
+    }
 
 
 @query("mlp_fit", ["ML-13", "ML-22"])
@@ -75,8 +95,10 @@ def q_mlp_fit(spark, sf_dir):
     w = window_features(spark, sf_dir)
     params = sc.fit_scaler(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES)
     z = sc.apply_scaler(w, params, suffix="_z").withColumn("is_val", F.col("split") == sp.TEST)
-    res = fit.fit_mlp_regressor(z, [f"{c}_z" for c in WIN_FEATURES], ["gait_target"], hidden=8, epochs=25, lr=0.05, val_col="is_val")
-    return spark.createDataFrame(res["history"], "epoch int, train_mse double, val_mse double")
+    feats = [f"{c}_z" for c in WIN_FEATURES]
+    res = fit.fit_mlp_regressor(z, feats, ["gait_target"], lr=0.05, val_col="is_val")
+    out = linear.mlp_forward(F.array(*[F.col(c) for c in feats]), res["layers"])[0]
+    return z.select("window_id", "split", "gait_target", out.alias("gait_pred"), F.lit(len(res["history"])).alias("epochs"))
 
 
 @query(

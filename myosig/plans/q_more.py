@@ -6,7 +6,6 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -166,36 +165,44 @@ def q_pca(spark, sf_dir):
     return res.select("window_id", F.lit(k).alias("n_components"), vector_to_array("pca")[0].alias("pc1"))
 
 
-@query("forest_classifier", ["ML-04", "EVL-05"])
+@query("forest_classifier", ["ML-04"])
 def q_forest_classifier(spark, sf_dir):
     w = _cls_windows(spark, sf_dir)
-    m = fit.fit_forest_classifier(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES, "label", trees=20, depth=6)
-    p = m.transform(fit.assemble(w.where(F.col("split") == sp.TEST), WIN_FEATURES))
-    return ev.accuracy(p, "label", "prediction")
+    m = fit.fit_forest_classifier(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES, "label")
+    p = m.transform(fit.assemble(w, WIN_FEATURES))
+    return p.select("window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("logistic_fit", ["ML-06"])
+def q_logistic(spark, sf_dir):
+    w = _cls_windows(spark, sf_dir)
+    m = fit.fit_logistic(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES, "label", C=1.0)
+    p = m.transform(fit.assemble(w, WIN_FEATURES))
+    return p.select("window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("boosted_models", ["ML-09", "ML-10"])
 def q_boosted(spark, sf_dir):
     w = _cls_windows(spark, sf_dir)
-    train, test = w.where(F.col("split") == sp.TRAIN), w.where(F.col("split") == sp.TEST)
-    c = fit.fit_boosted_classifier(train, WIN_FEATURES, "label", iters=10, depth=3)
-    acc = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(c.transform(fit.assemble(test, WIN_FEATURES)))
-    r = fit.fit_boosted_regressor(train, WIN_FEATURES, "gait_target", iters=10, depth=3)
-    rmse = RegressionEvaluator(labelCol="gait_target", metricName="rmse").evaluate(r.transform(fit.assemble(test, WIN_FEATURES)))
-    return spark.createDataFrame([("classifier_accuracy", float(acc)), ("regressor_rmse", float(rmse))], "metric string, value double")
+    train = w.where(F.col("split") == sp.TRAIN)
+    c = fit.fit_boosted_classifier(train, WIN_FEATURES, "label")
+    r = fit.fit_boosted_regressor(train, WIN_FEATURES, "gait_target")
+    p = r.setPredictionCol("gait_pred").transform(c.transform(fit.assemble(w, WIN_FEATURES)))
+    return p.select("window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "gait_target", "gait_pred")
 
 
 @query("kernel_models", ["ML-07", "ML-08"])
 def q_kernel(spark, sf_dir):
     """**Approximate** RBF kernels (random Fourier features + linear models)."""
     w = _cls_windows(spark, sf_dir)
-    train, test = w.where(F.col("split") == sp.TRAIN), w.where(F.col("split") == sp.TEST)
-    svm, tag = fit.fit_kernel_svm(train, WIN_FEATURES, "label", C=1.0, gamma=0.01, dim=32, max_iter=20)
-    feats = fit.random_fourier(WIN_FEATURES, 32, 0.01, 0)
-    acc = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(svm.transform(test.withColumn("features", feats)))
-    svr, _ = fit.fit_kernel_svr(train, WIN_FEATURES, "gait_target", C=10.0, gamma=0.01, dim=32)
-    rmse = RegressionEvaluator(labelCol="gait_target", metricName="rmse").evaluate(svr.transform(test.withColumn("features", feats)))
-    return spark.createDataFrame([("svm_accuracy", float(acc), tag), ("svr_rmse", float(rmse), tag)], "metric string, value double, kind string")
+    train = w.where(F.col("split") == sp.TRAIN)
+    svm, kind = fit.fit_kernel_svm(train, WIN_FEATURES, "label", C=1.0, gamma=0.01)
+    svr, _ = fit.fit_kernel_svr(train, WIN_FEATURES, "gait_target", C=10.0, gamma=0.01)
+    d = w.withColumn("features", fit.random_fourier(WIN_FEATURES, 64, 0.01, 0))
+    p = svr.setPredictionCol("gait_pred").transform(svm.transform(d))
+    return p.select(
+        "window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "gait_target", "gait_pred", F.lit(kind).alias("kind")
+    )
 
 
 @query("cross_val_predict", ["ML-16", "ML-15", "EVL-08"])
