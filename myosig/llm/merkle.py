@@ -26,12 +26,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from myosig.llm.common import written
-
 PIECE_CHARS = 100
 SHORT_PARAGRAPH = 160
 TINY_TEXT = 24
@@ -152,9 +149,8 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-_RESULT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-_ROWS = pa.schema([*_RESULT, ("part", pa.int32()), ("kind", pa.string()), ("text", pa.string())])
-_ROWS_DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, part int, kind string, text string"
+_RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+_RESULT_DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _result(doc_id: int | None, text: str, fp: str, next_text: str, next_fp: str) -> dict:
@@ -167,47 +163,48 @@ def _result(doc_id: int | None, text: str, fp: str, next_text: str, next_fp: str
 
 
 def _sorted_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of all rows but the partition's last, which lacks its successor; its first and last row as they are."""
-    part, last = TaskContext.get().partitionId(), None
+    """Results of sorted rows (bucket, guest, doc_id, text); a bucket's guest only follows its last row."""
+    bucket, last = None, None
     for b in batches:
         for start in range(0, len(b), 500):
             done = []
-            piece = b.slice(start, 500)
-            for doc_id, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+            for now, guest, doc_id, text in zip(*(c.to_pylist() for c in b.slice(start, 500).columns)):
+                if now != bucket:
+                    bucket, last = now, None
                 fp = fingerprint(text)
-                if last is None:
-                    done.append({"doc_id": doc_id, "text": text, "fingerprint": fp, "part": part, "kind": "first"})
-                else:
-                    done.append(_result(*last, text, fp) | {"part": part, "kind": "row"})
-                last = (doc_id, text, fp)
-            yield pa.RecordBatch.from_pylist(done, schema=_ROWS)
-    if last is not None:
-        yield pa.RecordBatch.from_pylist([{"doc_id": last[0], "text": last[1], "fingerprint": last[2], "part": part, "kind": "last"}], schema=_ROWS)
-
-
-def _edge_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_pylist([_result(*x) for x in zip(*(c.to_pylist() for c in b.columns))], schema=pa.schema(_RESULT))
+                if last is not None:
+                    done.append(_result(*last, text, fp))
+                last = None if guest else (doc_id, text, fp)
+            yield pa.RecordBatch.from_pylist(done, schema=_RESULT)
 
 
-def edit_report(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+def edit_report(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Fingerprint each text and its edited text, whose end comes from the next document.
 
     Next: the row after it in descending doc_id (nulls last, ties by text hash, so of equal
     rows each but the last has its own copy next); the first row follows the last; a single
-    row follows itself.  One range shuffle of the texts brings neighbours together; the two
-    edge rows of each partition meet in a table of one row per partition.  The pass is
-    written to the checkpoint folder, since its range bounds must not be drawn twice.
+    row follows itself.  Rows are cut into buckets at approximate percentiles of the id (rows
+    without an id by their text hash), drawn once and then constants.  Every bucket gets as a
+    guest the first row of the bucket after it, found by two small aggregates, so one
+    shuffle of the texts suffices and a task streams its buckets with one row in hand.
     """
     spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
-    rows = written(_plain(docs).repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_sorted_pass, _ROWS_DDL), "merkle")
-    names = [c for c, _ in _RESULT]
-    firsts = rows.where("kind = 'first'").select(F.col("part").alias("p"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fp"))
-    lasts = rows.where("kind = 'last'")
-    # one row per non-empty partition; the part after the last is the first
-    after = firsts.select("p").withColumn("q", F.coalesce(F.lag("p").over(Window.orderBy("p")), F.max("p").over(Window.partitionBy())))
-    edges = lasts.join(after, lasts.part == after.q).join(firsts, "p").select("doc_id", "text", "fingerprint", "next_text", "next_fp")
-    ddl = _ROWS_DDL.split(", part")[0]
-    return rows.where("kind = 'row'").select(*names).unionByName(edges.mapInArrow(_edge_pass, ddl))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * n
+    rows = _plain(docs).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    bounds = sorted(set(docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [k / buckets for k in range(1, buckets)] or [0.5], 10_000)).first()[0] or []))
+    above = F.size(F.filter(F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<long>"), lambda x: F.col("doc_id") > x))
+    unnamed = F.lit(len(bounds) + 1) + F.floor((F.shiftright("h", 32) + F.lit(1 << 31)) * buckets / float(1 << 32))
+    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), unnamed).otherwise(F.lit(len(bounds)) - above).cast("long"))
+    first = F.min(F.struct(F.bitwise_not("doc_id").alias("key"), "h")).alias("first")
+    heads = sorted(rows.groupBy("bucket").agg(first).collect())  # one row per bucket
+    if not heads:
+        return spark.createDataFrame([], _RESULT_DDL)
+    followed = [(b.first.key, b.first.h, a.bucket) for a, b in zip(heads, heads[1:] + heads[:1])]
+    wanted = F.broadcast(spark.createDataFrame(followed, "head long, head_h long, host long"))
+    guests = rows.join(wanted, F.bitwise_not("doc_id").eqNullSafe(F.col("head")) & (F.col("h") == F.col("head_h"))).groupBy("host").agg(F.first("text").alias("text"))
+    both = rows.select("bucket", F.lit(0).alias("guest"), "doc_id", "h", "text").unionByName(
+        guests.select(F.col("host").alias("bucket"), F.lit(1).alias("guest"), F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("h"), "text")
+    )
+    order = ["bucket", "guest", F.col("doc_id").desc_nulls_last(), "h"]
+    return both.repartition(n, "bucket").sortWithinPartitions(*order).select("bucket", "guest", "doc_id", "text").mapInArrow(_sorted_pass, _RESULT_DDL)
