@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from myosig import adapters
-from myosig.operators.cleaning import seek_activity
+from myosig.functions import broadcast_if_small
 from myosig.operators.index import with_row_index
 from myosig.session import ensure_checkpoint_dir
 
-FEED_SCHEMA = "subject bigint, seq bigint, x double, gait double, activity string, event_id bigint"
+FEED_SCHEMA = "subject bigint, seq bigint, x double, gait double, activity string, event_id bigint, first_seq bigint, arrived timestamp"
+#: Rows per feed file (one file is one micro-batch by default); at least ``MIN_FILES`` files.
+FILE_ROWS = 200_000
+MIN_FILES = 4
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
@@ -27,14 +30,24 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def write_feed(spark: SparkSession, sf_dir: str, path: str, files: int = 4, start_activity: str | None = None) -> str:
-    """Per-subject numbered samples, written as ``files`` Parquet files in hashed order."""
+def _files(df: DataFrame) -> int:
+    return max(MIN_FILES, -(-df.count() // FILE_ROWS))
+
+
+def write_feed(spark: SparkSession, sf_dir: str, path: str, start_activity: str | None = None) -> str:
+    """Per-subject numbered samples, written as Parquet files in hashed order.
+
+    ``start_activity`` starts every subject at its own first sample of that activity
+    (a subject without it starts at its first sample); numbers stay those of the recording, and
+    ``first_seq`` declares where a subject starts.
+    """
     s = adapters.signal(spark, sf_dir)
     ix = with_row_index(s, adapters.SUBJECT_ORDER, series=["subject"], name="seq")
-    if start_activity:
-        ix = seek_activity(ix.withColumnRenamed("seq", "idx"), start_activity).withColumnRenamed("idx", "seq")
-    feed = ix.select("subject", "seq", "x", "gait", "activity", "event_id")
-    feed.repartition(files, F.xxhash64("event_id")).write.mode("overwrite").parquet(path)
+    own = F.lower(F.col("activity")) == start_activity.lower() if start_activity else F.lit(False)
+    starts = ix.groupBy(F.col("subject").alias("_s")).agg(F.coalesce(F.min(F.when(own, F.col("seq"))), F.min("seq")).alias("first_seq"))
+    ix = ix.join(broadcast_if_small(starts), F.col("subject").eqNullSafe(F.col("_s"))).where("seq >= first_seq")
+    feed = ix.select("subject", "seq", "x", "gait", "activity", "event_id", "first_seq", F.current_timestamp().alias("arrived"))
+    feed.repartition(_files(s), F.xxhash64("event_id")).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -43,12 +56,12 @@ def stream_samples(spark: SparkSession, path: str, max_files: int = 1) -> DataFr
     return spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def write_grid_feed(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
+def write_grid_feed(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Electrode-grid samples (64 channels) numbered per class, written out of order."""
     g = adapters.grid(spark, sf_dir)
     ix = with_row_index(g, ["idx"], series=["label"], name="seq")
     ix.select(F.col("label").cast("bigint").alias("series"), "seq", F.col("emg_ta").alias("x"), F.col("idx").cast("double").alias("t")).repartition(
-        files, F.xxhash64("idx")
+        _files(g), F.xxhash64("idx")
     ).write.mode("overwrite").parquet(path)
     return path
 

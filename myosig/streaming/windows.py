@@ -1,23 +1,26 @@
 """STR-01..07: row-count sliding windows on a live sample stream.
 
-Each series (device/subject) keeps, in Spark's state store:
-
-* ``next_seq`` -- the next sample number it expects; samples arrive with a
-  per-series sequence number because Spark gives no order across files or
-  partitions.  Rows with ``seq < next_seq`` are duplicates and dropped; rows
-  after a gap wait in ``pending`` until the gap is filled;
-* the carry-over buffer -- the last ``size - step`` samples of the previous
-  window (STR-02), so the next window can be completed;
+Samples arrive with a per-series sequence number, because Spark gives no order across
+files or partitions.  Each series (device/subject) keeps in Spark's state store:
+
+* ``next_seq`` -- the next sample number it expects, first its *origin*: a declared number
+  or a column of the feed.  Rows before it are duplicates and dropped (and counted);
+* ``pending`` -- rows after a gap, waiting for it to be filled.  At most ``gap_limit`` rows
+  wait: beyond, the missing samples are given up (and counted), the incomplete window is
+  dropped and a new run starts at the first row that waits, so a series that lost a sample
+  or started late goes on, and state stays bounded;
+* the carry-over buffer -- the last ``size - step`` samples of the previous window
+  (STR-02), so the next window can be completed;
 * ``next_win`` -- the id of the next window to emit.
 
-A window is emitted only when all ``size`` samples are present (STR-03: an
-incomplete tail is never emitted).  Windows start every ``step`` samples from
-the series' first sample and are never dropped for crossing a label boundary,
-so a stream equals batch :func:`myosig.operators.windows.sliding_windows` with
-``purity=None`` over the same per-series positions.
+A window is emitted only when all ``size`` samples are present (STR-03: an incomplete tail
+is never emitted).  Windows start every ``step`` samples of a run and are never dropped
+for crossing a label boundary, so a stream without gaps equals batch
+:func:`myosig.operators.windows.sliding_windows` with ``purity=None`` over the same
+per-series positions.
 
-The per-group function is a small numpy helper over one series' new rows; the
-shuffle by series key, the state store and fault tolerance are Spark's.
+The per-group function is a small numpy helper over one series' new rows; the shuffle by
+series key, the state store and fault tolerance are Spark's.
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from myosig.session import ensure_checkpoint_dir
@@ -37,127 +39,118 @@ from myosig.session import ensure_checkpoint_dir
 # State lives in RocksDB (off-heap, spills to local disk, checkpointed incrementally).
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-OUT_SCHEMA = T.StructType(
-    [
-        T.StructField("series", T.LongType()),
-        T.StructField("window_id", T.LongType()),
-        T.StructField("start_seq", T.LongType()),
-        T.StructField("end_seq", T.LongType()),
-        T.StructField("mav", T.DoubleType()),
-        T.StructField("mean_x", T.DoubleType()),
-        T.StructField("truth_last", T.DoubleType()),
-        T.StructField("n_dropped", T.LongType()),
-    ]
-)
+#: Rows that may wait for a missing sample of their series.
+GAP_LIMIT = 4096
 
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("next_seq", T.LongType()),
-        T.StructField("next_win", T.LongType()),
-        T.StructField("buf_seq", T.ArrayType(T.LongType())),
-        T.StructField("buf_x", T.ArrayType(T.DoubleType())),
-        T.StructField("buf_t", T.ArrayType(T.DoubleType())),
-        T.StructField("pend_seq", T.ArrayType(T.LongType())),
-        T.StructField("pend_x", T.ArrayType(T.DoubleType())),
-        T.StructField("pend_t", T.ArrayType(T.DoubleType())),
-    ]
+OUT_SCHEMA = (
+    "series long, window_id long, start_seq long, end_seq long, mav double, rms double, mean_ch array<double>, "
+    "truth_last double, arrived_last double, n_dropped long, n_missing long"
+)
+_OUT = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
+STATE_SCHEMA = (
+    "next_seq long, next_win long, channels int, buf_seq array<long>, buf_x array<double>, buf_t array<double>, buf_a array<double>, "
+    "pend_seq array<long>, pend_x array<double>, pend_t array<double>, pend_a array<double>"
 )
 
 
-def _window_step(size: int, step: int):
+def _window_step(size: int, step: int, gap_limit: int):
     if not 0 < step <= size:
         raise ValueError("need 0 < step <= size")
 
-    cols = [f.name for f in OUT_SCHEMA.fields]
+    def emit(series, buf, nwin):
+        """Windows of the buffered samples, and the samples that the next ones need."""
+        seq, x, t, a = buf
+        n = 0 if len(seq) < size else (len(seq) - size) // step + 1
+        if not n:
+            return None, buf, nwin
+        starts = np.arange(n) * step
+        w = x[starts[:, None] + np.arange(size)[None, :]]  # windows, samples, channels
+        last = starts + size - 1
+        out = pd.DataFrame({
+            "series": np.full(n, series, dtype="int64"), "window_id": nwin + np.arange(n, dtype="int64"), "start_seq": seq[starts], "end_seq": seq[last],
+            "mav": np.abs(w).mean(axis=(1, 2)), "rms": np.sqrt((w * w).mean(axis=(1, 2))), "mean_ch": list(w.mean(axis=1)),
+            "truth_last": t[last], "arrived_last": a[last], "n_dropped": np.zeros(n, dtype="int64"), "n_missing": np.zeros(n, dtype="int64"),
+        })
+        return out, tuple(v[n * step :] for v in buf), nwin + n
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         series = int(key[0])
+        frames = [p for p in pdfs if len(p)]
         if state.exists:
-            nxt, nwin, bs, bx, bt, ps, px, pt = state.get
+            nxt, nwin, ch, *held = state.get
         else:
-            nxt, nwin, bs, bx, bt, ps, px, pt = 0, 0, [], [], [], [], [], []
-        seqs, xs, ts = [np.asarray(ps, dtype="int64")], [np.asarray(px, dtype="float64")], [np.asarray(pt, dtype="float64")]
-        for p in pdfs:
-            seqs.append(p["seq"].to_numpy(dtype="int64"))
-            xs.append(p["x"].to_numpy(dtype="float64"))
-            ts.append(p["t"].to_numpy(dtype="float64"))
-        seq, x, t = np.concatenate(seqs), np.concatenate(xs), np.concatenate(ts)
-        before = len(seq)
-        keep = seq >= nxt
-        seq, x, t = seq[keep], x[keep], t[keep]
-        o = np.argsort(seq, kind="stable")
-        seq, x, t = seq[o], x[o], t[o]
-        first = np.ones(len(seq), dtype=bool)
-        first[1:] = seq[1:] != seq[:-1]
-        seq, x, t = seq[first], x[first], t[first]
-        dropped = before - len(seq)
-        # contiguous run starting at next_seq
-        gap = np.nonzero(seq != nxt + np.arange(len(seq)))[0]
-        run = int(gap[0]) if len(gap) else len(seq)
-        b_seq = np.concatenate([np.asarray(bs, dtype="int64"), seq[:run]])
-        b_x = np.concatenate([np.asarray(bx, dtype="float64"), x[:run]])
-        b_t = np.concatenate([np.asarray(bt, dtype="float64"), t[:run]])
-        nxt += run
-        n_win = 0 if len(b_seq) < size else (len(b_seq) - size) // step + 1
-        out = None
-        if n_win:
-            starts = np.arange(n_win) * step
-            idx = starts[:, None] + np.arange(size)[None, :]
-            w = b_x[idx]
-            out = pd.DataFrame(
-                {
-                    "series": np.full(n_win, series, dtype="int64"),
-                    "window_id": nwin + np.arange(n_win, dtype="int64"),
-                    "start_seq": b_seq[starts],
-                    "end_seq": b_seq[starts + size - 1],
-                    "mav": np.abs(w).mean(axis=1),
-                    "mean_x": w.mean(axis=1),
-                    "truth_last": b_t[starts + size - 1],
-                    "n_dropped": np.zeros(n_win, dtype="int64"),
-                }
-            )
-            out.loc[out.index[-1], "n_dropped"] = dropped
-            nwin += n_win
-            cut = n_win * step
-            b_seq, b_x, b_t = b_seq[cut:], b_x[cut:], b_t[cut:]
-        state.update(
-            (int(nxt), int(nwin), b_seq.tolist(), b_x.tolist(), b_t.tolist(), seq[run:].tolist(), x[run:].tolist(), t[run:].tolist())
-        )
-        if out is not None:
-            yield out[cols]
-        elif dropped:
-            yield pd.DataFrame([(series, -1, -1, -1, None, None, None, dropped)], columns=cols)
+            nxt, nwin, ch, held = int(frames[0]["origin"].iloc[0]), 0, len(frames[0]["x"].iloc[0]), [[]] * 8
+        arrays = [np.asarray(v, dtype="int64" if i % 4 == 0 else "float64") for i, v in enumerate(held)]
+        arrays[1], arrays[5] = arrays[1].reshape(-1, ch), arrays[5].reshape(-1, ch)
+        buf, pend = tuple(arrays[:4]), arrays[4:]
+        new = [(p["seq"].to_numpy(dtype="int64"), np.stack([np.asarray(v, dtype="float64") for v in p["x"]]), p["t"].to_numpy(dtype="float64"), p["arrived"].to_numpy(dtype="float64")) for p in frames]
+        pend = [np.concatenate([v, *(n[i] for n in new)]) for i, v in enumerate(pend)]
+        before = len(pend[0])
+        seq, first = np.unique(pend[0], return_index=True)
+        first = first[seq >= nxt]
+        pend = [v[first] for v in pend]
+        dropped, missing, outs = before - len(first), 0, []
+        while True:
+            ahead = np.flatnonzero(pend[0] != nxt + np.arange(len(pend[0])))
+            run = int(ahead[0]) if len(ahead) else len(pend[0])
+            buf = tuple(np.concatenate([b, v[:run]]) for b, v in zip(buf, pend))
+            pend, nxt = [v[run:] for v in pend], nxt + run
+            out, buf, nwin = emit(series, buf, nwin)
+            if out is not None:
+                outs.append(out)
+            if len(pend[0]) <= gap_limit:
+                break
+            missing += int(pend[0][0]) - nxt
+            nxt, buf = int(pend[0][0]), tuple(v[:0] for v in buf)
+        state.update((int(nxt), int(nwin), int(ch), *(v.ravel().tolist() for v in (*buf, *pend))))
+        if dropped or missing:
+            if outs:
+                outs[-1].loc[outs[-1].index[-1], ["n_dropped", "n_missing"]] = [dropped, missing]
+            else:
+                outs.append(pd.DataFrame([(series, -1, -1, -1, None, None, None, None, None, dropped, missing)], columns=_OUT))
+        for out in outs:
+            yield out[_OUT]
 
     return fn
 
 
-def stream_windows(sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t") -> DataFrame:
-    """STR-01/02/03/05: stateful row-count windows per series (MAV, mean, truth at the window end).
+def stream_block_windows(
+    sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t",
+    origin: int | str = 0, arrived: str | None = None, gap_limit: int = GAP_LIMIT,
+) -> DataFrame:
+    """STR-01/02/03/05 for multi-channel samples (``x`` is an array per sample, e.g. an electrode grid):
+    per window MAV and RMS over all samples and channels, the mean of every channel, the truth
+    and arrival time (epoch seconds) at its last sample.
 
-    Rows with ``window_id = -1`` only report dropped duplicates.
+    ``origin``: a series' first sequence number, or the column that declares it.
+    Rows with ``window_id = -1`` only report dropped duplicates or samples given up.
     """
-    s = sdf.select(F.col(series).cast("long").alias("series"), F.col(seq).cast("long").alias("seq"), F.col(x).cast("double").alias("x"), F.col(truth).cast("double").alias("t"))
+    s = sdf.select(
+        F.col(series).cast("long").alias("series"), F.col(seq).cast("long").alias("seq"), F.col(x).cast("array<double>").alias("x"), F.col(truth).cast("double").alias("t"),
+        (F.col(origin) if isinstance(origin, str) else F.lit(origin)).cast("long").alias("origin"),
+        (F.unix_micros(F.col(arrived).cast("timestamp")) / 1e6 if arrived else F.lit(None)).cast("double").alias("arrived"),
+    )
     return s.groupBy("series").applyInPandasWithState(
-        _window_step(size, step), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        _window_step(size, step, gap_limit), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
-def add_latency(df: DataFrame, arrived: str | None = None) -> DataFrame:
-    """STR-07: processing timestamp per emitted window, and ms since ``arrived`` when given."""
+def stream_windows(sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t", **kw) -> DataFrame:
+    """The same for one channel (``x`` a number): ``mean_x`` instead of ``mean_ch``."""
+    w = stream_block_windows(sdf.withColumn(x, F.array(F.col(x).cast("double"))), size, step, series, seq, x, truth, **kw)
+    return w.select(*[F.col("mean_ch")[0].alias("mean_x") if c == "mean_ch" else F.col(c) for c in w.columns])
+
+
+def add_latency(df: DataFrame) -> DataFrame:
+    """STR-07: emission time of each window, and milliseconds since its last sample arrived."""
     out = df.withColumn("emitted_at", F.current_timestamp())
-    if arrived:
-        out = out.withColumn(
-            "latency_ms", (F.unix_micros("emitted_at") - F.unix_micros(F.col(arrived).cast("timestamp"))) / 1000.0
-        )
-    return out
+    return out.withColumn("latency_ms", F.unix_micros("emitted_at") / 1000.0 - F.col("arrived_last") * 1000.0)
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """Stateful shuffles are not coalesced by AQE and their partition count is fixed
-    for the life of the checkpoint: size it to the cluster (2 x default parallelism),
-    never above the session's shuffle partitions."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(current, 2 * spark.sparkContext.defaultParallelism))
+    """Stateful shuffles are not coalesced by AQE and their partition count is fixed for the
+    life of the checkpoint: the session's shuffle partitions, which the user sizes to the data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def run_to_table(
@@ -198,119 +191,3 @@ def live_view(spark: SparkSession, path: str, n: int = 150) -> DataFrame:
 
     t = spark.read.parquet(path).where(F.col("window_id") >= 0)
     return last_n(t, n, ["window_id"], series=["series"])
-
-
-# ---------------------------------------------------------------- multi-channel sample blocks
-MULTI_OUT_SCHEMA = T.StructType(
-    [
-        T.StructField("series", T.LongType()),
-        T.StructField("window_id", T.LongType()),
-        T.StructField("start_seq", T.LongType()),
-        T.StructField("end_seq", T.LongType()),
-        T.StructField("mav", T.DoubleType()),
-        T.StructField("mean_ch", T.ArrayType(T.DoubleType())),
-        T.StructField("truth_last", T.DoubleType()),
-        T.StructField("n_dropped", T.LongType()),
-    ]
-)
-
-MULTI_STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("next_seq", T.LongType()),
-        T.StructField("next_win", T.LongType()),
-        T.StructField("channels", T.IntegerType()),
-        T.StructField("buf_seq", T.ArrayType(T.LongType())),
-        T.StructField("buf_x", T.ArrayType(T.DoubleType())),  # row-major samples x channels
-        T.StructField("buf_t", T.ArrayType(T.DoubleType())),
-        T.StructField("pend_seq", T.ArrayType(T.LongType())),
-        T.StructField("pend_x", T.ArrayType(T.DoubleType())),
-        T.StructField("pend_t", T.ArrayType(T.DoubleType())),
-    ]
-)
-
-
-def _multi_window_step(size: int, step: int):
-    if not 0 < step <= size:
-        raise ValueError("need 0 < step <= size")
-    cols = [f.name for f in MULTI_OUT_SCHEMA.fields]
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        series = int(key[0])
-        if state.exists:
-            nxt, nwin, ch, bs, bx, bt, ps, px, pt = state.get
-        else:
-            nxt, nwin, ch, bs, bx, bt, ps, px, pt = 0, 0, 0, [], [], [], [], [], []
-        seqs, ts, blocks = [np.asarray(ps, dtype="int64")], [np.asarray(pt, dtype="float64")], []
-        for p in pdfs:
-            if p.empty:
-                continue
-            seqs.append(p["seq"].to_numpy(dtype="int64"))
-            ts.append(p["t"].to_numpy(dtype="float64"))
-            blocks.append(np.stack([np.asarray(v, dtype="float64") for v in p["x"]]))
-        if blocks and not ch:
-            ch = blocks[0].shape[1]
-        xs = [np.asarray(px, dtype="float64").reshape(-1, ch)] + blocks if ch else []
-        seq, t = np.concatenate(seqs), np.concatenate(ts)
-        x = np.concatenate(xs) if xs else np.zeros((len(seq), 0))
-        before = len(seq)
-        keep = seq >= nxt
-        seq, x, t = seq[keep], x[keep], t[keep]
-        o = np.argsort(seq, kind="stable")
-        seq, x, t = seq[o], x[o], t[o]
-        first = np.ones(len(seq), dtype=bool)
-        first[1:] = seq[1:] != seq[:-1]
-        seq, x, t = seq[first], x[first], t[first]
-        dropped = before - len(seq)
-        gap = np.nonzero(seq != nxt + np.arange(len(seq)))[0]
-        run = int(gap[0]) if len(gap) else len(seq)
-        b_seq = np.concatenate([np.asarray(bs, dtype="int64"), seq[:run]])
-        b_x = np.concatenate([np.asarray(bx, dtype="float64").reshape(-1, ch) if ch else np.zeros((0, 0)), x[:run]]) if ch else x[:run]
-        b_t = np.concatenate([np.asarray(bt, dtype="float64"), t[:run]])
-        nxt += run
-        n_win = 0 if len(b_seq) < size else (len(b_seq) - size) // step + 1
-        out = None
-        if n_win:
-            starts = np.arange(n_win) * step
-            wins = np.stack([b_x[s : s + size] for s in starts])  # (windows, size, channels)
-            out = pd.DataFrame(
-                {
-                    "series": np.full(n_win, series, dtype="int64"),
-                    "window_id": nwin + np.arange(n_win, dtype="int64"),
-                    "start_seq": b_seq[starts],
-                    "end_seq": b_seq[starts + size - 1],
-                    "mav": np.abs(wins).mean(axis=(1, 2)),
-                    "mean_ch": list(wins.mean(axis=1)),
-                    "truth_last": b_t[starts + size - 1],
-                    "n_dropped": np.zeros(n_win, dtype="int64"),
-                }
-            )
-            out.loc[out.index[-1], "n_dropped"] = dropped
-            nwin += n_win
-            cut = n_win * step
-            b_seq, b_x, b_t = b_seq[cut:], b_x[cut:], b_t[cut:]
-        state.update(
-            (
-                int(nxt), int(nwin), int(ch), b_seq.tolist(), b_x.ravel().tolist(), b_t.tolist(),
-                seq[run:].tolist(), x[run:].ravel().tolist(), t[run:].tolist(),
-            )
-        )
-        if out is not None:
-            yield out[cols]
-        elif dropped:
-            yield pd.DataFrame([(series, -1, -1, -1, None, None, None, dropped)], columns=cols)
-
-    return fn
-
-
-def stream_block_windows(sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t") -> DataFrame:
-    """STR-01/04 for multi-channel samples (``x`` is an array per sample, e.g. an electrode grid):
-    per window the MAV over all samples and channels and the mean of every channel."""
-    s = sdf.select(
-        F.col(series).cast("long").alias("series"),
-        F.col(seq).cast("long").alias("seq"),
-        F.col(x).cast("array<double>").alias("x"),
-        F.col(truth).cast("double").alias("t"),
-    )
-    return s.groupBy("series").applyInPandasWithState(
-        _multi_window_step(size, step), MULTI_OUT_SCHEMA, MULTI_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )

@@ -51,9 +51,9 @@ def test_stream_equals_batch_with_duplicates(spark):
     dup = rows[10:30]  # duplicated samples must be ignored
     base = fd.scratch_folder(spark, "test_stream")
     feed = spark.createDataFrame(rows + dup, "subject long, seq long, x double, gait double")
-    feed = feed.withColumn("activity", F.lit("walk")).withColumn("event_id", F.col("seq"))
+    feed = feed.withColumn("activity", F.lit("walk")).withColumn("event_id", F.col("seq")).withColumn("first_seq", F.lit(0)).withColumn("arrived", F.current_timestamp())
     path = os.path.join(base, "feed")
-    feed.repartition(5, F.xxhash64("seq", "x")).write.parquet(path)
+    feed.withColumn("first_seq", F.col("first_seq").cast("long")).repartition(5, F.xxhash64("seq", "x")).write.parquet(path)
     sdf = fd.stream_samples(spark, path)
     out = run_to_table(spark, stream_windows(sdf, 8, 4, series="subject", x="x", truth="gait"), "w", base)
     got = spark.read.parquet(out).where("window_id >= 0").toPandas().sort_values(["series", "window_id"])
@@ -89,3 +89,29 @@ def test_block_stream_equals_batch(spark):
         assert (row.series, row.window_id) == (s, k)
         assert abs(row.mav - mav) < 1e-12
         np.testing.assert_allclose(np.asarray(row.mean_ch), mch, rtol=1e-12)
+
+
+def _stream(spark, rows, name, files=4, **kw):
+    base = fd.scratch_folder(spark, name)
+    path = os.path.join(base, "feed")
+    spark.createDataFrame(rows, "series long, seq long, x double, t double").repartition(files, F.xxhash64("seq", "series")).write.parquet(path)
+    sdf = spark.readStream.schema("series long, seq long, x double, t double").option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.read.parquet(run_to_table(spark, stream_windows(sdf, 8, 4, **kw), "w", base)).toPandas()
+
+
+def test_stream_starts_late(spark):
+    """First sequence 100: with the declared origin every window comes; without, after the gap limit."""
+    rows = [(1, 100 + i, float(i), 0.0) for i in range(100)]
+    got = _stream(spark, rows, "late", origin=100)
+    assert sorted(got.start_seq) == list(range(100, 193, 4))
+    got = _stream(spark, rows, "late_unknown", files=1, gap_limit=20)
+    assert sorted(got[got.window_id >= 0].start_seq) == list(range(100, 193, 4)) and got.n_missing.sum() == 100
+
+
+def test_stream_goes_on_after_a_lost_sample(spark):
+    rows = [(1, i, float(i), 0.0) for i in range(200) if i != 21] + [(2, i, float(i), 0.0) for i in range(40)]
+    got = _stream(spark, rows, "lost", files=1, gap_limit=16)
+    one = got[(got.series == 1) & (got.window_id >= 0)].sort_values("window_id")
+    assert one.start_seq.tolist() == [0, 4, 8, 12, *range(22, 193, 4)]
+    assert one.window_id.tolist() == list(range(len(one))) and got[got.series == 1].n_missing.sum() == 1
+    assert len(got[(got.series == 2) & (got.window_id >= 0)]) == 9
