@@ -85,8 +85,9 @@ def phase_encode(df: DataFrame, col: str, prefix: str = "phase") -> DataFrame:
 
 
 # ---------------------------------------------------------------- PRJ-15
-def pool_channels(df: DataFrame, col: str, group: int = 16, out: str | None = None, n_channels: int = 64) -> DataFrame:
-    """PRJ-15: mean of each run of ``group`` neighbouring electrodes (NaN skipped, like pandas).
+def pool_channels(df: DataFrame, col: str, group: int = 16, out: str | None = None, n_channels: int = 64, keep: bool = False) -> DataFrame:
+    """PRJ-15: mean of each run of ``group`` neighbouring electrodes (NaN skipped, like pandas);
+    the pooled channels go unless ``keep``.
 
     Higher-order array functions keep this inside whole-stage codegen.
     """
@@ -98,7 +99,8 @@ def pool_channels(df: DataFrame, col: str, group: int = 16, out: str | None = No
         total = F.aggregate(valid, F.lit(0.0), lambda s, v: s + v.cast("double"))
         return F.when(F.size(valid) > 0, total / F.size(valid))
 
-    return df.withColumn(out or f"{col}_pooled", F.array(*[pooled(k) for k in range(n_pools)]))
+    res = df.withColumn(out or f"{col}_pooled", F.array(*[pooled(k) for k in range(n_pools)]))
+    return res if keep or out == col else res.drop(col)
 
 
 # ---------------------------------------------------------------- PRJ-04/05/06/21

@@ -156,7 +156,7 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def fold_report(df: DataFrame, fold: str, y: str, p: str) -> DataFrame:
     """EVL-08: accuracy per fold plus the mean over folds (fold NULL, ``is_mean`` true)."""
-    per = df.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy")).cache()
+    per = df.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
     mean = per.agg(F.lit(None).cast(df.schema[fold].dataType).alias(fold), F.sum("n").alias("n"), F.avg("accuracy").alias("accuracy"))
     return per.withColumn("is_mean", F.lit(False)).unionByName(mean.withColumn("is_mean", F.lit(True)))
 
@@ -168,13 +168,22 @@ def joint_error(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def compare_smoothers(df: DataFrame, truth: str, raw: str, smooth: str, idx: str = "idx", series: Sequence[str] = ()) -> DataFrame:
-    """EVL-10: MAE against the truth and jitter (std of successive differences) before and after
-    smoothing, with the jitter reduction in percent, per series."""
+    """EVL-10: R2 and MAE against the truth and jitter (std of successive differences) before and
+    after smoothing, with the jitter reduction in percent, per series."""
     from myosig.operators.index import with_lags
     from myosig.operators.sequence import jitter_reduction
 
     d = with_lags(df, [raw, smooth], idx=idx, series=series, lags=1)
+    spread = F.var_pop(truth)
+
+    def r2(p: str) -> Column:
+        """Constant truth: 1 if matched exactly, else 0."""
+        mse = F.avg((F.col(truth) - F.col(p)) * (F.col(truth) - F.col(p)))
+        return F.when(spread > 0, 1 - mse / spread).otherwise(F.when(mse == 0, 1.0).otherwise(0.0))
+
     g = d.groupBy(*series).agg(
+        r2(raw).alias("r2_raw"),
+        r2(smooth).alias("r2_kalman"),
         F.avg(F.abs(F.col(raw) - F.col(truth))).alias("mae_raw"),
         F.avg(F.abs(F.col(smooth) - F.col(truth))).alias("mae_kalman"),
         F.stddev_pop(F.col(raw) - F.col(f"{raw}_lag1")).alias("jitter_raw"),

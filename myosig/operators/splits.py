@@ -102,11 +102,19 @@ def split_by_time(
     return df.withColumn("split", split)
 
 
-def split_info(df: DataFrame, ratio: float, gap: int, window: int, series: Sequence[str], n: str = "n_rows") -> DataFrame:
-    """SRC-05: one row per series with counts and cut positions."""
+def split_info(df: DataFrame, ratio: float, gap: int, window: int, series: Sequence[str], n: str = "n_rows", step: int = 1) -> DataFrame:
+    """SRC-05: one row per series with cut positions, and in ``train_rows`` / ``test_rows`` the
+    numbers of feature windows (``window`` samples every ``step``) that each part holds.
+
+    The column names are fixed values: those of the stored split record.
+    """
     g = df.groupBy(*series).agg(F.max(n).alias("rows_total"))
     train_end = F.floor(F.col("rows_total") * F.lit(ratio)).cast("bigint")
     test_start = train_end + gap
+
+    def windows(samples: Column) -> Column:
+        return F.when(samples >= window, F.floor((samples - window) / F.lit(step)) + 1).otherwise(0).cast("bigint")
+
     ok = (F.col("rows_total") >= 3 * window) & (train_end >= window) & (F.col("rows_total") - test_start >= window)
     return g.select(
         *series,
@@ -115,8 +123,8 @@ def split_info(df: DataFrame, ratio: float, gap: int, window: int, series: Seque
         F.lit(gap).cast("bigint").alias("gap_samples"),
         train_end.alias("train_end"),
         test_start.cast("bigint").alias("test_start"),
-        train_end.alias("train_rows"),
-        F.greatest(F.col("rows_total") - test_start, F.lit(0)).cast("bigint").alias("test_rows"),
+        windows(train_end).alias("train_rows"),
+        windows(F.col("rows_total") - test_start).alias("test_rows"),
         ok.alias("valid"),
     )
 
@@ -159,9 +167,12 @@ def sample_balanced(df: DataFrame, id_col: str, label: str, total: int = 100, se
     return out.drop("_h", "_h2", "_crk", "_q")
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """SPL-08: Bernoulli sample (Spark's own, approximate count)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, id_col: str | Column, seed: int = 0) -> DataFrame:
+    """SPL-08: Bernoulli sample (approximate count): rows whose hash lies in the first ``fraction``
+    of its range, so a re-run task keeps the same rows."""
+    if fraction >= 1:
+        return df
+    return df.where(F.substring(stable_hash(id_col, seed), 1, 8) < F.lit(f"{int(fraction * 2**32):08x}"))
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 0) -> DataFrame:

@@ -171,6 +171,14 @@ def align_truth(windows: DataFrame, samples: DataFrame, cols: Sequence[str], idx
     return windows.join(s, [*series, end], "left")
 
 
+def end_time(windows: DataFrame, samples: DataFrame, hz: float, activity: str = "activity", idx: str = "idx", end: str = "end_idx", out: str = "t") -> DataFrame:
+    """WIN-05: time of each kept window: position inside its activity at its last sample, by the rate."""
+    from myosig.operators.sequence import elapsed_time
+
+    t = elapsed_time(samples.select(idx, activity), hz, activity, (idx,), out)
+    return align_truth(windows, t, [out], idx=idx, end=end)
+
+
 def prediction_time(window: Column, step: int, hz: float) -> Column:
     """WIN-05: the live step clock k * step / hz."""
     return window * F.lit(step) / F.lit(float(hz))

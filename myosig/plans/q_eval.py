@@ -67,7 +67,7 @@ def q_rollup(spark, sf_dir):
 
 @query(
     "metrics_by_target",
-    ["EVL-03", "SRC-07"],
+    ["EVL-03"],
     sql=f"""
 WITH {LONG_SQL}, {TARGET_STATS_SQL.format(by='activity,')}
 SELECT activity, target, n, round(r2, 4) AS r2, round(sqrt(mse), 4) AS rmse FROM tm

@@ -42,7 +42,7 @@ def window_features(spark, sf_dir):
     return sp.split_sequential(w, 0.8, idx="pos")
 
 
-@query("forest_fit", ["ML-03", "EVL-03", "SRC-10"])
+@query("forest_fit", ["ML-03", "EVL-03"])
 def q_forest_fit(spark, sf_dir):
     w = window_features(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
     models = fit.fit_forest_regressor(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES, ["gait_target"], trees=10, depth=5, min_leaf=10)
@@ -52,7 +52,7 @@ def q_forest_fit(spark, sf_dir):
     return m.select("activity", "target", "n", r6("r2").alias("r2"), r6("rmse").alias("rmse"))
 
 
-@query("model_summary", ["ML-23", "ML-18"])
+@query("model_summary", ["ML-23"])
 def q_model_summary(spark, sf_dir):
     w = window_features(spark, sf_dir)
     models = fit.fit_forest_regressor(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES, ["gait_target"], trees=10, depth=5, min_leaf=10)

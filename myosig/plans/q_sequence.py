@@ -86,9 +86,10 @@ def q_jitter(spark, sf_dir):
     + """,
 kk AS (SELECT k.subject, k.idx, k.z AS raw, k.xs AS kal, iv.x / 3.0 AS truth FROM k JOIN iv USING (subject, idx)),
 d AS (SELECT *, raw - lag(raw) OVER w AS d_raw, kal - lag(kal) OVER w AS d_kal FROM kk WINDOW w AS (PARTITION BY subject ORDER BY idx)),
-g AS (SELECT subject, avg(abs(raw - truth)) AS mae_raw, avg(abs(kal - truth)) AS mae_kalman,
+g AS (SELECT subject, 1 - avg((truth - raw) * (truth - raw)) / var_pop(truth) AS r2_raw,
+             1 - avg((truth - kal) * (truth - kal)) / var_pop(truth) AS r2_kalman, avg(abs(raw - truth)) AS mae_raw, avg(abs(kal - truth)) AS mae_kalman,
              stddev_pop(d_raw) AS jitter_raw, stddev_pop(d_kal) AS jitter_kalman FROM d GROUP BY subject)
-SELECT subject, round(mae_raw, 6) AS mae_raw, round(mae_kalman, 6) AS mae_kalman, round(jitter_raw, 6) AS jitter_raw,
+SELECT subject, round(r2_raw, 6) AS r2_raw, round(r2_kalman, 6) AS r2_kalman, round(mae_raw, 6) AS mae_raw, round(mae_kalman, 6) AS mae_kalman, round(jitter_raw, 6) AS jitter_raw,
        round(jitter_kalman, 6) AS jitter_kalman, round((jitter_raw - jitter_kalman) / jitter_raw * 100, 6) AS reduction_pct
 FROM g
 """,
@@ -97,7 +98,7 @@ def q_compare_smoothers(spark, sf_dir):
     s = sq.kalman_smooth(subject_series(spark, sf_dir), "x", series=["subject"], out="kal")
     s = s.withColumn("truth", F.col("x") / 3.0)
     g = ev.compare_smoothers(s, "truth", "x", "kal", series=["subject"])
-    return g.select("subject", *[r6(c).alias(c) for c in ["mae_raw", "mae_kalman", "jitter_raw", "jitter_kalman", "reduction_pct"]])
+    return g.select("subject", *[r6(c).alias(c) for c in ["r2_raw", "r2_kalman", "mae_raw", "mae_kalman", "jitter_raw", "jitter_kalman", "reduction_pct"]])
 
 
 # --------------------------------------------------------------------- WIN-11
@@ -350,7 +351,7 @@ FROM lb LEFT JOIN curve c ON c.joint = lb.joint AND c.gait_bin = lb.gait_bin
 """
 
 
-@query("control_replay", ["CTL-04", "WIN-03", "ML-19", "JOI-02", "CTL-01", "SRC-11"], sql=_control_sql())
+@query("control_replay", ["CTL-04", "WIN-03", "ML-19", "JOI-02", "CTL-01"], sql=_control_sql())
 def q_control_replay(spark, sf_dir):
     import warnings
 

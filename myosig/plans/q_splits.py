@@ -23,7 +23,7 @@ H = "md5(CAST({c} AS VARCHAR) || ':{seed}')"
 
 @query(
     "split_by_reps",
-    ["SPL-01", "SRC-04", "SET-01"],
+    ["SPL-01"],
     sql=f"""
 WITH {REPS_SQL}, {REP_SPLIT_SQL}
 SELECT r.activity, r.reps, rp.split, count(*) AS n_rows FROM r JOIN rp USING (activity, reps) GROUP BY ALL
@@ -36,7 +36,7 @@ def q_split_by_reps(spark, sf_dir):
 
 @query(
     "split_first_seen",
-    ["SPL-02", "SRT-02"],
+    ["SPL-02"],
     sql=f"""
 WITH {SIG_SQL}, ix AS (SELECT *, {sql_index(GLOBAL_ORDER)} AS idx FROM sig),
 p AS (SELECT activity, reps, min(idx) AS f FROM ix GROUP BY activity, reps)
@@ -57,14 +57,15 @@ def q_split_first_seen(spark, sf_dir):
 WITH {SIG_SQL}, g AS (SELECT subject, count(*) AS rows_total FROM sig GROUP BY subject),
 c AS (SELECT subject, rows_total, CAST(floor(rows_total * 0.8) AS BIGINT) AS train_end FROM g)
 SELECT subject, rows_total, CAST(0.8 AS DOUBLE) AS train_ratio, CAST(4 AS BIGINT) AS gap_samples, train_end, train_end + 4 AS test_start,
-       train_end AS train_rows, greatest(rows_total - (train_end + 4), 0) AS test_rows,
+       CASE WHEN train_end >= 8 THEN CAST(floor((train_end - 8) / 4) + 1 AS BIGINT) ELSE 0 END AS train_rows,
+       CASE WHEN rows_total - train_end - 4 >= 8 THEN CAST(floor((rows_total - train_end - 12) / 4) + 1 AS BIGINT) ELSE 0 END AS test_rows,
        rows_total >= 24 AND train_end >= 8 AND rows_total - (train_end + 4) >= 8 AS valid
 FROM c
 """,
 )
 def q_split_time(spark, sf_dir):
     ix = with_row_index(adapters.signal(spark, sf_dir), adapters.SUBJECT_ORDER, series=["subject"], count_name="n_rows")
-    return sp.split_info(ix, 0.8, 4, 8, ["subject"])
+    return sp.split_info(ix, 0.8, 4, 8, ["subject"], step=4)
 
 
 @query(
@@ -134,7 +135,7 @@ def q_split_stratified(spark, sf_dir):
 
 @query(
     "balanced_sample",
-    ["SPL-07", "SRT-06"],
+    ["SPL-07"],
     sql=f"""
 WITH e AS (SELECT vec_id, label FROM embeddings),
 cls AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS cr, count(*) OVER () AS k FROM (SELECT DISTINCT label FROM e)),
@@ -196,7 +197,7 @@ def q_class_guard(spark, sf_dir):
 
 @query(
     "logo_folds",
-    ["JOI-06", "ML-14"],
+    ["JOI-06"],
     sql=f"""
 WITH {REPS_SQL}, g AS (SELECT subject, count(*) AS n_test FROM r GROUP BY subject)
 SELECT CAST(row_number() OVER (ORDER BY subject) - 1 AS INT) AS fold, subject, n_test,
