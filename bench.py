@@ -17,6 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from myosig.operators.index import release_caches  # noqa: E402
 from myosig.plans import all_queries  # noqa: E402
 from myosig.session import local_session  # noqa: E402
 
@@ -51,6 +52,7 @@ def main() -> int:
             times[name] = round(time.perf_counter() - t0, 3)
         except Exception as e:  # noqa: BLE001
             failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        release_caches()
         spark.catalog.clearCache()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {

@@ -1,12 +1,11 @@
-"""JOI-05, SRT-03, ML-12: exact k-nearest neighbours by blocked distance computation.
-
-Exact kNN needs every (test, train) distance; what must not happen is a
-materialised pair table.  Test and train rows are hashed into blocks; each
-test block meets each train block in one ``cogroup`` task, where numpy computes
-the block's distances and keeps only the k best per test row.  Replication is
-test_rows x train_blocks + train_rows x test_blocks; the per-task memory is
-bounded by the block sizes.  The k best of the per-block winners are then
-merged per test row (at most k x train_blocks candidates).
+"""JOI-05, SRT-03, ML-12: exact k nearest neighbours without a pair table.
+
+The smaller side (by bytes) is cut into slices of at most ``SLICE_BYTES`` by a hash of its
+id; each slice is broadcast and the larger side is scanned once per slice, in Arrow batches.
+No row is replicated and nothing but k candidates per test row and batch is shuffled.
+
+Distances are ranked by a matrix product, and the rows that may be among the k nearest
+are measured again by differences, so results and ties do not depend on its rounding.
 """
 
 from __future__ import annotations
@@ -14,12 +13,39 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from myosig.functions import frame_bytes
+
+SLICE_BYTES = 32 << 20
+SUB = 512  # test rows per product (bounds the distance matrix)
+
+
+def _nearest(tid: np.ndarray, tv: np.ndarray, rid: np.ndarray, rv: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(test id, place in rv, squared distance) of the k nearest train rows of every test row; ties: smaller train id."""
+    order = np.argsort(rid, kind="stable")
+    r, norm = rv[order], (rv[order] ** 2).sum(1)
+    kk = min(k, len(r))
+    out_t, out_p, out_d = [], [], []
+    for s in range(0, len(tv), SUB):
+        x = tv[s : s + SUB]
+        d = (x**2).sum(1)[:, None] + norm[None, :] - 2 * (x @ r.T)
+        far = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+        slack = 1e-9 * (1 + (x**2).sum(1) + norm.max())
+        for i in range(len(x)):
+            near = np.flatnonzero(d[i] <= far[i] + slack[i])
+            exact = ((x[i] - r[near]) ** 2).sum(1)
+            best = np.argsort(exact, kind="stable")[:kk]
+            out_t.append(np.full(len(best), tid[s + i]))
+            out_p.append(order[near[best]])
+            out_d.append(exact[best])
+    return np.concatenate(out_t), np.concatenate(out_p), np.concatenate(out_d)
 
-SUB = 128  # test rows per numpy sub-batch (bounds the difference tensor)
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype="float64") for v in column.to_numpy(zero_copy_only=False)]) if len(column) else np.zeros((0, 0))
 
 
 def knn_topk(
@@ -30,54 +56,48 @@ def knn_topk(
     train_id: str = "train_id",
     vec: str = "vec",
     label: str = "label",
-    block: int = 2048,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """(test_id, train_id, label, dist2, rank) for the k nearest train rows (ties: smaller train_id)."""
-    n_test, n_train = test.count(), train.count()
-    s_blocks = max(1, math.ceil(n_test / block))
-    r_blocks = max(1, math.ceil(n_train / block))
-    te = test.select(F.col(test_id).alias("tid"), F.col(vec).alias("tv")).withColumn(
-        "_tb", F.pmod(F.xxhash64("tid", F.lit(11)), F.lit(s_blocks))
-    ).withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
-    tr = train.select(F.col(train_id).alias("rid"), F.col(vec).alias("rv"), F.col(label).alias("lbl")).withColumn(
-        "_rb", F.pmod(F.xxhash64("rid", F.lit(13)), F.lit(r_blocks))
-    ).withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(s_blocks - 1))))
-    lbl_type = train.schema[label].dataType.simpleString()
-    schema = f"tid bigint, rid bigint, lbl {lbl_type}, dist2 double"
-
-    def block_topk(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"tid": [], "rid": [], "lbl": [], "dist2": []})
-        xa = np.stack(a["tv"].to_numpy()).astype("float64")
-        xb = np.stack(b["rv"].to_numpy()).astype("float64")
-        rid = b["rid"].to_numpy()
-        lbl = b["lbl"].to_numpy()
-        kk = min(k, len(b))
-        out_t, out_r, out_l, out_d = [], [], [], []
-        order_ids = np.argsort(rid, kind="stable")
-        xb, rid, lbl = xb[order_ids], rid[order_ids], lbl[order_ids]
-        for s in range(0, len(xa), SUB):
-            diff = xa[s : s + SUB, None, :] - xb[None, :, :]
-            d2 = np.einsum("ijk,ijk->ij", diff, diff)
-            # stable sort by distance keeps the smaller train id first on ties
-            idx = np.argsort(d2, axis=1, kind="stable")[:, :kk]
-            rows = np.arange(idx.shape[0])[:, None]
-            out_t.append(np.repeat(a["tid"].to_numpy()[s : s + SUB], kk))
-            out_r.append(rid[idx].ravel())
-            out_l.append(lbl[idx].ravel())
-            out_d.append(d2[rows, idx].ravel())
-        return pd.DataFrame(
-            {"tid": np.concatenate(out_t), "rid": np.concatenate(out_r), "lbl": np.concatenate(out_l), "dist2": np.concatenate(out_d)}
-        )
-
-    cand = te.groupBy("_tb", "_rb").cogroup(tr.groupBy("_tb", "_rb")).applyInPandas(
-        lambda a, b: block_topk(a, b), schema
-    )
+    te = test.select(F.col(test_id).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    tr = train.select(F.col(train_id).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("lbl"))
+    sizes = frame_bytes(te), frame_bytes(tr)
+    by_test = sizes[0] <= sizes[1]  # the test side is the one that is broadcast
+    small, large = (te, tr) if by_test else (tr, te)
+    slices = max(1, math.ceil(min(sizes) / slice_bytes))
+    lbl = tr.schema["lbl"].dataType.simpleString()
+    spark, parts = test.sparkSession, []
+    for n in range(slices):
+        own = small.where(F.pmod(F.xxhash64("id"), F.lit(slices)) == n).toArrow()  # at most about slice_bytes
+        held = spark.sparkContext.broadcast((own["id"].to_numpy(), _vectors(own["v"].combine_chunks()), None if by_test else own["lbl"].combine_chunks()))
+
+        def run(batches, held=held):
+            ids, vecs, labels = held.value
+            for b in batches:
+                if not len(b) or not len(ids):
+                    continue
+                mine, v = b.column(0).to_numpy(), _vectors(b.column(1))
+                if by_test:
+                    t, p, d = _nearest(ids, vecs, mine, v, k)
+                    r, names = mine[p], b.column(2).take(pa.array(p))
+                else:
+                    t, p, d = _nearest(mine, v, ids, vecs, k)
+                    r, names = ids[p], labels.take(pa.array(p))
+                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(r, pa.int64()), names, pa.array(d, pa.float64())], ["tid", "rid", "lbl", "dist2"])
+
+        parts.append(large.mapInArrow(run, f"tid bigint, rid bigint, lbl {lbl}, dist2 double"))
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
     w = Window.partitionBy("tid").orderBy("dist2", "rid")
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(
-        F.col("tid").alias(test_id), F.col("rid").alias(train_id), F.col("lbl").alias(label), "dist2", "rank"
-    )
+    return top.select(F.col("tid").alias(test_id), F.col("rid").alias(train_id), F.col("lbl").alias(label), "dist2", "rank")
+
+
+def best_k(votes: DataFrame, truth: str, k: str = "k", pred: str = "pred") -> DataFrame:
+    """ML-12: accuracy of every k, best first (ties: the smaller k)."""
+    hit = (F.col(pred).eqNullSafe(F.col(truth))).cast("double")
+    return votes.groupBy(k).agg(F.avg(hit).alias("accuracy")).orderBy(F.desc("accuracy"), k)
 
 
 def knn_vote(top: DataFrame, ks: list[int], test_id: str = "test_id", label: str = "label") -> DataFrame:

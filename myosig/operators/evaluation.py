@@ -13,6 +13,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from myosig.session import ensure_checkpoint_dir
+
+#: A confusion matrix has all pairs of labels; beyond this many it is refused.
+MAX_CLASSES = 2000
+
 
 def long_pairs(df: DataFrame, pairs: Mapping[str, tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
     """Wide (truth, prediction) columns -> long rows (keep..., target, y, p)."""
@@ -101,11 +106,14 @@ def pair_counts(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def confusion_matrix(df: DataFrame, y: str, p: str) -> DataFrame:
     """EVL-07: every (truth, pred) label pair, zeros included (labels from both columns)."""
-    counts = pair_counts(df, y, p).cache()
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = pair_counts(df, y, p).checkpoint()  # a few rows, read several times
     labels = sorted(
         {r[0] for r in counts.select("truth").distinct().collect()} | {r[0] for r in counts.select("pred").distinct().collect()},
         key=lambda v: (v is None, v),
     )
+    if len(labels) > MAX_CLASSES:
+        raise ValueError(f"{len(labels)} labels: a matrix of all pairs is meant for at most {MAX_CLASSES}")
     lit_labels = F.array(*[F.lit(v) for v in labels])
     grid = counts.sparkSession.range(1).select(F.explode(lit_labels).alias("truth")).select(
         "truth", F.explode(lit_labels).alias("pred")
@@ -133,7 +141,8 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     per = per.select("cls", prec.alias("precision"), rec.alias("recall"), "support", "tp")
     f1 = F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))
-    per = per.withColumn("f1", f1).cache()
+    ensure_checkpoint_dir(df.sparkSession)
+    per = per.withColumn("f1", f1).checkpoint()  # one row per class, read several times
     tot = F.sum("support")
     macro = per.agg(F.lit("macro avg").alias("cls"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), tot.alias("support"))
     weighted = per.agg(

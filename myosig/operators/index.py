@@ -37,6 +37,8 @@ from pyspark.sql import types as T
 
 from myosig.functions import broadcast_if_small
 
+#: Frames that :func:`with_row_index` holds for its lazy results, until :func:`release_caches`.
+_HELD: list[DataFrame] = []
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
@@ -83,6 +85,7 @@ def with_row_index(
     else:
         # memory and disk: Spark evicts to disk under memory pressure
         ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+        _HELD.append(ranged)
 
     series = list(series)
     pieces = ranged.groupBy("_rix_pid", *series).agg(
@@ -111,6 +114,18 @@ def with_row_index(
     return out.drop("_rix_pid", "_rix_loc", "_rix_first", "_rix_off", "_rix_p", *names.values())
 
 
+def release_caches() -> int:
+    """Release the frames held for earlier row indexes (only those; the caller's own caches stay).
+
+    Call it when the results built on them have been written; a result used later is
+    still right, it reads its input again.
+    """
+    n = len(_HELD)
+    while _HELD:
+        _HELD.pop().unpersist()
+    return n
+
+
 def _local_lags(ranged: DataFrame, cols: list[str], lags: int, series: list[str], suffix: str = "_lag") -> DataFrame:
     """Lags on the range-partitioned, sorted frame without another shuffle (step 1 of 2).
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -44,7 +43,7 @@ def window_features(spark, sf_dir):
 
 @query("forest_fit", ["ML-03", "EVL-03"])
 def q_forest_fit(spark, sf_dir):
-    w = window_features(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
+    w = window_features(spark, sf_dir).checkpoint()
     models = fit.fit_forest_regressor(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES, ["gait_target"], trees=10, depth=5, min_leaf=10)
     pred = fit.predict_models(models, w.where(F.col("split") == sp.TEST), WIN_FEATURES)
     long = ev.long_pairs(pred, {"gait": ("gait_target", "gait_target_pred")}, keep=["activity"])
@@ -118,7 +117,7 @@ def q_forest_fit_joint(spark, sf_dir):
     """Joint two-output forest (one structure for both targets), grown level-wise on Spark."""
     from myosig.models.multiforest import fit_multi_forest
 
-    w = window_features(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
+    w = window_features(spark, sf_dir).checkpoint()
     feats = [f for f in WIN_FEATURES if f != "mav"]
     nodes = fit_multi_forest(w.where(F.col("split") == sp.TRAIN), feats, ["gait_target", "mav"], "window_id", trees=10, depth=5, min_leaf=10)
     test = w.where(F.col("split") == sp.TEST)

@@ -90,29 +90,38 @@ def _emb_split(spark, sf_dir):
     return e.select(F.col("idx").alias("vec_id"), F.col("emg_ta").alias("vec"), "label", "split")
 
 
-@query(
-    "knn_vote",
-    ["JOI-05", "SRT-03", "ML-12"],
-    sql="""
+_VOTES = """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, row_number() OVER (ORDER BY vec_id) - 1 AS pos,
                   count(*) OVER () AS n FROM embeddings),
 tr AS (SELECT * FROM e WHERE pos < floor(n * 0.8)), te AS (SELECT * FROM e WHERE pos >= floor(n * 0.8)),
-d AS (SELECT te.vec_id AS test_id, tr.vec_id AS train_id, tr.label, list_distance(te.v, tr.v) AS dist FROM te, tr),
+d AS (SELECT te.vec_id AS test_id, te.label AS truth, tr.vec_id AS train_id, tr.label, list_distance(te.v, tr.v) AS dist FROM te, tr),
 r AS (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY dist, train_id) AS rk FROM d),
-v AS (SELECT test_id, kk.k, label, count(*) AS c FROM r JOIN (VALUES (3), (5), (7)) kk(k) ON r.rk <= kk.k GROUP BY ALL)
-SELECT test_id, k, label AS pred FROM (
-  SELECT *, row_number() OVER (PARTITION BY test_id, k ORDER BY c DESC, label) AS q FROM v) WHERE q = 1
-""",
-)
-def q_knn(spark, sf_dir):
+v AS (SELECT test_id, truth, kk.k, label, count(*) AS c FROM r JOIN (VALUES (3), (5), (7)) kk(k) ON r.rk <= kk.k GROUP BY ALL),
+p AS (SELECT test_id, truth, k, label AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY test_id, k ORDER BY c DESC, label) AS q FROM v) WHERE q = 1)
+"""
+
+
+def _knn_votes(spark, sf_dir):
     e = _emb_split(spark, sf_dir)
     test = e.where(F.col("split") == sp.TEST).withColumnRenamed("vec_id", "test_id")
     train = e.where(F.col("split") == sp.TRAIN).withColumnRenamed("vec_id", "train_id")
-    top = knn.knn_topk(test, train, 7, vec="vec", label="label", block=256)
-    v = knn.knn_vote(top, [3, 5, 7])
+    return test, knn.knn_vote(knn.knn_topk(test, train, 7, vec="vec", label="label"), [3, 5, 7])
+
+
+@query("knn_vote", ["JOI-05", "SRT-03", "ML-12"], sql=_VOTES + "SELECT test_id, k, pred FROM p")
+def q_knn(spark, sf_dir):
+    _, v = _knn_votes(spark, sf_dir)
     return v.select("test_id", F.col("k").cast("int").alias("k"), "pred")
 
 
+@query("knn_best_k", ["ML-12"], sql=_VOTES + "SELECT k, round(avg(CAST(pred = truth AS DOUBLE)), 6) AS accuracy FROM p GROUP BY k")
+def q_knn_best(spark, sf_dir):
+    test, v = _knn_votes(spark, sf_dir)
+    scored = v.join(test.select("test_id", F.col("label").alias("truth")), "test_id")
+    return knn.best_k(scored, "truth").select(F.col("k").cast("int").alias("k"), r6("accuracy").alias("accuracy"))
+
+
 # --------------------------------------------------------------------- ML-19 / JOI-09
 def tree_walk_sql(nodes, n_out: int, feature_sql: list[str], keys: list[str], table: str, pred: str = "pred") -> str:
     """Recursive-CTE oracle: walk each row down every tree, average the leaf vectors."""

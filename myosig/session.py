@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,3 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a session whose workers do not have it installed
+    (operators run functions of the package inside tasks)."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="myosig-pkg-")  # read by the driver only; Spark serves the file
+    path = shutil.make_archive(os.path.join(folder, "myosig"), "zip", root_dir=os.path.dirname(root), base_dir=os.path.basename(root))
+    spark.sparkContext.addPyFile(path)

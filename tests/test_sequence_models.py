@@ -73,14 +73,21 @@ def test_knn_blocks_match_brute_force(spark):
     lab = rng.integers(0, 4, size=300)
     train = spark.createDataFrame([(i, tr[i].tolist(), int(lab[i])) for i in range(300)], "train_id long, vec array<double>, label int")
     test = spark.createDataFrame([(i, te[i].tolist()) for i in range(70)], "test_id long, vec array<double>")
-    top = knn.knn_topk(test, train, 5, block=64).toPandas()
+    top = knn.knn_topk(test, train, 5, slice_bytes=4096).toPandas()
     for t in range(70):
         d = ((tr - te[t]) ** 2).sum(axis=1)
         exp = np.lexsort((np.arange(300), d))[:5]
         got = top[top.test_id == t].sort_values("rank")["train_id"].tolist()
         assert got == exp.tolist()
-    votes = knn.knn_vote(knn.knn_topk(test, train, 7, block=64), [3, 7]).count()
+    votes = knn.knn_vote(knn.knn_topk(test, train, 7), [3, 7]).count()
     assert votes == 140
+    # the other way round the train side is the smaller one, and the one that is broadcast
+    back = knn.knn_topk(
+        train.withColumnRenamed("train_id", "test_id"), test.withColumnRenamed("test_id", "train_id").withColumn("label", F.lit(0)), 3, slice_bytes=2048
+    ).toPandas()
+    for t in range(0, 300, 17):
+        d = ((te - tr[t]) ** 2).sum(axis=1)
+        assert back[back.test_id == t].sort_values("rank")["train_id"].tolist() == np.lexsort((np.arange(70), d))[:3].tolist()
 
 
 def test_forest_scorers_agree(spark):
