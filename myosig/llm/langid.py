@@ -38,7 +38,7 @@ SLOT_BITS = 20
 PROBES = 2
 CONTAINS = 0.25
 #: Labelled texts per language that the filter is fitted on, at most about so many.
-SAMPLE_PER_LANGUAGE = 1500
+SAMPLE_PER_LANGUAGE = 800
 #: A text with fewer of its n-grams in the winning language is taken for none of them.
 REJECT_BELOW = 0.2
 
@@ -118,16 +118,11 @@ def fit(texts: list[str], labels: list[str]) -> Filter:
         return Filter([], masks, np.zeros(0), 0)
     totals = np.zeros(len(languages))
     filled = Filter(languages, masks, np.zeros(len(languages)), 0)
-    hashes = [[np.empty(0, np.uint32)] for _ in languages]
-    for text, label in zip(texts, labels):
-        k = index[label]
-        for _, parts in segments([text.lower()], max(ORDERS) - 1):
-            for p in parts:
-                hashes[k] += hashed_ngrams(p)
     pairs = []
-    for k in range(len(languages)):
-        values, n = np.unique(np.concatenate(hashes[k]), return_counts=True)
-        hashes[k] = []
+    for k, language in enumerate(languages):  # one language's n-grams at a time
+        own = [h for t, g in zip(texts, labels) if g == language for _, parts in segments([t.lower()], max(ORDERS) - 1) for p in parts for h in hashed_ngrams(p)]
+        values, n = np.unique(np.concatenate(own or [np.empty(0, np.uint32)]), return_counts=True)
+        del own
         totals[k] = max(1, n.sum())
         pairs.append((values[n >= 2], n[n >= 2] / totals[k]))
     every, inverse = np.unique(np.concatenate([v for v, _ in pairs]), return_inverse=True)

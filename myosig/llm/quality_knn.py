@@ -32,7 +32,7 @@ SHAPE_BITS, CHAR_BITS = 11, 12
 TERMS = (1 << SHAPE_BITS) + (1 << CHAR_BITS)
 RANK = 48
 #: Labelled texts that are broadcast, at most about so many of each label.
-SAMPLE = 2000
+SAMPLE = 1000
 NEIGHBOURS = 25
 SHARPNESS = 4
 PRIOR_VOTES = 0.05
@@ -136,7 +136,8 @@ def fit(texts: list[str], labels: list[int], rate: float | None = None, seed: in
     for _ in range(4):
         q = np.linalg.qr(x.T @ (x @ q))[0]
     model = Model(idf, np.ascontiguousarray(q, np.float32), np.zeros((0, rank), np.float32), np.asarray(labels, np.float64), 0.0)
-    model.vectors = model.latent(counts)
+    del x
+    model.vectors = np.vstack([model.latent(counts[i : i + 256]) for i in range(0, len(counts), 256)])
     model.rate = float(np.mean(labels)) if rate is None else rate
     return model
 
