@@ -17,9 +17,9 @@ side, and what comes out is a count of links per set and again a spanning forest
 holds more than two blocks, and rows stay proportional to documents (times blocks in a
 component).  The components of exact links are the near-duplicate classes.
 
-Hot groups: equal texts fold into one class by a pre-aggregated group-by; a path or a star
-that holds many sets is pre-aggregated, and split by a broadcast list (of at most
-``BROADCAST_PATHS`` paths) or by a join of two plain sides.
+Hot groups: equal texts fold into one class by a pre-aggregated group-by; the paths that
+hold many sets are counted by a pre-aggregated group-by and told to the tasks as a broadcast
+list (beyond ``BROADCAST_PATHS`` of them, by a join), so their sets never meet in one task.
 
 Result: one row per document: ``class_id`` (least doc_id of its near-duplicate class) and
 ``n_links`` (other documents with Jaccard similarity of 0.8 or more, copies included).
@@ -43,6 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from myosig.functions import broadcast_if_small
 from myosig.llm.common import written
 from myosig.llm.components import components
 
@@ -129,11 +130,27 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), *(pa.array(c, pa.binary()) for c in zip(*sets))], schema=schema)
 
 
-def _expand(n_runs: int | None):
-    """Children of (node, coords, paths) rows; without paths, of the roots of ``n_runs`` trees."""
-    schema = pa.schema([("path", pa.int64()), ("node", pa.binary()), ("sketch", pa.binary())])
+def _children(coords: np.ndarray, row: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child path) of every (row, path): the sampled coordinates and what the row's set holds there."""
+    choice = _mix(path + _U64(0x9E3779B97F4A7C15))
+    second = (choice >> _U64(40)).astype(np.float64) / (1 << 24) < SECOND_CHILD
+    c1 = (choice % _U64(COORDINATES)).astype(np.int64)
+    c2 = (c1 + 1 + ((choice >> _U64(8)) % _U64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
+    row, path, c = np.r_[row, row[second]], np.r_[path, path[second]], np.r_[c1, c2[second]]
+    return row, _mix(path * _U64(31) + c.astype(np.uint64) * _U64(0xD6E8FEB86659FD93) + coords[row, c].astype(np.uint64))
+
+
+def _expand(n_runs: int | None, large=None, keep: str = "rows"):
+    """Children of (node, coords, paths) rows; without paths, of the roots of ``n_runs`` trees.
+
+    ``large``: a broadcast sorted array of paths.  keep "rows": rows (path, node, sketch) of
+    all other paths; "seeds": (node, coords, paths) with the large ones, a row per node.
+    """
+    rows_schema = pa.schema([("path", pa.int64()), ("node", pa.binary()), ("sketch", pa.binary())])
+    seeds_schema = pa.schema([("node", pa.binary()), ("coords", pa.binary()), ("paths", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = None if large is None else large.value
         for b in batches:
             for at in range(0, len(b), 4096):
                 part = b.slice(at, 4096)
@@ -144,17 +161,23 @@ def _expand(n_runs: int | None):
                 else:
                     lists = part.column(2)
                     row, path = np.repeat(np.arange(n), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().view(np.uint64)
-                choice = _mix(path + _U64(0x9E3779B97F4A7C15))
-                second = (choice >> _U64(40)).astype(np.float64) / (1 << 24) < SECOND_CHILD
-                c1 = (choice % _U64(COORDINATES)).astype(np.int64)
-                c2 = (c1 + 1 + ((choice >> _U64(8)) % _U64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-                row, path, c = np.r_[row, row[second]], np.r_[path, path[second]], np.r_[c1, c2[second]]
-                child = _mix(path * _U64(31) + c.astype(np.uint64) * _U64(0xD6E8FEB86659FD93) + coords[row, c].astype(np.uint64))
-                low = np.ascontiguousarray(coords.astype(np.uint8))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(child.view(np.int64)), part.column(0).take(pa.array(row)),
-                    pa.array([x.tobytes() for x in low], pa.binary()).take(pa.array(row)),
-                ], schema=schema)
+                row, child = _children(coords, row, path)
+                child = child.view(np.int64)
+                if split is not None and len(split):
+                    inside = split[np.minimum(np.searchsorted(split, child), len(split) - 1)] == child
+                    inside = inside if keep == "seeds" else ~inside
+                    row, child = row[inside], child[inside]
+                elif keep == "seeds":
+                    row, child = row[:0], child[:0]
+                if keep == "rows":
+                    low = pa.array([x.tobytes() for x in coords.astype(np.uint8)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(child), part.column(0).take(pa.array(row)), low.take(pa.array(row))], schema=rows_schema)
+                elif len(row):
+                    order = np.lexsort((child, row))
+                    row, child = row[order], child[order]
+                    own, first = np.unique(row, return_index=True)
+                    paths = pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)], pa.int32()), pa.array(child))
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), part.column(1).take(pa.array(own)), paths], schema=seeds_schema)
 
     return run
 
@@ -207,32 +230,34 @@ def _leaf_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], schema=_EDGES)
 
 
-def _among(paths: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(paths) if n <= BROADCAST_PATHS else paths
-
-
 def candidates(classes: DataFrame, n_runs: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
     """Edges (a, b) that connect all classes which met in a leaf and look similar.
 
-    ``classes`` (node, coords) is read at every level: pass a written table.
+    ``classes`` (node, coords) is read at every level: pass a written table.  A node of the
+    edges that is no class stands for a path that still holds many sets after the last
+    split: its sets are taken for similar here and compared exactly later.
     """
-    ddl, found = "path long, node binary, sketch binary", []
-    rows = classes.select("node", "coords").mapInArrow(_expand(n_runs), ddl)
+    spark, ddl = classes.sparkSession, "path long, node binary, sketch binary"
+    found, seeds, roots = [], classes.select("node", "coords"), n_runs
     for level in range(1, levels + 1):
+        rows = seeds.mapInArrow(_expand(roots), ddl)
         large = written(rows.groupBy("path").count().where(F.col("count") > leaf).select("path"), "paths")
         n = large.count()
-        small = rows.join(_among(large, n), "path", "left_anti") if n else rows
+        if n <= BROADCAST_PATHS:
+            split = spark.sparkContext.broadcast(np.sort(np.array([r.path for r in large.collect()], np.int64)))
+            small = seeds.mapInArrow(_expand(roots, split), ddl)
+            deeper = seeds.mapInArrow(_expand(roots, split, "seeds"), "node binary, coords binary, paths array<long>")
+        else:
+            small = rows.join(large, "path", "left_anti")
+            paths = rows.join(large, "path").groupBy("node").agg(F.collect_set("path").alias("paths"))  # at most a few per run
+            deeper = paths.join(classes.select("node", "coords"), "node").select("node", "coords", "paths")
         found.append(written(small.repartition("path").sortWithinPartitions("path").mapInArrow(_leaf_batches, "a binary, b binary").distinct(), "leaf-edges"))
         if not n:
             break
-        inside = rows.join(_among(large, n), "path").select("path", "node")
+        deeper = written(deeper, "seeds")
         if level == levels:
-            # as many sets under one path after the last split: taken for similar, compared exactly later
-            least = written(inside.groupBy("path").agg(F.min("node").alias("a")), "paths")
-            found.append(inside.join(_among(least, n), "path").select("a", F.col("node").alias("b")).distinct())
-        else:
-            seeds = written(inside.groupBy("node").agg(F.collect_set("path").alias("paths")), "seeds")  # at most a few per run
-            rows = seeds.join(classes.select("node", "coords"), "node").select("node", "coords", "paths").mapInArrow(_expand(None), ddl)
+            found.append(deeper.select("node", F.explode("paths").alias("p")).select(F.encode(F.col("p").cast("string"), "utf-8").alias("a"), F.col("node").alias("b")))
+        seeds, roots = deeper, None
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -307,13 +332,15 @@ def _named_classes(docs: DataFrame, target: float, leaf: int, block: int) -> tup
     # the least row of a class: by id, null last, then by key
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key1", "key2"))
     classes = written(sets.where("node is not null").groupBy("node").agg(rep.alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("coords").alias("coords")), "classes")
-    near = written(components(candidates(classes, runs(target), leaf)), "candidates")
-    sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    members = near.join(sizes, "label").join(classes.select("node", "copies"), "node").withColumn("blocks", blocks)
+    met = components(candidates(classes, runs(target), leaf))
+    # without the nodes that stand for paths, and with the class's weight
+    near = written(met.join(classes.select("node", "copies"), "node"), "candidates")
+    # components of several blocks are few: a task holds two blocks, whatever the component's size
+    several = near.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select(F.col("label").alias("many"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    members = near.join(broadcast_if_small(several), F.col("label") == F.col("many"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).drop("many")
     members = members.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
     # one set per class that has a candidate
-    tokens = sets.where("node is not null").join(near.select("node"), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    tokens = sets.where("node is not null").join(broadcast_if_small(near.select("node")), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
     spread = members.join(tokens, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = spread.select(
         "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "copies", "tokens"
