@@ -143,9 +143,11 @@ def _children(coords: np.ndarray, row: np.ndarray, path: np.ndarray) -> tuple[np
 def _expand(n_runs: int | None, large=None, keep: str = "rows"):
     """Children of (node, coords, paths) rows; without paths, of the roots of ``n_runs`` trees.
 
-    ``large``: a broadcast sorted array of paths.  keep "rows": rows (path, node, sketch) of
-    all other paths; "seeds": (node, coords, paths) with the large ones, a row per node.
+    ``large``: a broadcast sorted array of paths.  keep "counts": (path, n), summed per batch;
+    "rows": rows (path, node, sketch) of all but the large paths; "seeds": (node, coords,
+    paths) with the large ones, a row per node.
     """
+    counts_schema = pa.schema([("path", pa.int64()), ("n", pa.int64())])
     rows_schema = pa.schema([("path", pa.int64()), ("node", pa.binary()), ("sketch", pa.binary())])
     seeds_schema = pa.schema([("node", pa.binary()), ("coords", pa.binary()), ("paths", pa.list_(pa.int64()))])
 
@@ -169,7 +171,10 @@ def _expand(n_runs: int | None, large=None, keep: str = "rows"):
                     row, child = row[inside], child[inside]
                 elif keep == "seeds":
                     row, child = row[:0], child[:0]
-                if keep == "rows":
+                if keep == "counts":
+                    own, times = np.unique(child, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(times)], schema=counts_schema)
+                elif keep == "rows":
                     low = pa.array([x.tobytes() for x in coords.astype(np.uint8)], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(child), part.column(0).take(pa.array(row)), low.take(pa.array(row))], schema=rows_schema)
                 elif len(row):
@@ -240,14 +245,15 @@ def candidates(classes: DataFrame, n_runs: int, leaf: int = LEAF, levels: int =
     spark, ddl = classes.sparkSession, "path long, node binary, sketch binary"
     found, seeds, roots = [], classes.select("node", "coords"), n_runs
     for level in range(1, levels + 1):
-        rows = seeds.mapInArrow(_expand(roots), ddl)
-        large = written(rows.groupBy("path").count().where(F.col("count") > leaf).select("path"), "paths")
+        counts = seeds.mapInArrow(_expand(roots, keep="counts"), "path long, n long")
+        large = written(counts.groupBy("path").agg(F.sum("n").alias("n")).where(F.col("n") > leaf).select("path"), "paths")
         n = large.count()
         if n <= BROADCAST_PATHS:
             split = spark.sparkContext.broadcast(np.sort(np.array([r.path for r in large.collect()], np.int64)))
             small = seeds.mapInArrow(_expand(roots, split), ddl)
             deeper = seeds.mapInArrow(_expand(roots, split, "seeds"), "node binary, coords binary, paths array<long>")
         else:
+            rows = seeds.mapInArrow(_expand(roots), ddl)
             small = rows.join(large, "path", "left_anti")
             paths = rows.join(large, "path").groupBy("node").agg(F.collect_set("path").alias("paths"))  # at most a few per run
             deeper = paths.join(classes.select("node", "coords"), "node").select("node", "coords", "paths")
