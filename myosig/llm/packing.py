@@ -20,6 +20,7 @@ ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -36,8 +37,8 @@ SEQUENCE = 4096
 END_ID = 1
 GROUP_PIECES = 6000
 #: Words that a worker keeps encoded; the table starts anew beyond.
-CACHED_WORDS = 400_000
-_CACHED_CHARS = 40
+CACHED_WORDS = 250_000
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?|%*$&#;:]*)")
 _GROUP_BITS = 24
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -50,30 +51,64 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Token ids of whole texts, word by word."""
+    """Token ids of whole texts, word by word: every distinct word is encoded once and kept.
+
+    A plain word (Latin letters, then common marks) is looked up in lower case without its
+    marks.  Unknown words of that form go to the tokenizer in one string: each is one run of
+    letters, so its ids end at the first one that ends a word.  Any other word goes alone.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self._forget()
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _forget(self) -> None:
+        self.known: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
+
+    def _one(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) > CACHED_WORDS:
+            self._forget()
+        plain = [(w, m[1].lower(), m[2]) for w, m in zip(words, map(_PLAIN.fullmatch, words)) if m]
+        stems = [x for x in {s for _, s, _ in plain} if x not in self.stems]
+        for at in range(0, len(stems), 10_000):
+            part = stems[at : at + 10_000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(part):
+                raise ValueError("the tokenizer's words do not end where the vocabulary says")
+            raw = ids.tobytes()
+            self.stems.update(zip(part, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+        for marks in {m for *_, m in plain}:
+            if marks not in self.stems:
+                self.stems[marks] = self._one(marks)
+        self.known.update((w, self.stems[s] + self.stems[m]) for w, s, m in plain)
+        self.known.update((w, self._one(w)) for w in words if w not in self.known)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers, the end id included."""
+        end, split = END_ID.to_bytes(4, "little"), [t.replace("\n", " ").split(" ") for t in texts]
+        if fresh := set().union(*split) - self.known.keys():
+            self._learn(fresh)
+        out = []
+        for words in split:
+            coded = list(map(self.known.get, words))
+            if None in coded:
+                self._learn({w for w, x in zip(words, coded) if x is None})
+                coded = [self.known[w] if w in self.known else self._one(w) for w in words]
+            out.append(b"".join(coded) + end)
+        return out
 
     def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers, the end id included."""
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        if fresh := [w for w in dict.fromkeys(words) if w not in known]:
-            coded = dict(zip(fresh, self._encode(fresh)))
-            if len(known) > CACHED_WORDS:
-                self.known = known = {"": b""}
-            out = b"".join([coded[w] if w in coded else known[w] if w in known else self._encode([w])[0] for w in words])
-            known.update((w, x) for w, x in coded.items() if len(w) <= _CACHED_CHARS)
-        else:
-            out = b"".join(map(known.__getitem__, words))
-        return out + END_ID.to_bytes(4, "little")
+        return self.encode([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -95,8 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False
         for b in batches:
             for at in range(0, len(b), 512):
                 part, out = b.slice(at, 512), []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encoder.ids(text or "")
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode([t or "" for t in part.column(1).to_pylist()])):
                     for k, start in enumerate(range(0, len(ids), size)):
                         x = ids[start : start + size]
                         out.append((doc_id, k, start // 4, len(x) // 4, zlib.crc32(x)) + ((x,) if with_ids else ()))
