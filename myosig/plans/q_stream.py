@@ -11,7 +11,7 @@ from myosig.plans.q_sequence import control_tree
 from myosig.plans.q_windows import SIG_SQL
 from myosig.plans.registry import query, r6, sql_index, sql_window_ids
 from myosig.streaming import feed as fd
-from myosig.streaming.windows import run_to_table, stream_windows
+from myosig.streaming.windows import complete_windows, run_to_table, stream_windows
 
 
 def _stream_sql() -> str:
@@ -34,11 +34,9 @@ def q_stream_windows(spark, sf_dir):
     path = fd.write_feed(spark, sf_dir, os.path.join(base, "feed"))
     sdf = fd.stream_samples(spark, path)
     w = stream_windows(sdf, 8, 4, series="subject", seq="seq", x="x", truth="gait")
-    w = w.where(F.col("window_id") >= 0)
     (p0,) = trees.forest_expr(control_tree(), ["mav", "mean_x"], 1)[:1]
     scored = w.withColumn("pred", p0)  # STR-04: stateless scoring of each emitted window
-    out = run_to_table(spark, scored, "windows", base)
-    t = spark.read.parquet(out)
+    t = complete_windows(spark, run_to_table(spark, scored, "windows", base))
     return t.select(
         "series", "window_id", "start_seq", "end_seq", r6("mav").alias("mav"), r6("mean_x").alias("mean_x"),
         r6("truth_last").alias("truth_last"), r6("pred").alias("pred"),
@@ -61,8 +59,8 @@ def q_stream_from_activity(spark, sf_dir):
     """Every subject's stream starts at its first 'purchase' sample, wherever that is."""
     base = fd.scratch_folder(spark, "from_activity")
     sdf = fd.stream_samples(spark, fd.write_feed(spark, sf_dir, os.path.join(base, "feed"), start_activity="Purchase"))
-    w = stream_windows(sdf, 8, 4, series="subject", truth="gait", origin="first_seq").where(F.col("window_id") >= 0)
-    t = spark.read.parquet(run_to_table(spark, w, "windows", base))
+    w = stream_windows(sdf, 8, 4, series="subject", truth="gait", origin="first_seq")
+    t = complete_windows(spark, run_to_table(spark, w, "windows", base))
     return t.select("series", "window_id", "start_seq", "end_seq", r6("mean_x").alias("mean_x"), r6("rms").alias("rms"))
 
 
@@ -84,7 +82,9 @@ def q_stream_live_view(spark, sf_dir):
     base = fd.scratch_folder(spark, "live_view")
     sdf = fd.stream_samples(spark, fd.write_feed(spark, sf_dir, os.path.join(base, "feed")))
     w = stream_windows(sdf, 8, 4, series="subject", seq="seq", x="x", truth="gait", arrived="arrived")
-    out = live_view(spark, run_to_table(spark, add_latency(w), "windows", base), n=150)
+    path = run_to_table(spark, add_latency(w), "windows", base)
+    complete_windows(spark, path)
+    out = live_view(spark, path, n=150)
     ok = (F.col("latency_ms") >= 0) & (F.col("latency_ms") < 24 * 3600 * 1000)
     return out.select("series", "window_id", r6("mav").alias("mav"), r6("truth_last").alias("truth_last"), ok.alias("latency_ok"))
 
@@ -110,9 +110,8 @@ def q_stream_grid(spark, sf_dir):
     base = fd.scratch_folder(spark, "stream_grid")
     path = fd.write_grid_feed(spark, sf_dir, os.path.join(base, "feed"))
     sdf = spark.readStream.schema(fd.GRID_FEED_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
-    w = stream_block_windows(sdf, 8, 4, series="series", seq="seq", x="x", truth="t").where(F.col("window_id") >= 0)
-    out = run_to_table(spark, w, "windows", base)
-    t = spark.read.parquet(out)
+    w = stream_block_windows(sdf, 8, 4, series="series", seq="seq", x="x", truth="t")
+    t = complete_windows(spark, run_to_table(spark, w, "windows", base))
     return t.select(
         "series", "window_id", r6("mav").alias("mav"), r6(F.col("mean_ch")[0]).alias("mean_c0"),
         r6(F.col("mean_ch")[63]).alias("mean_c63"), r6("truth_last").alias("truth_last"),

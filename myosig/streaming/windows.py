@@ -39,7 +39,8 @@ from myosig.session import ensure_checkpoint_dir
 # State lives in RocksDB (off-heap, spills to local disk, checkpointed incrementally).
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-#: Rows that may wait for a missing sample of their series.
+#: Rows that may wait for a missing sample of their series.  It must be over the disorder of the
+#: source (rows of a series that may overtake one of its samples), or samples still to come are given up.
 GAP_LIMIT = 4096
 
 OUT_SCHEMA = (
@@ -185,6 +186,15 @@ def run_to_table(
     return path
 
 
+def complete_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The windows of the sink table; fails if the stream gave up any sample."""
+    t = spark.read.parquet(path)
+    n = t.agg(F.sum("n_missing")).first()[0]
+    if n:
+        raise RuntimeError(f"the stream gave up {n} samples: its gap limit is under the disorder of its source")
+    return t.where(F.col("window_id") >= 0)
+
+
 def live_view(spark: SparkSession, path: str, n: int = 150) -> DataFrame:
     """STR-06: the most recent ``n`` windows per series from the sink table."""
     from myosig.operators.sequence import last_n

@@ -115,3 +115,24 @@ def test_stream_goes_on_after_a_lost_sample(spark):
     assert one.start_seq.tolist() == [0, 4, 8, 12, *range(22, 193, 4)]
     assert one.window_id.tolist() == list(range(len(one))) and got[got.series == 1].n_missing.sum() == 1
     assert len(got[(got.series == 2) & (got.window_id >= 0)]) == 9
+
+
+def test_long_series_loses_no_sample(spark, monkeypatch):
+    """One series far over the gap limit: the replayed feed gives up nothing and equals the batch windows."""
+    from myosig import adapters
+
+    n = 100_000
+    x = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000.0
+    sig = spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.lit(1).cast("long").alias("subject"), F.lit("walk").alias("activity"), F.lit(1).alias("reps"), F.lit(0.0).alias("gait"), x.alias("x")
+    )
+    monkeypatch.setattr(adapters, "signal", lambda spark, sf_dir: sig)
+    base = fd.scratch_folder(spark, "test_long_series")
+    sdf = fd.stream_samples(spark, fd.write_feed(spark, "", os.path.join(base, "feed")))
+    all_rows = spark.read.parquet(run_to_table(spark, stream_windows(sdf, 8, 4, series="subject", x="x", truth="gait"), "w", base)).toPandas()
+    got = all_rows[all_rows.window_id >= 0].sort_values("window_id")
+    exp = sliding_windows(with_row_index(sig, adapters.SUBJECT_ORDER, series=["subject"], count_name="n_rows"), 8, 4, series=["subject"], aggs={"mav": ft.mav("x")}).toPandas().sort_values("window_id")
+    print("windows", len(got), "of", len(exp), "missing", int(all_rows.n_missing.sum()), "dropped", int(all_rows.n_dropped.sum()))
+    assert all_rows.n_missing.sum() == 0 and all_rows.n_dropped.sum() == 0
+    assert got.window_id.tolist() == exp.window_id.tolist() and got.start_seq.tolist() == list(range(0, n - 7, 4))
+    np.testing.assert_allclose(got["mav"].to_numpy(), exp["mav"].to_numpy(), rtol=1e-9)
