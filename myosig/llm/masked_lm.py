@@ -1,20 +1,26 @@
 r"""Masked pseudo-likelihood scoring by a bidirectional window network (operator 5).
 
-Tokens are lower-cased words and single marks.  The ``VOCABULARY`` most frequent words of the
-corpus have an id each; any other shares one of ``OOV_SLOTS`` ids of its suffix class.  The
+Tokens are lower-cased words and single marks.  The most frequent words of the corpus have an
+id each (:func:`vocabulary_size`: ``VOCABULARY``, more as the corpus has more distinct words);
+any other is rare and shares one of ``OOV_SLOTS`` ids of its suffix class.  The
 ``OWN_CLASS`` most frequent words are output classes by themselves, the rest falls into
 ``SUFFIX_CLASSES`` by a hash of its last two letters.
 
 The network predicts each token from ``WINDOW`` tokens on either side, itself masked:
 ``hidden = tanh(sum of per-position embeddings + b)``, ``class = softmax(hidden W + c)``, and
-P(token) = P(class | both sides) * P(token | class), the latter from corpus counts.  A
+P(token) = P(class | both sides) * P(token | class), the latter from the counts of every word
+of the corpus: a rare word has (its count + S(word)) of its class, S a spelling model (a product
+of character probabilities) that is all an unseen word has, so the words of a class sum to at
+most 1.  A task looks no rare word up: it puts out, per batch, each one with its rows, and a
+shuffle by the word joins them with the table of counts.  A
 document's score is the sum of log P over all of its tokens (its pseudo-log-likelihood), and
 ``mean_log_prob`` its mean.
 
 Everything is gathered from the whole corpus: word counts by a shuffle, and the weights by
 ``ROUNDS`` passes in which every task trains in numpy (Adagrad, minibatches) on all tokens of
 its texts, starting from the same weights; the tasks' weights are averaged by their numbers
-of tokens, in two levels of groups.  What is broadcast (vocabulary, weights) has a fixed size.
+of tokens, in two levels of groups.  What is broadcast (vocabulary, weights) grows with the
+square root of the number of distinct words; the table of counts is never broadcast by us.
 
 Edge cases: null texts and texts without a token have 0 tokens and score 0; very long texts
 are streamed in chunks; a document's context ends at its own ends; repeated rows train and
@@ -23,6 +29,7 @@ score each time; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -36,7 +43,9 @@ from pyspark.sql import functions as F
 
 from myosig.llm.common import written
 
+#: Words with an id of their own, at least; beyond, so many times the root of the distinct words.
 VOCABULARY = 2000
+ROOTS = 4
 OWN_CLASS = 47
 SUFFIX_CLASSES = 16
 OOV_SLOTS = 16
@@ -51,10 +60,17 @@ CHUNK = 32_768
 AVERAGED = 16
 
 CLASSES = 1 + OWN_CLASS + SUFFIX_CLASSES
-IDS = 1 + VOCABULARY + SUFFIX_CLASSES * OOV_SLOTS
+#: Shared ids are 1 to ``SLOTS``, words of the vocabulary follow.
+SLOTS = SUFFIX_CLASSES * OOV_SLOTS
+IDS = 1 + SLOTS + VOCABULARY
 _WIDTH = 2 * WINDOW * HIDDEN
 _OFFSETS = [*range(-WINDOW, 0), *range(1, WINDOW + 1)]
 _TOKEN = re.compile(r"\w+|[^\w\s]")
+#: Characters of the spelling model (any code point, and the end), and the share that any of them has alike.
+_CHARACTERS = 0x110000 + 1
+_ALIKE = 0.01
+#: Rare tokens that a task holds before it merges them.
+_RARE = 1_000_000
 
 
 def tokens(text: str | None) -> list[str]:
@@ -66,23 +82,37 @@ def suffix_class(word: str) -> int:
 
 
 def oov_id(word: str) -> int:
-    return 1 + VOCABULARY + suffix_class(word) * OOV_SLOTS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % OOV_SLOTS
+    return 1 + suffix_class(word) * OOV_SLOTS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % OOV_SLOTS
+
+
+def vocabulary_size(distinct: int) -> int:
+    return max(VOCABULARY, ROOTS * math.isqrt(distinct))
 
 
 class Vocabulary:
-    """Ids by word (0 is the edge of a text), the class of each id, and log P(id | class)."""
+    """Ids by word (0 is the edge of a text), the class of each id, and log P(id | class).
 
-    def __init__(self, words: list[str], counts: np.ndarray) -> None:
+    ``rest`` is -log of the counts that the words of a shared id have (0 for other ids), ``table``
+    the counts of all words and ``characters`` the spelling model's counts (of distinct words).
+    """
+
+    def __init__(self, words: list[str], counts: np.ndarray, table: DataFrame | None = None, characters: dict[str, int] | None = None) -> None:
         self.words = words
-        self.ids = {w: i + 1 for i, w in enumerate(words)}
-        self.classes = np.zeros(IDS, np.int64)
+        self.table = table
+        self.ids = {w: 1 + SLOTS + i for i, w in enumerate(words)}
+        self.classes = np.zeros(len(counts), np.int64)
         for i, w in enumerate(words):
-            self.classes[i + 1] = 1 + i if i < OWN_CLASS else 1 + OWN_CLASS + suffix_class(w)
-        oov = np.arange(SUFFIX_CLASSES * OOV_SLOTS)
-        self.classes[1 + VOCABULARY :] = 1 + OWN_CLASS + oov // OOV_SLOTS
+            self.classes[1 + SLOTS + i] = 1 + i if i < OWN_CLASS else 1 + OWN_CLASS + suffix_class(w)
+        self.classes[1 : 1 + SLOTS] = 1 + OWN_CLASS + np.arange(SLOTS) // OOV_SLOTS
         smooth = counts + 1.0
         smooth[0] = 1.0
-        smooth[1 + len(words) : 1 + VOCABULARY] = 0.0
+        smooth[1 + SLOTS + len(words) :] = 0.0
+        self.rest = np.zeros(len(counts))
+        self.rest[1 : 1 + SLOTS] = -np.log(smooth[1 : 1 + SLOTS])
+        whole = sum((characters or {}).values())
+        alike = _ALIKE / _CHARACTERS if whole else 1 / _CHARACTERS
+        self.characters = {c: math.log((1 - _ALIKE) * n / whole + alike) for c, n in (characters or {}).items()}
+        self.other = math.log(alike)
         whole = np.bincount(self.classes, smooth, CLASSES)
         with np.errstate(divide="ignore"):
             self.within = np.log(smooth / np.maximum(whole[self.classes], 1e-12))
@@ -99,8 +129,13 @@ class Vocabulary:
                 seen[w] = oov_id(w)
         return np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
 
+    def spelling(self, word: str) -> float:
+        """log S(word): its characters and its end, each by itself."""
+        get, other = self.characters.get, self.other
+        return sum(get(c, other) for c in word) + get("", other)
+
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"seen": {}}
+        return self.__dict__ | {"seen": {}, "table": None}
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,27 +155,39 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield flush()
 
 
+def _character_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: Counter = Counter()
+    for b in batches:
+        held[""] += len(b)
+        for word in b.column(0).to_pylist():
+            held.update(word)
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["c", "n"])
+
+
 def vocabulary(texts: DataFrame) -> Vocabulary:
     """Count every word of the corpus and keep the most frequent; ties by the word itself."""
     counts = written(texts.mapInArrow(_count_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    ids = {r.word: i + 1 for i, r in enumerate(top)}
-    slot = F.lit(1 + VOCABULARY) + (F.crc32(F.substring("word", -2, 2).cast("binary")) % SUFFIX_CLASSES) * OOV_SLOTS + F.crc32(F.col("word").cast("binary")) % OOV_SLOTS
+    size = vocabulary_size(counts.count())
+    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    slot = F.lit(1) + (F.crc32(F.substring("word", -2, 2).cast("binary")) % SUFFIX_CLASSES) * OOV_SLOTS + F.crc32(F.col("word").cast("binary")) % OOV_SLOTS
     rows = counts.groupBy(slot.alias("id")).agg(F.sum("n").alias("n")).collect()  # one row per shared id
-    n = np.zeros(IDS)
+    characters = counts.select("word").mapInArrow(_character_batches, "c string, n long").groupBy("c").agg(F.sum("n").alias("n")).collect()  # one row per character
+    n = np.zeros(1 + SLOTS + size)
     for r in rows:
         n[r.id] = r.n
-    for r in top:
-        n[ids[r.word]] = r.n
+    for i, r in enumerate(top):
+        n[1 + SLOTS + i] = r.n
         n[oov_id(r.word)] -= r.n
-    return Vocabulary([r.word for r in top], n)
+    return Vocabulary([r.word for r in top], n, counts, {r.c: r.n for r in characters})
 
 
 class Network:
     """Weights in numpy, with the squared-gradient sums of Adagrad while training."""
 
-    def __init__(self, flat: np.ndarray | None = None, seed: int = 0) -> None:
-        self.table = np.zeros((IDS, _WIDTH), np.float32)
+    def __init__(self, flat: np.ndarray | None = None, seed: int = 0, ids: int = IDS) -> None:
+        if flat is not None:
+            ids = (len(flat) - HIDDEN - (HIDDEN + 1) * CLASSES) // _WIDTH
+        self.table = np.zeros((ids, _WIDTH), np.float32)
         self.bias = np.zeros(HIDDEN, np.float32)
         self.out = np.zeros((HIDDEN, CLASSES), np.float32)
         self.base = np.zeros(CLASSES, np.float32)
@@ -183,7 +230,7 @@ class Network:
     def train(self, ids: np.ndarray, classes: np.ndarray, real: np.ndarray) -> None:
         """One step on ids[WINDOW:-WINDOW]; edges (not ``real``) are context only."""
         if self.sums is None:
-            self.sums = [np.full(IDS, 1e-2, np.float32)] + [np.full(w.shape, 1e-2, np.float32) for w in self.weights()[1:]]
+            self.sums = [np.full(len(self.table), 1e-2, np.float32)] + [np.full(w.shape, 1e-2, np.float32) for w in self.weights()[1:]]
         h = self._hidden(ids)
         p = h @ self.out
         p += self.base
@@ -197,7 +244,7 @@ class Network:
         spread = np.zeros((len(ids), _WIDTH), np.float32)
         for k, o in enumerate(_OFFSETS):
             spread[WINDOW + o : WINDOW + o + len(d), k * HIDDEN : (k + 1) * HIDDEN] = d
-        order = np.argsort(ids.astype(np.uint16), kind="stable")
+        order = np.argsort(ids.astype(np.uint16) if len(self.table) <= 1 << 16 else ids, kind="stable")
         ranked = ids[order]
         first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
         g_table, at = np.add.reduceat(spread[order], first, axis=0), ranked[first]
@@ -208,7 +255,35 @@ class Network:
             w -= RATE * g / np.sqrt(s)
 
 
-def _streams(texts: Iterator[str | None], vocabulary: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class _RareWords:
+    """The rare words of a batch with the rows that hold them, and how often."""
+
+    def __init__(self, v: Vocabulary) -> None:
+        self.v, self.ids, self.at, self.rows, self.held = v, {}, [], [], 0
+        self.done: list[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, row: int, words: list[str], ids: np.ndarray) -> None:
+        rare = np.flatnonzero(ids <= SLOTS)
+        if not len(rare):
+            return
+        own = self.ids
+        self.at.append(np.fromiter((own.setdefault(words[k], len(own)) for k in rare.tolist()), np.int64, len(rare)))
+        self.rows.append(np.full(len(rare), row))
+        self.held += len(rare)
+        if self.held >= _RARE:
+            self.merge()
+
+    def merge(self) -> None:
+        if self.held:
+            rows = np.concatenate(self.rows)
+            width = int(rows.max()) + 1
+            both, n = np.unique(np.concatenate(self.at) * width + rows, return_counts=True)
+            first = np.searchsorted(both // width, np.arange(len(self.ids) + 1))
+            self.done.append((list(self.ids), first, both % width, n))
+        self.ids, self.at, self.rows, self.held = {}, [], [], 0
+
+
+def _streams(texts: Iterator[str | None], vocabulary: Vocabulary, rare: _RareWords | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Chunks of ids with ``WINDOW`` edges around every text, and the row of each token (-1: an edge).
 
     A chunk begins and ends with ``WINDOW`` context tokens that belong to its neighbours.
@@ -220,6 +295,8 @@ def _streams(texts: Iterator[str | None], vocabulary: Vocabulary) -> Iterator[tu
         words = tokens(text)
         for at in range(0, len(words), CHUNK):
             x = vocabulary.encode(words[at : at + CHUNK])
+            if rare is not None:
+                rare.add(i, words[at : at + CHUNK], x)
             ids.append(x)
             rows.append(np.full(len(x), i))
             held += len(x)
@@ -270,7 +347,7 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
 def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Train on all tokens of all texts; returns the flat weights."""
     sc, ddl = texts.sparkSession.sparkContext, "part int, n long, weights binary"
-    words, flat = sc.broadcast(v), Network().flat()
+    words, flat = sc.broadcast(v), Network(ids=len(v.classes)).flat()
     for _ in range(rounds):
         parts = written(texts.mapInArrow(_train_batches(words, sc.broadcast(flat)), ddl), "weights")
         n = parts.count()
@@ -284,27 +361,46 @@ def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     return flat
 
 
+_SCORED = pa.schema([
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()),
+    ("word", pa.string()), ("spelling", pa.float64()), ("rows", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+])
+_SCORED_DDL = "row long, doc_id long, n_tokens long, log_prob double, word string, spelling double, rows array<long>, times array<long>"
+
+
 def _score_batches(vocabulary, flat):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("mean_log_prob", pa.float64())])
+    """A record for every document, and one for every rare word of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, v = Network(flat.value), vocabulary.value
         for b in batches:
-            total, count = score_texts(net, v, (t.as_py() for t in b.column(1)), len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count), pa.array(total), pa.array(total / np.maximum(count, 1))], schema=schema)
+            rare, names = _RareWords(v), b.column(0).to_numpy(zero_copy_only=False)
+            total, count = score_texts(net, v, (t.as_py() for t in b.column(2)), len(b), rare)
+            yield _record(len(b), row=b.column(0), doc_id=b.column(1), n_tokens=pa.array(count), log_prob=pa.array(total))
+            rare.merge()
+            for words, first, rows, n in rare.done:
+                lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int64())) for x in (names[rows], n)]
+                yield _record(len(words), word=pa.array(words, pa.string()), spelling=pa.array(map(v.spelling, words), pa.float64()), rows=lists[0], times=lists[1])
 
     return run
 
 
-def score_texts(net: Network, v: Vocabulary, texts: Iterator[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of log P and numbers of tokens of ``n`` texts."""
+def _record(n: int, **columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in _SCORED], schema=_SCORED)
+
+
+def score_texts(net: Network, v: Vocabulary, texts: Iterator[str | None], n: int, rare: _RareWords | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of log P and numbers of tokens of ``n`` texts.
+
+    For the words that ``rare`` gathers, log(count + S(word)) is still to be added.
+    """
     total, count = np.zeros(n), np.zeros(n, np.int64)
-    for ids, rows in _streams(texts, v):
+    for ids, rows in _streams(texts, v, rare):
         for at in range(WINDOW, len(ids) - WINDOW, BATCH):
             to = min(at + BATCH, len(ids) - WINDOW)
             r = rows[at:to]
             x = ids[at:to]
-            p = net.log_classes(ids[at - WINDOW : to + WINDOW], v.classes[x]) + v.within[x]
+            p = net.log_classes(ids[at - WINDOW : to + WINDOW], v.classes[x]) + v.within[x] + v.rest[x]
             own = r >= 0
             total += np.bincount(r[own], p[own], n)
             count += np.bincount(r[own], minlength=n)
@@ -317,5 +413,14 @@ def score(docs: DataFrame, v: Vocabulary | None = None, flat: np.ndarray | None
     texts = docs.select(F.col("text").cast("string").alias("text"))
     v = v or vocabulary(texts)
     flat = train(texts, v) if flat is None else flat
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(_score_batches(sc.broadcast(v), sc.broadcast(flat)), "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = written(plain.mapInArrow(_score_batches(sc.broadcast(v), sc.broadcast(flat)), _SCORED_DDL), "scored")
+    counts = v.table if v.table is not None else docs.sparkSession.createDataFrame([], "word string, n long")
+    rare = out.where(F.col("word").isNotNull()).select("word", "spelling", "rows", "times").join(counts, "word", "left")
+    log_n = F.when(F.col("n").isNull(), F.col("spelling")).otherwise(F.log(F.col("n") + F.exp("spelling")))
+    added = rare.select(log_n.alias("log_n"), F.explode(F.arrays_zip("rows", "times")).alias("at")).select(
+        F.col("at.rows").alias("row"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), (F.col("log_n") * F.col("at.times")).alias("log_prob")
+    )
+    base = out.where(F.col("word").isNull()).select("row", "doc_id", "n_tokens", "log_prob")
+    sums = base.unionByName(added).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("log_prob").alias("log_prob"))
+    return sums.select("doc_id", "n_tokens", "log_prob", (F.col("log_prob") / F.greatest("n_tokens", F.lit(1))).alias("mean_log_prob"))

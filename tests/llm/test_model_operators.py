@@ -235,6 +235,40 @@ def test_masked_lm_chunks(monkeypatch):
     assert (whole[1] == cut[1]).all() and np.allclose(whole[0], cut[0], rtol=1e-5)
 
 
+def test_masked_lm_rare_words(spark, monkeypatch):
+    """P(word | class) of all words, rare ones by their own counts, sums to at most 1; unseen ones have next to nothing."""
+    monkeypatch.setattr(masked_lm, "VOCABULARY", 20)
+    monkeypatch.setattr(masked_lm, "ROOTS", 1)
+    rng = H.rng(31)
+    common_words = [H.word(rng) for _ in range(30)]
+    rows = [(i, " ".join(rng.choices(common_words, k=60) + [H.word(rng) for _ in range(20)]), "en", "a") for i in range(60)]
+    counts = Counter(w for _, t, *_ in rows for w in masked_lm.tokens(t))
+    v = masked_lm.vocabulary(H.frame(spark, rows).select("text"))
+    assert len(v.words) == max(20, int(len(counts) ** 0.5))  # grows with the distinct words
+    flat = masked_lm.train(H.frame(spark, rows).select("text"), v)
+    net = masked_lm.Network(flat)
+    words = [*counts, "zzqqxx", "qzqzqzqzqz"]
+    got = {r.doc_id: r.log_prob for r in masked_lm.score(H.frame(spark, [(i, w, "en", "a") for i, w in enumerate(words)]), v, flat).collect()}
+    sums = np.zeros(masked_lm.CLASSES)
+    for i, w in enumerate(words):
+        x = v.encode([w])
+        in_class = got[i] - net.log_classes(np.r_[0, 0, x, 0, 0], v.classes[x])[0]
+        if w not in v.ids:
+            s = np.exp(v.spelling(w))
+            whole = v.within[x[0]] + v.rest[x[0]]
+            assert abs(in_class - whole - np.log(counts[w] + s)) < 1e-4
+        sums[v.classes[x[0]]] += np.exp(in_class)
+    assert sums.max() < 1 + 1e-4
+    seen = [got[i] for i, w in enumerate(words) if w not in v.ids and counts[w]]
+    assert max(got[len(words) - 1], got[len(words) - 2]) < min(seen) - 5
+    # whole documents, with repeated rare words
+    doc = "zzqqxx " + rows[0][1] + " zzqqxx"
+    one = masked_lm.score(H.frame(spark, [(1, doc, "en", "a"), (1, doc, "en", "a")]), v, flat).collect()
+    base = masked_lm.score_texts(net, v, iter([doc]), 1)[0][0]
+    want = base + sum(np.log(counts[w] + np.exp(v.spelling(w))) for w in masked_lm.tokens(doc) if w not in v.ids)
+    assert len(one) == 2 and all(abs(r.log_prob - want) < 1e-3 for r in one)
+
+
 # ---- 7: mixing
 
 
