@@ -6,12 +6,16 @@ A paragraph is a line.  A long paragraph is cut into sentences (and a sentence o
 section is a run of paragraphs that ends where the paragraph's own hash says so, or before
 a heading, so an insertion moves no later boundary.  A parent hashes its children's hashes.
 
-The fingerprint is the root (128 bits, over the exact text) and, below it, the leaves at 24
-bits each in base64 and one more character for their size: ``root|leafleaf,leaf/leaf``, with
-``,`` between paragraphs and ``/`` between sections (neither is a leaf's character).  Hashes of paragraphs and sections follow from their leaves.  Equal roots
-mean equal texts; otherwise :func:`differing_branches` descends only where hashes differ and
-names the sections, paragraphs and pieces that were edited, and :func:`likeness` is the
-Dice coefficient of the leaves, weighted by size, where equal branches count whole.
+The root hashes its sections' hashes, a section its paragraphs' hashes, and a paragraph's hash is
+over its exact text, so white space that no leaf holds counts and equal roots mean equal texts.
+
+The fingerprint is the root (128 bits) and, below it, the tree at 24 bits a node in base64:
+``root|section:paragraph,paragraph/section:paragraph``, a paragraph being its leaves (each with one
+more character for its size), ``.`` and its own hash; ``, / : .`` are in no hash.  A paragraph
+without leaves (blank) is part of its section.  :func:`differing_branches` descends only where
+hashes differ, aligns the children in order and names what was replaced, deleted, inserted and
+moved, by place on both sides; :func:`likeness` is the Dice coefficient of the leaves, weighted
+by size, where equal branches count whole.
 
 Edge cases: a null text is empty; an empty text has no leaves (likeness 1 to another empty
 text, else 0).  Texts of any length are hashed whole.
@@ -24,6 +28,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,7 +57,12 @@ _LEAF = 5
 
 
 def _leaf(piece: str) -> str:
-    return base64.b64encode(_hash(piece.encode("utf-8", "surrogatepass"), 3), b"-_").decode() + _SIZES[min(len(piece) // 4, 63)]
+    return _short(_hash(piece.encode("utf-8", "surrogatepass"), 3)) + _SIZES[min(len(piece) // 4, 63)]
+
+
+def _short(node: bytes) -> str:
+    """24 bits of a hash."""
+    return base64.b64encode(node[-3:], b"-_").decode()
 
 
 def pieces(paragraph: str) -> list[str]:
@@ -62,22 +72,19 @@ def pieces(paragraph: str) -> list[str]:
 
 def fingerprint(text: str | None) -> str:
     text = text or ""
-    sections: list[list[str]] = [[]]
-    nodes: list[bytes] = []
+    sections: list[list[tuple[bytes, str]]] = [[]]
     for paragraph in text.split("\n"):
         leaves = "".join(map(_leaf, paragraph if len(text) <= TINY_TEXT else pieces(paragraph)))
-        # white space that no leaf holds counts here: the root covers the exact text
         node = _hash(paragraph.encode("utf-8", "surrogatepass"), _NODE)
-        nodes.append(node)
-        if not leaves:
-            continue
-        if sections[-1] and _HEADING.match(paragraph):
+        if leaves and sections[-1] and _HEADING.match(paragraph):
             sections.append([])
-        sections[-1].append(leaves)
-        if node[0] % SECTION_PARAGRAPHS == 0:
+        sections[-1].append((node, f"{leaves}.{_short(node)}"))
+        if leaves and node[0] % SECTION_PARAGRAPHS == 0:
             sections.append([])
+    sections = [s for s in sections if s]
+    nodes = [_hash(b"".join(node for node, _ in s), _NODE) for s in sections]
     root = _hash(b"".join(nodes), _NODE).hex()
-    return f"{root}|" + "/".join(",".join(s) for s in sections if s)
+    return f"{root}|" + "/".join(f"{_short(n)}:" + ",".join(p for _, p in s) for n, s in zip(nodes, sections))
 
 
 def _leaves(branch: str) -> list[str]:
@@ -88,9 +95,17 @@ def _weight(branch: str) -> int:
     return sum(map(_WEIGHT.__getitem__, branch[_LEAF - 1 :: _LEAF]))
 
 
-def _tree(fp: str) -> tuple[str, list[list[str]]]:
+def _tree(fp: str) -> tuple[str, list[str]]:
     root, _, body = fp.partition("|")
-    return root, [s.split(",") for s in body.split("/")] if body else []
+    return root, body.split("/")
+
+
+def _paragraphs(section: str) -> list[str]:
+    return section.partition(":")[2].split(",")
+
+
+def _leaves_of(paragraph: str) -> str:
+    return paragraph.partition(".")[0]
 
 
 def likeness(a: str, b: str) -> float:
@@ -98,10 +113,10 @@ def likeness(a: str, b: str) -> float:
     (root_a, tree_a), (root_b, tree_b) = _tree(a), _tree(b)
     if root_a == root_b:
         return 1.0
-    if not tree_a or not tree_b:
+    paras_a = Counter(x for s in tree_a for p in _paragraphs(s) if (x := _leaves_of(p)))
+    paras_b = Counter(x for s in tree_b for p in _paragraphs(s) if (x := _leaves_of(p)))
+    if not paras_a or not paras_b:
         return 0.0
-    paras_a = Counter(p for s in tree_a for p in s)
-    paras_b = Counter(p for s in tree_b for p in s)
     same = paras_a & paras_b  # equal branches count whole
     common = sum(n * _weight(p) for p, n in same.items())
     total = sum(n * _weight(p) for c in (paras_a, paras_b) for p, n in c.items())
@@ -111,21 +126,56 @@ def likeness(a: str, b: str) -> float:
     return min(2 * common / total, 1 - 1e-9)  # 1 is for equal roots
 
 
-def differing_branches(a: str, b: str) -> list[tuple[int, int, list[int]]]:
-    """Where ``b`` departs from ``a``: section, paragraph in it, and pieces in that, by place in ``b``.
+def _differing(a: list[str], b: list[str]) -> list[tuple[int, int, int, int]]:
+    """Ranges of ``a`` and ``b`` that differ when both are aligned in order."""
+    head = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    tail = next((i for i, (x, y) in enumerate(zip(a[head:][::-1], b[head:][::-1])) if x != y), min(len(a), len(b)) - head)
+    rest = SequenceMatcher(None, a[head : len(a) - tail], b[head : len(b) - tail]).get_opcodes()
+    return [(i + head, j + head, k + head, m + head) for tag, i, j, k, m in rest if tag != "equal"]
 
-    Descends only into branches whose hash ``a`` does not have.
+
+Branch = tuple[str, tuple[int, int] | None, tuple[int, int] | None, list[int], list[int]]
+
+
+def differing_branches(a: str, b: str) -> list[Branch]:
+    """What makes ``b`` of ``a``: kind, place in ``a``, place in ``b`` (section, paragraph in it), pieces of each.
+
+    Kinds: ``delete`` and ``insert`` (a place on one side only), ``move`` (the same paragraph on both),
+    ``replace`` with the pieces lost from ``a`` and new in ``b``, and ``space`` (a paragraph whose
+    white space alone differs).  Sections are aligned by their hashes; only in those that differ
+    paragraphs are, and only in paired paragraphs pieces.
     """
     (root_a, tree_a), (root_b, tree_b) = _tree(a), _tree(b)
     if root_a == root_b:
         return []
-    sections, paras = {",".join(s) for s in tree_a}, {p for s in tree_a for p in s}
-    known = {x for p in paras for x in _leaves(p)}
-    return [
-        (i, j, [k for k, x in enumerate(_leaves(p)) if x not in known])
-        for i, s in enumerate(tree_b) if ",".join(s) not in sections
-        for j, p in enumerate(s) if p not in paras
-    ]
+    gone, new, regions = [], [], []
+    for i, j, k, m in _differing(tree_a, tree_b):
+        old_at = [((s, n), p) for s in range(i, j) for n, p in enumerate(_paragraphs(tree_a[s]))]
+        new_at = [((s, n), p) for s in range(k, m) for n, p in enumerate(_paragraphs(tree_b[s]))]
+        for g, h, x, y in _differing([p for _, p in old_at], [p for _, p in new_at]):
+            regions.append((old_at[g:h], new_at[x:y]))
+            gone += old_at[g:h]
+            new += new_at[x:y]
+    out: list[Branch] = []
+    places: dict[str, list] = {}
+    for at, p in reversed(new):
+        places.setdefault(p, []).append(at)
+    moved: dict[tuple[int, int], tuple[int, int]] = {}
+    for at, p in gone:
+        if _leaves_of(p) and places.get(p):
+            moved[at] = places[p].pop()
+            out.append(("move", at, moved[at], [], []))
+    there = set(moved.values())
+    for olds, news in regions:
+        olds, news = [x for x in olds if x[0] not in moved], [x for x in news if x[0] not in there]
+        for (at, p), (to, q) in zip(olds, news):
+            x, y = _leaves(_leaves_of(p)), _leaves(_leaves_of(q))
+            ranges = _differing(x, y)
+            out.append(("replace" if ranges else "space", at, to, [n for i, j, _, _ in ranges for n in range(i, j)], [n for _, _, i, j in ranges for n in range(i, j)]))
+        out += [("delete", at, None, [], []) for at, _ in olds[len(news) :]]
+        out += [("insert", None, to, [], []) for to, _ in news[len(olds) :]]
+    # boundaries can fall alike only by 24 equal bits; the roots still differ
+    return out or [("replace", (0, 0), (0, 0), [], [])]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -149,8 +199,14 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
-_RESULT_DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_PLACE = pa.struct([("section", pa.int32()), ("paragraph", pa.int32())])
+_EDITS = pa.list_(pa.struct([("kind", pa.string()), ("old", _PLACE), ("new", _PLACE), ("old_pieces", pa.list_(pa.int32())), ("new_pieces", pa.list_(pa.int32()))]))
+_RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("edits", _EDITS)])
+_RESULT_DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edits array<struct<kind: string, old: struct<section: int, paragraph: int>, new: struct<section: int, paragraph: int>, old_pieces: array<int>, new_pieces: array<int>>>"
+
+
+def _place(at: tuple[int, int] | None) -> dict | None:
+    return at and {"section": at[0], "paragraph": at[1]}
 
 
 def _result(doc_id: int | None, text: str, fp: str, next_text: str, next_fp: str) -> dict:
@@ -159,6 +215,7 @@ def _result(doc_id: int | None, text: str, fp: str, next_text: str, next_fp: str
     return {
         "doc_id": doc_id, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), "fingerprint": fp, "edited_fingerprint": edited_fp,
         "near_edited": likeness(fp, edited_fp), "near_next": likeness(fp, next_fp),
+        "edits": [{"kind": kind, "old": _place(i), "new": _place(j), "old_pieces": x, "new_pieces": y} for kind, i, j, x, y in differing_branches(fp, edited_fp)],
     }
 
 
@@ -179,7 +236,8 @@ def _sorted_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def edit_report(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Fingerprint each text and its edited text, whose end comes from the next document.
+    """Fingerprint each text and its edited text, whose end comes from the next document, and
+    name the branches that the edit changed (``edits``).
 
     Next: the row after it in descending doc_id (nulls last, ties by text hash, so of equal
     rows each but the last has its own copy next); the first row follows the last; a single

@@ -69,6 +69,59 @@ def test_merkle_tree():
     assert merkle.likeness(fa, merkle.fingerprint(c)) > 0.9  # an insertion moves nothing else
 
 
+def _apply(a, b, edits):
+    """The lines of ``a``, rebuilt into those of ``b`` from what the branches say."""
+
+    def places(text):
+        sections = merkle._tree(merkle.fingerprint(text))[1]
+        at = [(i, j) for i, s in enumerate(sections) for j in range(len(merkle._paragraphs(s)))]
+        return dict(zip(at, text.split("\n")))
+
+    old, new = places(a), places(b)
+    kept = [x for at, x in old.items() if at not in {e[1] for e in edits}]
+    named = {e[2]: old[e[1]] if e[0] == "move" else new[e[2]] for e in edits if e[2]}
+    rest = iter(kept)
+    return [named[at] if at in named else next(rest) for at in new] + list(rest)
+
+
+def test_differing_branches_of_edits():
+    rng = H.rng(31)
+    lines = [H.prose(rng, 25).replace("\n", " ") for _ in range(30)]
+    a = "\n".join(lines)
+    diff = lambda b: merkle.differing_branches(merkle.fingerprint(a), merkle.fingerprint("\n".join(b)))
+    kinds = lambda b: [e[0] for e in diff(b)]
+    assert kinds(lines[:7] + lines[8:]) == ["delete"]
+    assert kinds(lines[:3] + lines[4:20] + [lines[3]] + lines[20:]) == ["move"]
+    assert kinds(lines[:5] + [lines[4]] + lines[5:]) == ["insert"]  # repeated
+    assert kinds(lines[:9] + ["", *lines[9:]]) == ["insert"]
+    assert kinds([*lines[:9], lines[9].replace(" ", "  ", 1), *lines[10:]])[0] in ("space", "replace")
+    short = ["one two three four five six", *lines]
+    spaced = merkle.differing_branches(merkle.fingerprint("\n".join(short)), merkle.fingerprint("\n".join(["one two three  four five six", *lines])))
+    assert [e[0] for e in spaced] == ["space"]
+    lost = merkle.differing_branches(merkle.fingerprint("\n".join(short)), merkle.fingerprint("\n".join(["one two three", *lines])))
+    assert [(e[0], e[3], e[4]) for e in lost] == [("replace", [1], [])]  # a piece lost
+    twice = merkle.differing_branches(merkle.fingerprint("\n".join(short)), merkle.fingerprint("\n".join([short[0] + " four five six", *lines])))
+    assert [(e[0], e[3]) for e in twice] == [("replace", [])] and len(twice[0][4]) == 1  # a piece repeated
+    for _ in range(60):
+        b = list(lines)
+        for _ in range(rng.randint(1, 6)):
+            k = rng.randrange(len(b))
+            rng.choice([lambda: b.pop(k), lambda: b.insert(rng.randrange(len(b)), b.pop(k)), lambda: b.insert(k, rng.choice(b)), lambda: b.insert(k, ""), lambda: b.__setitem__(k, H.prose(rng, 8).replace("\n", " "))])()
+        edits = diff(b)
+        assert bool(edits) == (b != lines)
+        assert _apply(a, "\n".join(b), edits) == b
+
+
+def test_edit_report_names_the_edits(spark):
+    rng = H.rng(32)
+    rows = [(i, H.prose(rng, 200), "en", "a") for i in range(12)]
+    texts = {i: t for i, t, *_ in rows}
+    for r in merkle.edit_report(H.frame(spark, rows)).collect():
+        edited = merkle.edit(texts[r.doc_id], texts[(r.doc_id - 1) % 12])
+        want = merkle.differing_branches(merkle.fingerprint(texts[r.doc_id]), merkle.fingerprint(edited))
+        assert want and [(e.kind, e.old and tuple(e.old), e.new and tuple(e.new), e.old_pieces, e.new_pieces) for e in r.edits] == want
+
+
 def test_fingerprints_of_table(spark):
     rows = H.awkward(H.rng(4))
     got = merkle.fingerprints(H.frame(spark, rows)).collect()
