@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from myosig.llm import chat, chosen_path, langid, license_scan, masked_lm, merkle, mixing, packing, quality_knn, quality_rules
+from myosig.llm import chat, chosen_path, dense_search, fim, langid, license_scan, masked_lm, merkle, mixing, packing, pstable, quality_knn, quality_rules
 from myosig.session import ensure_checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,21 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_dense_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dense_search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pstable_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.link(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_fim_fenwick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
+ORACLES |= {"op11_dense_search": dense_search.ORACLE, "op12_pstable_dedup": pstable.ORACLE, "op13_fim_fenwick": fim.ORACLE}
