@@ -7,9 +7,10 @@ Gaussian projections in steps of ``WIDTH`` (each moved by a random offset), and
 in all of them share a bucket.  ``shape`` chooses the projections per table so that a bucket holds
 about one unrelated vector of the largest label, and the tables so that a pair exactly at the
 threshold meets in one with probability ``TARGET_RECALL``; closer pairs meet more surely.  Both
-follow from the collision probability of the hash, for every size.  Only vectors in a bucket
-with others are moved; within a bucket cosines are exact, and what comes out is a spanning
-forest of its links, not its pairs.
+follow from the collision probability of the hash, for every size.  Buckets are first read with
+a sketch of 64 signs per vector; only vectors whose sketch is close to another of the bucket are
+moved.  Cosines within a bucket are exact, and what comes out is a spanning forest of its
+links, not its pairs.
 
 Counts: the forests' components are the near-duplicate classes.  Within a component all cosines are
 computed again, so links that no bucket found are found here.  ``_compare`` does both steps.
@@ -54,6 +55,9 @@ TARGET_RECALL = 0.9999
 GROUP = 4096
 BLOCK = 2048
 _CHUNK = 512
+#: Signs of as many random projections as a long has bits; vectors of a bucket that differ in more than
+#: ``FAR_BITS`` are not compared.  A pair at the threshold differs in more with probability 1e-6.
+FAR_BITS = 22
 _CLOSE = 1e-9
 SEED = 12
 
@@ -115,7 +119,7 @@ _BUCKET = np.dtype([("label", "<i8"), ("dim", "<u4"), ("key", "<u8")])
 
 
 def _key_batches(bits: int, tables: int):
-    """(node, keys): the bucket of every vector in each table."""
+    """(node, sketch, keys): the signs of 64 projections and the bucket of every vector in each table."""
     made: dict[int, tuple] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,9 +132,11 @@ def _key_batches(bits: int, tables: int):
                     own = np.flatnonzero(size == s)
                     dim = int(s) // 8
                     if dim not in made:
-                        made[dim] = _projections(dim, bits, tables)
-                    a, offset = made[dim]
-                    steps = np.floor((_unit(_matrix([vecs[i] for i in own])) @ a + offset) / WIDTH).astype(np.int64).astype(np.uint64).reshape(len(own), tables, bits)
+                        made[dim] = *_projections(dim, bits, tables), np.random.default_rng([SEED, dim, 64]).normal(size=(dim, 64))
+                    a, offset, planes = made[dim]
+                    unit = _unit(_matrix([vecs[i] for i in own]))
+                    sketch = np.packbits(unit @ planes > 0, axis=1).view(np.int64)[:, 0]
+                    steps = np.floor((unit @ a + offset) / WIDTH).astype(np.int64).astype(np.uint64).reshape(len(own), tables, bits)
                     key = np.tile(np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), (len(own), 1))
                     for k in range(bits):
                         key = (key ^ steps[:, :, k]) * np.uint64(0xBF58476D1CE4E5B9)
@@ -140,11 +146,37 @@ def _key_batches(bits: int, tables: int):
                     name["label"], name["dim"], name["key"] = labels[own][:, None], dim, key
                     names = pa.Array.from_buffers(pa.binary(_BUCKET.itemsize), name.size, [None, pa.py_buffer(name.tobytes())]).cast(pa.binary())
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(own) + 1) * tables, tables), pa.int32()), names)
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), lists], names=["node", "keys"])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), pa.array(sketch), lists], names=["node", "sketch", "keys"])
 
     return run
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (group, n, node, sketch) sorted by group, those whose sketch is close to another one of the bucket."""
+    held = None
+    for b in batches:
+        held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        name = np.frombuffer(b"".join(held["group"].to_pylist()), _BUCKET)
+        new = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+        # the last bucket may go on in the next batch
+        yield from _close_rows(held.slice(0, new[-1]), np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(name)]))[: new[-1]])
+        held = held.slice(new[-1])
+    if held is not None:
+        yield from _close_rows(held, np.zeros(len(held), np.int64))
+
+
+def _close_rows(rows: pa.Table, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    sketch, kept = rows["sketch"].to_numpy().view(np.uint64), np.zeros(len(rows), bool)
+    for step in range(1, len(rows)):
+        pair = np.flatnonzero(bucket[step:] == bucket[:-step])
+        if not len(pair):
+            break
+        pair = pair[np.bitwise_count(sketch[pair] ^ sketch[pair + step]) <= FAR_BITS]
+        kept[pair] = kept[pair + step] = True
+    if kept.any():
+        yield from rows.select(["group", "n", "node"]).filter(pa.array(kept)).combine_chunks().to_batches()
+
+
 def _exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
     dot, aa, bb = (math.fsum((x * y).tolist()) for x, y in ((a, b), (a, a), (b, b)))
     return dot / math.sqrt(aa * bb)
@@ -327,11 +359,14 @@ def link(vectors: DataFrame, target: float = TARGET_RECALL, limit: int = GROUP,
     classes = written(able, "classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = shape(most, target)
-    keys = written(classes.select("node", "label", "vec").mapInArrow(_key_batches(bits, tables), "node binary, keys array<binary>"), "keys")
-    keyed = keys.select("node", F.explode("keys").alias("group"))
+    keys = written(classes.select("node", "label", "vec").mapInArrow(_key_batches(bits, tables), "node binary, sketch long, keys array<binary>"), "keys")
+    keyed = keys.select("node", "sketch", F.explode("keys").alias("group"))
     shared = written(keyed.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    met = keyed.join(broadcast_if_small(shared), "group")
-    found = written(_compare(met.join(classes.select("node", "copies", "vec"), "node").select("group", "n", "node", "copies", "vec"), limit, block).where("b is not null").select("a", "b").distinct(), "edges")
+    met = keyed.join(broadcast_if_small(shared), "group").select("group", "n", "node", "sketch")
+    # vectors travel only for buckets in which sketches are close; a bucket beyond the limit is not held in one task
+    few = met.where(F.col("n") <= limit).repartition("group").sortWithinPartitions("group").mapInArrow(_alike, "`group` binary, n long, node binary")
+    close = written(few.unionByName(met.where(F.col("n") > limit).drop("sketch")), "close")
+    found = written(_compare(close.join(classes.select("node", "copies", "vec"), "node").select("group", "n", "node", "copies", "vec"), limit, block).where("b is not null").select("a", "b").distinct(), "edges")
     member = written(components(found), "members")
     size = member.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     groups = member.join(broadcast_if_small(size), "label").withColumnRenamed("label", "group")

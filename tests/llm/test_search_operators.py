@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import helpers as H
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -262,3 +263,16 @@ def test_other_rates(spark):
     forms = Counter(r.form for r in fim.transform(docs, rate=100, spm=0).collect())
     assert forms == {"psm": 300}
     assert Counter(r.form for r in fim.transform(docs, rate=0).collect()) == {"plain": 300}
+
+
+def test_sketches_keep_close_rows_across_batches():
+    rng = H.rng(9)
+    rows = sorted((rng.randrange(12), rng.choice([0, 1, -1, 1 << 62, -(1 << 63), 0x5555555555555555])) for _ in range(200))
+    name = lambda g: np.array([(1, 2, g)], pstable._BUCKET).tobytes()
+    table = pa.table({"group": pa.array([name(g) for g, _ in rows], pa.binary()), "n": [9] * 200, "node": pa.array([str(i).encode() for i in range(200)], pa.binary()), "sketch": [s for _, s in rows]})
+    bits = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
+    want = [i for i, (g, s) in enumerate(rows) if any(j != i and h == g and bits(s, r) <= pstable.FAR_BITS for j, (h, r) in enumerate(rows))]
+    for size in (1, 7, 200):
+        got = [int(x) for b in pstable._alike(iter(table.to_batches(size))) for x in b.column(2).to_pylist()]
+        assert got == want
+    assert not list(pstable._alike(iter([])))
