@@ -374,8 +374,17 @@ def distinct(docs: DataFrame, target: float = TARGET_RECALL, leaf: int = LEAF, b
     each other; of those, too, only repeated rows go.
     """
     sets, named = _named_classes(docs, target, leaf, block)
+    keys = ["key1", "key2"]
     least = named.groupBy("label").agg(F.min("rep").alias("rep")).select("rep.key1", "rep.key2")
-    kept = least.unionByName(sets.where("node is null").select("key1", "key2").distinct())
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_row_key())
-    # joined and grouped by one key: the second step needs no shuffle or sort of its own
-    return rows.join(kept, ["key1", "key2"], "left_semi").groupBy("key1", "key2").agg(F.first("row").alias("row")).select("row.*")
+    kept = least.unionByName(sets.where("node is null").select(*keys).distinct())
+    # whether a key names several rows is counted on the narrow table; texts are neither sorted nor, if the keys are small, moved
+    named_rows = sets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    kept = written(kept.join(named_rows, keys).select(*keys, (F.col("n") > 1).alias("repeated")), "kept")
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)), *_row_key())
+    of = lambda some: rows.join(broadcast_if_small(kept.where(some).select(*keys)), keys, "left_semi")
+    names = [f"c{i}" for i in range(len(docs.columns))]  # columns of docs may be named like the keys
+    once = of(~F.col("repeated")).select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))
+    if kept.where("repeated").isEmpty():
+        return once
+    first = of(F.col("repeated")).groupBy(*keys).agg(F.first(F.struct(*names)).alias("row"))
+    return once.unionByName(first.select(*(F.col(f"row.{n}").alias(c) for n, c in zip(names, docs.columns))))
