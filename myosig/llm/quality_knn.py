@@ -100,19 +100,31 @@ class Model:
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
         """Unit vectors in the latent space; a zero row stays zero."""
-        v = _weigh(counts, self.idf) @ self.projection
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        return _unit(_weigh(counts, self.idf) @ self.projection)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(counts), 0.5)
         near = np.clip(self.latent(counts) @ self.vectors.T, 0, 1)
         k = min(NEIGHBOURS, near.shape[1])
-        top = np.argsort(-near, axis=1, kind="stable")[:, :k] if k == near.shape[1] else np.argpartition(-near, k - 1, axis=1)[:, :k]
+        top = _nearest(near, k)
         w = np.take_along_axis(near, top, 1).astype(np.float64) ** SHARPNESS
         return (w * self.labels[top]).sum(1) / (w.sum(1) + PRIOR_VOTES) + PRIOR_VOTES * self.rate / (w.sum(1) + PRIOR_VOTES)
 
 
+def _nearest(near: np.ndarray, k: int) -> np.ndarray:
+    """Columns of each row's k largest values; of equal ones at the k-th place the first columns."""
+    least = np.partition(near, -k, axis=1)[:, -k, None]
+    above, equal = near > least, near == least
+    # equal ones fill the places that the larger ones leave, from the left
+    kept = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(1, keepdims=True)))
+    return np.nonzero(kept)[1].reshape(len(near), k)
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
 def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Sublinear tf by idf; the two families of terms count alike, whatever the text's length."""
     split = 1 << SHAPE_BITS
@@ -130,14 +142,14 @@ def fit(texts: list[str], labels: list[int], rate: float | None = None, seed: in
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, RANK), np.float32), np.zeros((0, RANK), np.float32), np.zeros(0), 0.5)
     counts = np.vstack([term_counts(texts[i : i + 256]) for i in range(0, len(texts), 256)])
     idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 0.1
-    x = _weigh(counts, idf)
+    for i in range(0, len(counts), 256):
+        counts[i : i + 256] = _weigh(counts[i : i + 256], idf)  # in place: the driver holds the matrix once
     rank = min(RANK, len(texts))
-    q = np.linalg.qr(x.T @ np.random.default_rng(seed).standard_normal((len(texts), rank)).astype(np.float32))[0]
+    q = np.linalg.qr(counts.T @ np.random.default_rng(seed).standard_normal((len(texts), rank)).astype(np.float32))[0]
     for _ in range(4):
-        q = np.linalg.qr(x.T @ (x @ q))[0]
+        q = np.linalg.qr(counts.T @ (counts @ q))[0]
     model = Model(idf, np.ascontiguousarray(q, np.float32), np.zeros((0, rank), np.float32), np.asarray(labels, np.float64), 0.0)
-    del x
-    model.vectors = np.vstack([model.latent(counts[i : i + 256]) for i in range(0, len(counts), 256)])
+    model.vectors = np.vstack([_unit(counts[i : i + 256] @ model.projection) for i in range(0, len(counts), 256)])
     model.rate = float(np.mean(labels)) if rate is None else rate
     return model
 
