@@ -3,8 +3,12 @@
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
      BENCH_QUERIES (optional comma list), BENCH_SKIP (optional comma list)
 
+     BENCH_QUERY_SECONDS (default 150: a query's jobs are cancelled beyond it)
+     BENCH_SECONDS (default 1500: no query is begun after it)
+
 Each query is executed completely with the ``noop`` sink (nothing is collected
 to the driver); the time includes planning and every Spark job the query runs.
+Each time is written to stderr as it is known; a query over its limit is listed under ``failed``.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import json
 import os
 import re
 import sys
+import threading
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,6 +28,17 @@ from myosig.session import local_session  # noqa: E402
 
 
 
+#: Model fits of many jobs.
+SLOW = ("kernel_models", "boosted_models", "mlp_fit", "grid_search")
+
+
+def cancel_after(spark, seconds: float, over: threading.Event) -> None:
+    """Cancel whatever runs, again and again, from ``seconds`` on until the query has ended."""
+    if not over.wait(seconds):
+        while not over.wait(1):
+            spark.sparkContext.cancelAllJobs()
+
+
 def main() -> int:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -45,13 +61,26 @@ def main() -> int:
 
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
+    limit, whole, began = float(os.environ.get("BENCH_QUERY_SECONDS", "150")), float(os.environ.get("BENCH_SECONDS", "1500")), time.perf_counter()
+    # the slow fits come last, so a limit never hides the others
+    names = [n for n in names if n not in SLOW] + [n for n in names if n in SLOW]
     for name in names:
+        if time.perf_counter() - began > whole:
+            failed[name] = "not begun: the bench's time was over"
+            continue
         t0 = time.perf_counter()
+        over = threading.Event()
+        watch = threading.Thread(target=cancel_after, args=(spark, limit, over), daemon=True)
+        watch.start()
         try:
             qs[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - t0, 3)
         except Exception as e:  # noqa: BLE001
-            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            failed[name] = f"stopped after {limit:.0f} s" if time.perf_counter() - t0 >= limit else f"{type(e).__name__}: {str(e)[:200]}"
+        finally:
+            over.set()
+            watch.join()
+        print(name, times.get(name, failed.get(name)), file=sys.stderr, flush=True)
         release_caches()
         spark.catalog.clearCache()
     m = re.search(r"sf([0-9.]+)", sf_dir)

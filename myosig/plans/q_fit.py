@@ -4,16 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA
 from pyspark.sql import functions as F
 
 from myosig import adapters
 from myosig.functions import features as ft
 from myosig.functions import messages as msg
-from myosig.models import fit, linear, trees
+from myosig.models import fit, linear, search, trees
 from myosig.operators import evaluation as ev
 from myosig.operators import scaling as sc
 from myosig.operators import splits as sp
@@ -59,36 +55,36 @@ def q_model_summary(spark, sf_dir):
     return trees.model_summary(nodes)
 
 
+#: Window and step of the searched features.
+SEARCH_WINDOW, SEARCH_STEP = 307, 153
+
+
+def search_windows(spark, sf_dir):
+    """Windows of every subject: two features a channel, standardised by subject, last activity."""
+    ix = with_row_index(adapters.reps(spark, sf_dir), ["l_orderkey", "l_linenumber"], series=["subject"], count_name="n_rows")
+    aggs = {f"{c}_{n}": f(c) for c in adapters.REPS_CHANNELS for n, f in (("mav", ft.mav), ("std", ft.std_pop))}
+    w = sliding_windows(ix, SEARCH_WINDOW, SEARCH_STEP, series=["subject"], labels={"activity": ("activity", "last")}, aggs=aggs)
+    z = sc.standardize_by_group(w, ["subject"], list(aggs), suffix="_z")
+    z = sp.encode_labels(z, sp.label_map(z, "activity"), "activity", out="label")
+    return z, [f"{a}_z" for a in aggs]
+
+
 @query("grid_search", ["ML-14", "JOI-06", "ML-17"])
 def q_grid_search(spark, sf_dir):
-    r = adapters.reps(spark, sf_dir)
-    z = sc.standardize_by_group(r, ["subject"], adapters.REPS_CHANNELS, suffix="_z")
-    mapping = sp.label_map(z, "activity")
-    z = sp.encode_labels(z, mapping, "activity", out="label").withColumn("label", F.col("label").cast("double"))
-    z = fit.assemble(z, [f"{c}_z" for c in adapters.REPS_CHANNELS]).withColumn("fold", F.col("subject").cast("int"))
-    z = z.select("l_orderkey", "l_linenumber", "features", "label", "fold")
-    families = search_families(len(adapters.REPS_CHANNELS))
-    best, _ = fit.grid_search(z, families, MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"), "fold")
-    pred = fit.refit_best(families, best, z).transform(z)
+    """50 points of four families behind PCA, leave one subject out; the best one fitted on all windows."""
+    z, features = search_windows(spark, sf_dir)
+    z = z.select("subject", "window_id", "label", *features).checkpoint()
+    found = search.Search(z, features, "label", "subject")
+    rows = found.run()
+    best = next(r for r in rows if r["rank"] == 1)
+    pred = search.predict(z, features, found.refit(best))
     return pred.select(
-        "l_orderkey", "l_linenumber", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+        "subject", "window_id", F.col("label").cast("int").alias("label"), "prediction", F.lit(len(rows)).alias("n_points"),
         F.lit(best["family"]).alias("family"), F.lit(json.dumps(best["params"], sort_keys=True)).alias("params"),
         F.lit(best["mean_train"]).alias("mean_train"), F.lit(best["mean_test"]).alias("mean_test"),
     )
 
 
-def search_families(d: int) -> dict:
-    """Families and grids of the search: PCA with logistic regression, forests, linear SVM."""
-    pca, log = PCA(inputCol="features", outputCol="pcs"), LogisticRegression(featuresCol="pcs", labelCol="label", maxIter=100)
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=40, seed=42)
-    svc = LinearSVC(featuresCol="features", labelCol="label", maxIter=50)
-    return {
-        "pca_logistic": (Pipeline(stages=[pca, log]), {pca.k: [d // 2, d], log.regParam: [0.01, 0.1]}),
-        "forest": (forest, {forest.maxDepth: [5, 9]}),
-        "linear_svm": (OneVsRest(classifier=svc, featuresCol="features", labelCol="label", parallelism=2), {svc.regParam: [0.01, 0.1]}),
-    }
-
-
 @query("mlp_fit", ["ML-13", "ML-22"])
 def q_mlp_fit(spark, sf_dir):
     w = window_features(spark, sf_dir)
