@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from myosig import adapters
 from myosig.functions import features as ft
-from myosig.models import boosting, fit, linear, stacked, trees
+from myosig.models import fit, linear, stacked, trees
 from myosig.operators import evaluation as ev
 from myosig.operators import profile as pf
 from myosig.operators import splits as sp
@@ -193,14 +193,14 @@ def q_logistic(spark, sf_dir):
 def q_boosted(spark, sf_dir):
     w = _cls_windows(spark, sf_dir)
     train = w.where(F.col("split") == sp.TRAIN)
-    c = boosting.fit_multinomial(train, WIN_FEATURES, "label", iters=50, depth=3)
+    c = fit.fit_boosted_classifier(train, WIN_FEATURES, "label")
     r = fit.fit_boosted_regressor(train, WIN_FEATURES, "gait_target")
-    p = r.setPredictionCol("gait_pred").transform(fit.assemble(c.predict(w, WIN_FEATURES), WIN_FEATURES))
+    p = r.setPredictionCol("gait_pred").transform(c.transform(fit.assemble(w, WIN_FEATURES)))
     return p.select("window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "gait_target", "gait_pred")
 
 
 #: Passes over the windows that a machine may take.
-KERNEL_PASSES = 120
+KERNEL_PASSES = 60
 
 
 @query("kernel_models", ["ML-07", "ML-08"])
@@ -208,8 +208,8 @@ def q_kernel(spark, sf_dir):
     """RBF machines on landmarks; the duality gaps and the kernel's residual come with the predictions."""
     w = _cls_windows(spark, sf_dir).checkpoint()
     train = w.where(F.col("split") == sp.TRAIN)
-    svm = stacked.fit_machine(train, WIN_FEATURES, "label", "pairs", C=1.0, gamma="scale", landmarks=128, passes=KERNEL_PASSES)
-    svr = stacked.fit_machine(train, WIN_FEATURES, "gait_target", "tube", C=10.0, gamma="scale", epsilon=0.1, landmarks=128, passes=KERNEL_PASSES)
+    svm = stacked.fit_machine(train, WIN_FEATURES, "label", "pairs", C=1.0, gamma="scale", landmarks=96, passes=KERNEL_PASSES)
+    svr = stacked.fit_machine(train, WIN_FEATURES, "gait_target", "tube", C=10.0, gamma="scale", epsilon=0.1, landmarks=96, passes=KERNEL_PASSES)
     p = svr.predict(svm.predict(w, WIN_FEATURES), WIN_FEATURES, "gait_pred")
     return p.select(
         "window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "gait_target", "gait_pred",
