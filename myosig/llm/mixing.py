@@ -9,11 +9,11 @@ aggregates over the table of sources.
 A target first takes complete epochs of its source, then a fraction: every document has the
 key ``-ln(u) / weight`` (u from a hash of the row and the seed, weight its quality weight),
 and documents are taken in ascending key order until the remaining budget is met; the
-document at the edge is taken if that comes nearer to it.  The order is never built: keys
-are summed by buckets, a prefix sum over buckets finds the one where the budget ends, and
-only its rows are ordered.  What results is one cut per source, so a document's decision
-needs its own row and its source's cut.  A source of any size is spread over all tasks, and
-the number of buckets follows the number of rows.
+document at the edge is taken if that comes nearer to it.  The order is never built: the
+span of a source's keys is cut into 1024 parts, a prefix sum over their sizes finds the one
+where the budget ends, and that part is cut again until it holds at most 2000 rows, which
+alone are ordered.  What results is one cut per source, so a document's decision needs its
+own row and its source's cut.  A source of any size is spread over all tasks.
 
 Edge cases: null or empty texts have size 0 and take 0; a null source is a source; rows that
 repeat in id and text share a key and are taken or left together; with no words at all every
@@ -25,16 +25,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from myosig.functions import broadcast_if_small
 from myosig.llm.common import written
 from myosig.operators.index import with_row_index
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 SEED = 7
-#: Rows that a bucket of keys holds on average.
-BUCKET_ROWS = 2000
-#: Tables of sources are broadcast up to so many rows; beyond, they are joined by a shuffle.
-BROADCAST_SOURCES = 200_000
+#: Parts that a pass cuts a span of keys into, and the rows at which a span is ordered instead.
+BUCKETS, BUCKET_ROWS = 1024, 2000
 MIN_QUALITY = 0.05
 
 
@@ -78,50 +77,63 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs:
     return table.select("source", "source_size", F.least(F.col("weight") * level, F.col("cap").cast("double")).alias("target"))
 
 
+def brackets(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source with a budget: the span of keys in which it ends, and the words before that span.
+
+    Returns source, budget, before, lo, hi, n: ``n`` rows have a key from ``lo`` to ``hi``, at most
+    ``BUCKET_ROWS`` of them unless all have one key.  Each pass cuts every span into ``BUCKETS`` even
+    parts and goes on with the part where the budget ends, from its least to its largest key, so it holds
+    for any weights: the two ends never share a part.
+    """
+    span = rows.groupBy("source").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n"))
+    s, p = span.alias("s"), plan.where("budget > 0").alias("p")
+    found = s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.source", "p.budget", F.lit(0).cast("long").alias("before"), "s.lo", "s.hi", "s.n")
+    found = written(found, "mix-spans")
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows
+    while found.where((F.col("n") > BUCKET_ROWS) & (F.col("lo") < F.col("hi"))).limit(1).count():
+        place = F.when(F.col("hi") > F.col("lo"), (F.col("key") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS).otherwise(0.0)
+        parts = _within(rows, found).withColumn("part", F.least(F.floor(place), F.lit(BUCKETS - 1)))
+        parts = parts.groupBy("source", "budget", "before", "part").agg(
+            F.sum("size").alias("held"), F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n")
+        )
+        parts = parts.withColumn("before", F.col("before") + F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+        ends = parts.where("before < budget and before + held >= budget")
+        found = written(ends.select("source", "budget", "before", "lo", "hi", "n"), "mix-spans")
+    return found
+
+
+def _within(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """The rows whose key lies in their source's span."""
+    r, s = rows.alias("r"), broadcast_if_small(spans).alias("s")
+    near = F.col("r.source").eqNullSafe(F.col("s.source")) & F.col("r.key").between(F.col("s.lo"), F.col("s.hi"))
+    return r.join(s, near).select("s.source", "s.budget", "s.before", "s.lo", "s.hi", "r.size", "r.key", "r.h")
+
+
 def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per source: epochs, and the last (key, h) that the fractional selection takes (null: none).
+    """Per source: epochs, and the last (key, h) that the fractional selection takes.
 
+    A null ``cut_h`` means only keys below ``cut_key``, a null ``cut_key`` no row.
     ``rows`` (source, size, key, h) is read several times: pass a written table.
     """
-    n = rows.count()
-    buckets = max(16, -(-n // BUCKET_ROWS))
-    # keys are exponential: this spreads them evenly for weights near 1
-    bucket = F.floor((1 - F.exp(-F.col("key"))) * buckets).cast("long")
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
     plan = plan.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    sums = rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("held"))
-    before = F.coalesce(F.sum("held").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.withColumn("before", before)
-    s = sums.alias("s")
-    # the bucket in which the budget ends: one per source
-    edge = s.join(small(plan).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).where("s.before < p.budget and s.before + s.held >= p.budget")
-    edge = written(edge.select("p.source", "p.budget", "s.bucket", "s.before"), "mix-edges")
-    inside = rows.withColumn("bucket", bucket).alias("r").join(
-        small(edge).alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")) & (F.col("r.bucket") == F.col("e.bucket"))
-    ).select("e.source", "e.budget", "e.before", "r.size", "r.key", "r.h")
-    inside = inside.groupBy("source", "budget", "before", "key", "h").agg(F.sum("size").alias("size"))
+    edge = brackets(rows, plan)
+    inside = _within(rows, edge).groupBy("source", "budget", "before", "key", "h").agg(F.sum("size").alias("size"))
     upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "h"))
-    inside = inside.withColumn("upto", upto)
     # nearest: the document at the edge goes in if half of it or more is within the budget
-    last = inside.where("upto - size / 2 <= budget").groupBy("source").agg(F.max(F.struct("key", "h")).alias("inner"))
-    out = plan.alias("p").join(edge.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source")), "left").join(last.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")), "left")
+    last = inside.withColumn("upto", upto).where("upto - size / 2 <= budget").groupBy("source").agg(F.max(F.struct("key", "h")).alias("inner"))
+    p, e, last = plan.alias("p"), edge.alias("e"), last.alias("l")
+    out = p.join(e, F.col("p.source").eqNullSafe(F.col("e.source")), "left").join(last, F.col("p.source").eqNullSafe(F.col("l.source")), "left")
     return out.select(
-        "p.source", "p.source_size", "p.target", "p.epochs", F.lit(buckets).alias("buckets"), F.col("e.bucket").alias("cut_bucket"),
-        F.col("l.inner.key").alias("cut_key"), F.col("l.inner.h").alias("cut_h"),
-    )
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast a table of sources if it is known to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_SOURCES else df
+        "p.source", "p.source_size", "p.target", "p.epochs", F.coalesce("l.inner.key", "e.lo").alias("cut_key"), F.col("l.inner.h").alias("cut_h")
+    )
 
 
 def _decide(rows: DataFrame, cut: DataFrame) -> DataFrame:
     """Adds source_size, target and times (how often a row is taken) to rows of (source, key, h)."""
-    r, c = rows.alias("r"), small(cut).alias("c")
-    bucket = F.floor((1 - F.exp(-F.col("r.key"))) * F.col("c.buckets")).cast("long")
-    inside = F.struct("r.key", "r.h") <= F.struct(F.col("c.cut_key").alias("key"), F.col("c.cut_h").alias("h"))
-    taken = (bucket < F.col("c.cut_bucket")) | ((bucket == F.col("c.cut_bucket")) & F.col("c.cut_key").isNotNull() & inside)
+    r, c = rows.alias("r"), broadcast_if_small(cut).alias("c")
+    key, last = F.col("r.key"), F.col("c.cut_key")
+    taken = (key < last) | ((key == last) & (F.col("r.h") <= F.col("c.cut_h")))
     times = F.col("c.epochs") + F.coalesce(taken, F.lit(False)).cast("int")
     return r.join(c, F.col("r.source").eqNullSafe(F.col("c.source"))).select("r.*", "c.source_size", "c.target", times.alias("times"))
 

@@ -330,6 +330,38 @@ def test_mix(spark):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({r.doc_id: r.times for r in got if r.times})
 
 
+def test_mix_spans_stay_small_for_any_weight(spark):
+    """A million rows of low weights: what is ordered stays within its bound, the cut is that of a full sort."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    weight = {"low": 0.05, "mid": 0.2, None: 1.0}
+    source = F.when(F.col("id") % 2 == 0, "low").when(F.col("id") % 3 == 0, "mid")
+    docs = spark.range(1_000_000).select(F.col("id").alias("doc_id"), source.alias("source"), F.lit("t").alias("text"), (F.col("id") % 7).alias("size"))
+    key, h = mixing._keys(F.col("doc_id"), F.col("text"), F.when(F.col("source") == "low", 0.05).when(F.col("source") == "mid", 0.2).otherwise(1.0), 3)
+    rows = common.written(docs.select("source", "size", key.alias("key"), h.alias("h")), "rows")
+    sizes = {r.source: r.n for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()}
+    plan = spark.createDataFrame([(s, n, n * share) for (s, n), share in zip(sorted(sizes.items(), key=str), (0.37, 1.62, 0.0004))], "source string, source_size long, target double")
+    plan = plan.withColumn("budget", F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size"))
+    spans = mixing.brackets(rows, plan).collect()
+    assert {r.source for r in spans} == set(weight) and max(r.n for r in spans) <= mixing.BUCKET_ROWS
+    budget = {r.source: r.budget for r in plan.collect()}
+    for c in mixing.cuts(rows, plan.drop("budget")).collect():
+        own = rows.where(F.col("source").eqNullSafe(c.source)).toPandas().sort_values(["key", "h"])
+        upto = own["size"].cumsum().to_numpy()
+        n = int(np.flatnonzero(upto - own["size"].to_numpy() / 2 <= budget[c.source])[-1])
+        # rows of size 0 behind the edge may fall on either side of it
+        taken = own[(own.key < c.cut_key) | ((own.key == c.cut_key) & (own.h <= (c.cut_h if c.cut_h is not None else -(1 << 63))))]
+        assert taken["size"].sum() == upto[n]
+
+
+def test_mix_repeated_rows_share_one_key(spark):
+    """Thousands of copies of one row end the cutting of spans and are taken together."""
+    rows = [(1, "same words here", "en", "a")] * 5000 + [(i, "other words", "en", "a") for i in range(2, 50)] + [(99, "b b", "en", "b")]
+    got = mixing.mix(H.frame(spark, rows)).collect()
+    assert len(got) == len(rows) and len({r.times for r in got if r.doc_id == 1}) == 1
+
+
 def test_mix_edges(spark):
     rows = H.awkward(H.rng(11))
     got = mixing.mix(H.frame(spark, rows)).collect()
