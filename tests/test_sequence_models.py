@@ -73,7 +73,7 @@ def test_knn_blocks_match_brute_force(spark):
     lab = rng.integers(0, 4, size=300)
     train = spark.createDataFrame([(i, tr[i].tolist(), int(lab[i])) for i in range(300)], "train_id long, vec array<double>, label int")
     test = spark.createDataFrame([(i, te[i].tolist()) for i in range(70)], "test_id long, vec array<double>")
-    top = knn.knn_topk(test, train, 5, slice_bytes=4096).toPandas()
+    top = knn.knn_topk(test, train, 5, block_bytes=1024).toPandas()
     for t in range(70):
         d = ((tr - te[t]) ** 2).sum(axis=1)
         exp = np.lexsort((np.arange(300), d))[:5]
@@ -81,15 +81,44 @@ def test_knn_blocks_match_brute_force(spark):
         assert got == exp.tolist()
     votes = knn.knn_vote(knn.knn_topk(test, train, 7), [3, 7]).count()
     assert votes == 140
-    # the other way round the train side is the smaller one, and the one that is broadcast
+    # the other way round the train side is the smaller one, in blocks of a few rows
     back = knn.knn_topk(
-        train.withColumnRenamed("train_id", "test_id"), test.withColumnRenamed("test_id", "train_id").withColumn("label", F.lit(0)), 3, slice_bytes=2048
+        train.withColumnRenamed("train_id", "test_id"), test.withColumnRenamed("test_id", "train_id").withColumn("label", F.lit(0)), 3, block_bytes=512
     ).toPandas()
     for t in range(0, 300, 17):
         d = ((te - tr[t]) ** 2).sum(axis=1)
         assert back[back.test_id == t].sort_values("rank")["train_id"].tolist() == np.lexsort((np.arange(70), d))[:3].tolist()
 
 
+def test_knn_prunes_and_equals_brute_force_on_20000_vectors(spark, monkeypatch):
+    """Clusters, ties on a grid, a third of all rows equal, a hot block in chunks, unusable vectors."""
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 300)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(scale=40, size=(30, 6))
+    tr = np.round(centres[rng.integers(0, 30, 20_000)] + rng.normal(size=(20_000, 6)), 1)
+    tr[::3] = tr[0]
+    te = np.concatenate([np.round(centres[rng.integers(0, 30, 600)] + rng.normal(size=(600, 6)), 1), tr[:400], np.full((1, 6), 1e4)])
+    schema = "id long, vec array<double>, label int"
+    train = spark.createDataFrame([(i, tr[i].tolist(), i % 3) for i in range(len(tr))] + [(90_000, None, 1), (90_001, [], 1), (90_002, [1.0, None, 1.0, 1.0, 1.0, 1.0], 1)], schema)
+    test = spark.createDataFrame([(i, te[i].tolist(), 0) for i in range(len(te))] + [(90_003, None, 1), (90_004, [float("nan")] * 6, 1)], schema)
+    stats = {}
+    top = knn.knn_topk(test.withColumnRenamed("id", "test_id"), train.withColumnRenamed("id", "train_id"), 7, block_bytes=64 << 10, stats=stats)
+    got = {}
+    for r in top.orderBy("test_id", "rank").collect():
+        got.setdefault(r.test_id, []).append((r.train_id, r.dist2, r.label))
+    assert set(got) == set(range(len(te)))
+    for t in range(len(te)):
+        d = ((tr - te[t]) ** 2).sum(axis=1)
+        best = np.argsort(d, kind="stable")[:7]
+        assert [g[0] for g in got[t]] == best.tolist() and [g[2] for g in got[t]] == (best % 3).tolist()
+        np.testing.assert_allclose([g[1] for g in got[t]], d[best])
+    assert stats["pairs"] == 20_000 * len(te) and stats["measured"] < 0.5 * stats["pairs"]
+    none = spark.createDataFrame([], "train_id long, vec array<double>, label int")
+    assert knn.knn_topk(test.withColumnRenamed("id", "test_id"), none, 3).count() == 0
+    few = knn.knn_topk(test.withColumnRenamed("id", "test_id").limit(5), train.withColumnRenamed("id", "train_id").where("train_id < 2"), 3)
+    assert few.count() == 10
+
+
 def test_forest_scorers_agree(spark):
     rng = np.random.default_rng(5)
     x = rng.uniform([0, 0, 0, 0], [50, 100000, 0.1, 0.08], size=(500, 4))
