@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from myosig import adapters
 from myosig.functions import features as ft
 from myosig.functions import messages as msg
-from myosig.models import fit, linear, search, trees
+from myosig.models import fit, linear, mlp, search, trees
 from myosig.operators import evaluation as ev
 from myosig.operators import scaling as sc
 from myosig.operators import splits as sp
@@ -91,9 +91,9 @@ def q_mlp_fit(spark, sf_dir):
     params = sc.fit_scaler(w.where(F.col("split") == sp.TRAIN), WIN_FEATURES)
     z = sc.apply_scaler(w, params, suffix="_z").withColumn("is_val", F.col("split") == sp.TEST)
     feats = [f"{c}_z" for c in WIN_FEATURES]
-    res = fit.fit_mlp_regressor(z, feats, ["gait_target"], lr=0.05, val_col="is_val")
+    res = mlp.fit_mlp_regressor(z, feats, ["gait_target"], val_col="is_val")
     out = linear.mlp_forward(F.array(*[F.col(c) for c in feats]), res["layers"])[0]
-    return z.select("window_id", "split", "gait_target", out.alias("gait_pred"), F.lit(len(res["history"])).alias("epochs"))
+    return z.select("window_id", "split", "gait_target", out.alias("gait_pred"), F.lit(res["history"][-1][0]).alias("epochs"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from myosig import session
 from myosig.functions import broadcast_if_small, frame_bytes
-from myosig.models import fit, linear, trees
+from myosig.models import fit, linear, mlp, trees
 from myosig.operators import profile, sequence, splits
 from myosig.operators.index import with_lags, with_row_index
 
@@ -147,8 +147,8 @@ def test_fits_learn_a_known_function(spark):
     assert acc(svm.transform(k)) > 0.85
     svr, _ = fit.fit_kernel_svr(df, feats, "y", C=10.0, gamma=1.0)
     assert r2(svr.setPredictionCol("p").transform(k)) > 0.9
-    mlp = fit.fit_mlp_regressor(df, feats, ["y"], epochs=150, lr=0.05)
-    out = linear.mlp_forward(F.array(*feats), mlp["layers"])[0]
+    net = mlp.fit_mlp_regressor(df, feats, ["y"], epochs=150)
+    out = linear.mlp_forward(F.array(*feats), net["layers"])[0]
     assert r2(df.withColumn("p", out)) > 0.9
     res, n = fit.pca_variance(df, feats, 0.99)
     assert n == 3 and res.count() == 600
