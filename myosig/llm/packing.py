@@ -8,9 +8,9 @@ cut, into full pieces and a rest.
 Full pieces are sequences by themselves.  The rests are dealt at random into groups of about
 ``GROUP_PIECES``, as many groups as the corpus needs, and each group is packed by itself:
 best fit in decreasing order, then local search that moves documents, or exchanges them
-one-for-one and two-for-one, from the emptiest bin to other underfull bins as long as the sum
-of squared fills rises, until the bin is empty and goes.  It ends at the group's lower bound
-(ceil of its tokens) or where nothing improves.  A group is a few thousand pairs of numbers
+one-for-one and two-for-one, between underfull bins as long as the sum of squared fills rises,
+the emptiest bin first, until bins are empty and go.  It ends at the group's lower bound
+where no change between any two bins improves, or after ``SEARCH_STEPS`` tries.  A group is a few thousand pairs of numbers
 whatever the corpus; the loss to grouping is below one sequence per group.
 
 Edge cases: a null or empty text is the end id alone; repeated rows are packed each; an empty
@@ -36,6 +36,8 @@ from myosig.llm.common import written
 SEQUENCE = 4096
 END_ID = 1
 GROUP_PIECES = 6000
+#: Changes that the local search of a group tries at most.
+SEARCH_STEPS = 4000
 #: Words that a worker keeps encoded; the table starts anew beyond.
 CACHED_WORDS = 250_000
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?|%*$&#;:]*)")
@@ -226,22 +228,45 @@ class _Bins:
                     return True
         return False
 
-    def search(self, bound: int) -> None:
-        """Empty bins, emptiest first, until the lower bound or a local optimum."""
-        while sum(1 for x in self.items if x) > bound:
-            a = min((b for b in range(len(self.items)) if self.items[b]), key=lambda b: self.fill[b])
-            while self.items[a] and self._step(a):
-                pass
-            if self.items[a]:
-                return
-        return
+    def bound(self) -> int:
+        """No packing has fewer bins (Martello and Toth's L2).
+
+        With a threshold k up to half a bin: lengths over capacity - k stand alone, those over half a bin
+        up to it share none among themselves, and what lengths from k to half need beyond their room adds bins.
+        """
+        x, cap = np.sort(np.array(self.lengths, np.int64)), self.capacity
+        total = np.concatenate([[0], np.cumsum(x)])
+        half = np.searchsorted(x, cap // 2, side="right")
+        k = np.unique(np.concatenate([[0], x[:half]]))
+        alone, low = np.searchsorted(x, cap - k, side="right"), np.searchsorted(x, k)
+        room = (alone - half) * cap - (total[alone] - total[half])
+        return int((len(x) - half + np.maximum(0, -((room - (total[half] - total[low])) // cap))).max())
+
+    def search(self, bound: int, steps: int = SEARCH_STEPS) -> None:
+        """Empty bins, emptiest first, until the lower bound, a round over all bins that changes nothing, or ``steps`` tries.
+
+        A bin that is stuck is left for the next emptiest one: every change raises the sum of squared fills, and
+        one between two other bins may open the room that the emptiest needs, so rounds begin with it again.
+        """
+        changed = True
+        while changed:
+            changed = False
+            left = [b for b in range(len(self.items)) if self.items[b] and self.fill[b] < self.capacity]
+            for a in sorted(left, key=lambda b: (self.fill[b], b)):
+                while self.items[a]:
+                    if steps == 0 or sum(map(bool, self.items)) <= bound:
+                        return
+                    steps -= 1
+                    if not self._step(a):
+                        break
+                    changed = True
 
 
 def pack(lengths: list[int], capacity: int = SEQUENCE) -> tuple[list[int], list[int]]:
     """Bin and offset of every length."""
     bins = _Bins(list(map(int, lengths)), capacity)
     bins.best_fit()
-    bins.search(-(-sum(bins.lengths) // capacity))
+    bins.search(bins.bound())
     number, offset = [0] * len(lengths), [0] * len(lengths)
     for n, items in enumerate(x for x in bins.items if x):
         at = 0

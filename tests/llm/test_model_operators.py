@@ -89,6 +89,45 @@ def test_local_search_beats_best_fit():
     assert sorted(bins.fill) == [0, 8, 10]
 
 
+def test_search_goes_on_where_the_emptiest_bin_is_stuck():
+    """Groups in which best fit and a search of the emptiest bin alone both need a sequence more."""
+    rng, saved = np.random.default_rng(1), 0
+    for _ in range(25):
+        part = sorted(np.minimum(4095, rng.lognormal(7, 0.7, 200).astype(int) + 1).tolist(), reverse=True)
+        only, full = packing._Bins(part, 4096), packing._Bins(part, 4096)
+        only.best_fit()
+        plain = sum(map(bool, only.items))
+        bound = only.bound()
+        while sum(map(bool, only.items)) > bound:
+            a = min((b for b in range(len(only.items)) if only.items[b]), key=lambda b: only.fill[b])
+            while only.items[a] and only._step(a):
+                pass
+            if only.items[a]:
+                break
+        full.best_fit()
+        full.search(bound)
+        n, m = sum(map(bool, full.items)), sum(map(bool, only.items))
+        assert bound <= n <= m <= plain and sorted(i for x in full.items for i in x) == list(range(200))
+        assert all(sum(part[i] for i in x) == f <= 4096 for x, f in zip(full.items, full.fill))
+        saved += n < m
+    assert saved >= 5
+
+
+def test_lower_bound_holds():
+    def least(items, bins):
+        if not items:
+            return len(bins)
+        tried = {b for b in bins if b + items[0] <= 20}
+        return min([least(items[1:], [*bins, items[0]])] + [least(items[1:], sorted([*bins[: bins.index(b)], *bins[bins.index(b) + 1 :], b + items[0]])) for b in tried])
+
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        items = rng.integers(1, 21, 7).tolist()
+        exact = least(items, [])
+        assert -(-sum(items) // 20) <= packing._Bins(items, 20).bound() <= exact
+    assert packing._Bins([11, 11, 11], 20).bound() == 3 and packing._Bins([], 20).bound() == 0
+
+
 def test_packing_of_table(spark):
     from tokenizers import Tokenizer
 
