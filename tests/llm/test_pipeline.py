@@ -82,4 +82,4 @@ def test_stages_with_awkward_rows(spark):
 
 def test_run_and_queries(spark):
     assert P.run(spark, SF).count() > 0
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
