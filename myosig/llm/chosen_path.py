@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from myosig.functions import broadcast_if_small
-from myosig.llm.common import written
+from myosig.llm.common import lean, written
 from myosig.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -128,6 +128,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 t = np.unique((s >> _U64(32)).astype(np.uint32))
                 sets.append((hashlib.blake2b(s.tobytes(), digest_size=16).digest(), minhash(s).tobytes(), t.tobytes()))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), *(pa.array(c, pa.binary()) for c in zip(*sets))], schema=schema)
+    _HASHED.clear()
 
 
 def _children(coords: np.ndarray, row: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +185,7 @@ def _expand(n_runs: int | None, large=None, keep: str = "rows"):
                     paths = pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)], pa.int32()), pa.array(child))
                     yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), part.column(1).take(pa.array(own)), paths], schema=seeds_schema)
 
-    return run
+    return lean(run)
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -257,7 +258,7 @@ def candidates(classes: DataFrame, n_runs: int, leaf: int = LEAF, levels: int =
             small = rows.join(large, "path", "left_anti")
             paths = rows.join(large, "path").groupBy("node").agg(F.collect_set("path").alias("paths"))  # at most a few per run
             deeper = paths.join(classes.select("node", "coords"), "node").select("node", "coords", "paths")
-        found.append(written(small.repartition("path").sortWithinPartitions("path").mapInArrow(_leaf_batches, "a binary, b binary").distinct(), "leaf-edges"))
+        found.append(written(small.repartition("path").sortWithinPartitions("path").mapInArrow(lean(_leaf_batches), "a binary, b binary").distinct(), "leaf-edges"))
         if not n:
             break
         deeper = written(deeper, "seeds")
@@ -334,7 +335,7 @@ def _row_key() -> list[Column]:
 def _named_classes(docs: DataFrame, target: float, leaf: int, block: int) -> tuple[DataFrame, DataFrame]:
     """(sets, classes): a row per document, and a row per class of equal sets with its near-duplicate label and links."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *_row_key())
-    sets = written(plain.mapInArrow(_set_batches, "doc_id long, key1 long, key2 long, node binary, coords binary, tokens binary"), "sets")
+    sets = written(plain.mapInArrow(lean(_set_batches), "doc_id long, key1 long, key2 long, node binary, coords binary, tokens binary"), "sets")
     # the least row of a class: by id, null last, then by key
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key1", "key2"))
     classes = written(sets.where("node is not null").groupBy("node").agg(rep.alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("coords").alias("coords")), "classes")
@@ -351,7 +352,7 @@ def _named_classes(docs: DataFrame, target: float, leaf: int, block: int) -> tup
     pairs = spread.select(
         "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "copies", "tokens"
     ).repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
-    exact = written(pairs.mapInArrow(_exact_batches, "a binary, b binary, links long"), "links")
+    exact = written(pairs.mapInArrow(lean(_exact_batches), "a binary, b binary, links long"), "links")
     links = exact.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = components(exact.where("b is not null").select("a", "b"))
     named = classes.join(groups, "node", "left").join(links, "node", "left")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,5 +73,36 @@ def segments(texts: Iterable[str], overlap: int, limit: int = SEGMENT_CHARS) ->
         yield rows, parts
 
 
+def release() -> None:
+    """Hand memory that was freed back to the system: Arrow's pool and the C library keep it for later otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The pass ``run`` over a task's batches, releasing memory after every batch and at its end.
+
+    Spark keeps Python workers alive between stages; without this a worker stays at the
+    largest size that any pass before needed.
+    """
+
+    def passed(batches: Iterator) -> Iterator:
+        def fed() -> Iterator:
+            for b in batches:
+                yield b
+                del b
+                release()
+
+        try:
+            yield from run(fed())
+        finally:
+            release()
+
+    return passed
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")

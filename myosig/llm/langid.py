@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from myosig.llm.common import code_points, held_out, segments, teachable
+from myosig.llm.common import code_points, held_out, lean, segments, teachable
 
 UNKNOWN = "und"
 ORDERS = (3, 5)
@@ -180,8 +180,11 @@ def predictor(docs: DataFrame, model: Filter):
 
     @F.pandas_udf("lang_pred string, score double")
     def identify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            yield pd.DataFrame(predict(shared.value, [t if isinstance(t, str) else None for t in s]), columns=["lang_pred", "score"])
+        def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for s in batches:
+                yield pd.DataFrame(predict(shared.value, [t if isinstance(t, str) else None for t in s]), columns=["lang_pred", "score"])
+
+        yield from lean(found)(batches)
 
     return identify
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from myosig.llm.common import written
+from myosig.llm.common import lean, written
 
 SEQUENCE = 4096
 END_ID = 1
@@ -138,7 +138,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False
                         out.append((doc_id, k, start // 4, len(x) // 4, zlib.crc32(x)) + ((x,) if with_ids else ()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES + ", ids binary" * with_ids)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), _PIECES + ", ids binary" * with_ids)
 
 
 class _Bins:

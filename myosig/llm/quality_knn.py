@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from myosig.llm.common import code_points, held_out, segments, teachable
+from myosig.llm.common import code_points, held_out, lean, segments, teachable
 
 SHAPE_BITS, CHAR_BITS = 11, 12
 TERMS = (1 << SHAPE_BITS) + (1 << CHAR_BITS)
@@ -183,8 +183,11 @@ def scorer(docs: DataFrame, model: Model):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series(scores(shared.value, [t if isinstance(t, str) else None for t in s]))
+        def voted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for s in batches:
+                yield pd.Series(scores(shared.value, [t if isinstance(t, str) else None for t in s]))
+
+        yield from lean(voted)(batches)
 
     return score
 
