@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -75,7 +74,6 @@ def segments(texts: Iterable[str], overlap: int, limit: int = SEGMENT_CHARS) ->
 
 def release() -> None:
     """Hand memory that was freed back to the system: Arrow's pool and the C library keep it for later otherwise."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim is not None:
