@@ -11,6 +11,7 @@ from myosig.plans.q_sequence import control_tree
 from myosig.plans.q_windows import SIG_SQL
 from myosig.plans.registry import query, r6, sql_index, sql_window_ids
 from myosig.streaming import feed as fd
+from myosig.streaming.live import read_live_view, update_live_view
 from myosig.streaming.windows import complete_windows, run_to_table, stream_windows
 
 
@@ -89,6 +90,17 @@ def q_stream_live_view(spark, sf_dir):
     return out.select("series", "window_id", r6("mav").alias("mav"), r6("truth_last").alias("truth_last"), ok.alias("latency_ok"))
 
 
+@query("stream_live_state", ["STR-06", "STR-01", "SRC-13"], sql=_LIVE.replace(", true AS latency_ok", ""))
+def q_stream_live_state(spark, sf_dir):
+    """The last 150 windows per series from the state of a second stream, which reads the first one's sink."""
+    base = fd.scratch_folder(spark, "live_state")
+    sdf = fd.stream_samples(spark, fd.write_feed(spark, sf_dir, os.path.join(base, "feed")))
+    path = run_to_table(spark, stream_windows(sdf, 8, 4, series="subject", seq="seq", x="x", truth="gait"), "windows", base)
+    complete_windows(spark, path)
+    view = read_live_view(spark, update_live_view(spark, path, "view", base, n=150))
+    return view.select("series", "window_id", r6("mav").alias("mav"), r6("truth_last").alias("truth_last"))
+
+
 @query(
     "stream_grid_windows",
     ["STR-01", "STR-02", "STR-03", "STR-05", "AGG-01", "AGG-03", "SRC-12"],
