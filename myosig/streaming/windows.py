@@ -19,13 +19,16 @@ for crossing a label boundary, so a stream without gaps equals batch
 :func:`myosig.operators.windows.sliding_windows` with ``purity=None`` over the same
 per-series positions.
 
-The per-group function is a small numpy helper over one series' new rows; the shuffle by
-series key, the state store and fault tolerance are Spark's.
+Series are dealt by hash into ``GROUPS`` groups: short series get about one row a batch, and a call
+per series and batch took most of the time.  The group function is a numpy helper over the new rows
+of all series of a group, and their state is one value; the shuffle by group, the state store and
+fault tolerance are Spark's.
 """
 
 from __future__ import annotations
 
 import os
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,69 +51,151 @@ OUT_SCHEMA = (
     "truth_last double, arrived_last double, n_dropped long, n_missing long"
 )
 _OUT = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
-STATE_SCHEMA = (
-    "next_seq long, next_win long, channels int, buf_seq array<long>, buf_x array<double>, buf_t array<double>, buf_a array<double>, "
-    "pend_seq array<long>, pend_x array<double>, pend_t array<double>, pend_a array<double>"
-)
+#: Per number of channels the arrays of all series of a group: next_seq, next_win, buffered and pending rows.
+STATE_SCHEMA = "arrays binary"
+#: Series are dealt by hash into so many groups, fixed for the life of a checkpoint: a call of the
+#: group function costs milliseconds, so its number must not follow the number of series.
+GROUPS = 512
+_ROWS = ("own", "seq", "x", "t", "a")
+
+
+def _taken(rows: dict, which: np.ndarray) -> dict:
+    return {c: v[which] for c, v in rows.items()}
+
+
+def _joined(parts: list[dict]) -> dict:
+    return {c: np.concatenate([p[c] for p in parts]) for c in _ROWS}
+
+
+def _places(own: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by series: the first row and the number of rows of every series, every row's place in its own."""
+    count = np.bincount(own, minlength=n)
+    first = np.cumsum(count) - count
+    return first, count, np.arange(len(own)) - first[own]
+
+
+def _advance(size: int, step: int, state: dict) -> dict:
+    """Move the rows that follow on from the buffers out of ``pend``, and cut the windows that are complete."""
+    n, pend = len(state["nxt"]), state["pend"]
+    _, count, place = _places(pend["own"], n)
+    run = count.copy()
+    np.minimum.at(run, pend["own"], np.where(pend["seq"] == state["nxt"][pend["own"]] + place, run[pend["own"]], place))
+    follows = place < run[pend["own"]]
+    buf = _joined([state["buf"], _taken(pend, follows)])
+    buf = _taken(buf, np.argsort(buf["own"], kind="stable"))  # a series' buffered rows come before its new ones
+    state["pend"], state["nxt"] = _taken(pend, ~follows), state["nxt"] + run
+    first, count, place = _places(buf["own"], n)
+    windows = np.where(count < size, 0, (count - size) // step + 1)
+    own = np.repeat(np.arange(n), windows)
+    nth = np.arange(len(own)) - (np.cumsum(windows) - windows)[own]
+    start = first[own] + nth * step
+    last = start + size - 1
+    w = buf["x"][start[:, None] + np.arange(size)[None, :]]  # windows, samples, channels
+    out = {
+        "own": own, "window_id": state["win"][own] + nth, "start_seq": buf["seq"][start], "end_seq": buf["seq"][last],
+        "mav": np.abs(w).mean(axis=(1, 2)), "rms": np.sqrt((w * w).mean(axis=(1, 2))), "mean_ch": w.mean(axis=1),
+        "truth_last": buf["t"][last], "arrived_last": buf["a"][last],
+    }
+    state["buf"], state["win"] = _taken(buf, place >= (windows * step)[buf["own"]]), state["win"] + windows
+    return out
+
+
+def _new_rows(frame: pd.DataFrame, x: np.ndarray) -> dict:
+    f = {c: frame[c].to_numpy() for c in ("known", "series", "seq", "origin")}
+    return {"known": f["known"].astype(bool), "series": f["series"].astype("int64"), "seq": f["seq"].astype("int64"), "origin": f["origin"], "x": x, "t": frame["t"].to_numpy(dtype="float64"), "a": frame["arrived"].to_numpy(dtype="float64")}
+
+
+def _empty(ch: int) -> dict:
+    none, whole = np.empty(0), np.empty(0, np.int64)
+    rows = {"own": whole, "seq": whole, "x": np.empty((0, ch)), "t": none, "a": none}
+    return {"known": np.empty(0, bool), "series": whole, "nxt": whole, "win": whole, "buf": rows, "pend": rows}
+
+
+def _with_series(state: dict, new: dict) -> np.ndarray:
+    """Add the series seen first, by (known, series) and from their first row's origin; the place of every new row's series."""
+    n = len(state["nxt"])
+    keys = np.rec.fromarrays([np.concatenate([state[c], new[c]]) for c in ("known", "series")], names="known,series")
+    own, first, place = np.unique(keys, return_index=True, return_inverse=True)
+    held, seen = place[:n], first[first >= n] - n
+    if pd.isna(new["origin"][seen]).any():
+        raise ValueError("a series declares no origin")
+    fresh = np.flatnonzero(first >= n)
+
+    def spread(old, values):
+        out = np.empty(len(own), old.dtype)
+        out[held], out[fresh] = old, values
+        return out
+
+    state["known"], state["series"] = own["known"].copy(), own["series"].copy()
+    state["nxt"], state["win"] = spread(state["nxt"], new["origin"][seen].astype(np.int64)), spread(state["win"], 0)
+    for side in ("buf", "pend"):  # the order of the series held does not change
+        state[side] = {**state[side], "own": held[state[side]["own"]]}
+    return place[n:]
 
 
 def _window_step(size: int, step: int, gap_limit: int):
     if not 0 < step <= size:
         raise ValueError("need 0 < step <= size")
 
-    def emit(series, buf, nwin):
-        """Windows of the buffered samples, and the samples that the next ones need."""
-        seq, x, t, a = buf
-        n = 0 if len(seq) < size else (len(seq) - size) // step + 1
-        if not n:
-            return None, buf, nwin
-        starts = np.arange(n) * step
-        w = x[starts[:, None] + np.arange(size)[None, :]]  # windows, samples, channels
-        last = starts + size - 1
-        out = pd.DataFrame({
-            "series": np.full(n, series, dtype="int64"), "window_id": nwin + np.arange(n, dtype="int64"), "start_seq": seq[starts], "end_seq": seq[last],
-            "mav": np.abs(w).mean(axis=(1, 2)), "rms": np.sqrt((w * w).mean(axis=(1, 2))), "mean_ch": list(w.mean(axis=1)),
-            "truth_last": t[last], "arrived_last": a[last], "n_dropped": np.zeros(n, dtype="int64"), "n_missing": np.zeros(n, dtype="int64"),
-        })
-        return out, tuple(v[n * step :] for v in buf), nwin + n
+    def of_channels(state: dict, new: dict):
+        """The windows (and losses) of the new rows of a group, for series with the same number of channels."""
+        own = _with_series(state, new)
+        n, held = len(state["nxt"]), len(state["pend"]["own"])
+        pend = _joined([state["pend"], {"own": own, **{c: new[c] for c in _ROWS[1:]}}])
+        order = np.lexsort((pend["seq"], pend["own"]))  # stable: of repeated samples the first one stays
+        pend = _taken(pend, order)
+        again = np.zeros(len(order), bool)
+        again[1:] = (pend["own"][1:] == pend["own"][:-1]) & (pend["seq"][1:] == pend["seq"][:-1])
+        keep = ~again & (pend["seq"] >= state["nxt"][pend["own"]])
+        dropped, missing = np.bincount(pend["own"][~keep], minlength=n), np.zeros(n, np.int64)
+        state["pend"] = _taken(pend, keep)
+        outs = [_advance(size, step, state)]
+        while (over := np.bincount(state["pend"]["own"], minlength=n) > gap_limit).any():
+            # series that wait for too long: on from the first row that waits, the others aside
+            mine = {side: over[state[side]["own"]] for side in ("buf", "pend")}
+            aside = {side: _taken(state[side], ~mine[side]) for side in mine}
+            state["pend"] = _taken(state["pend"], mine["pend"])
+            first = _places(state["pend"]["own"], n)[0][over]
+            start = state["pend"]["seq"][first]
+            missing[over] += start - state["nxt"][over]
+            state["nxt"][over] = start
+            state["buf"] = _taken(state["buf"], np.zeros(len(state["buf"]["own"]), bool))
+            outs.append(_advance(size, step, state))
+            for side, rest in aside.items():
+                rows = _joined([rest, state[side]])
+                state[side] = _taken(rows, np.argsort(rows["own"], kind="stable"))
+        out = {c: np.concatenate([o[c] for o in outs]) for c in outs[0]}
+        lost = (dropped > 0) | (missing > 0)
+        own, count = out["own"], len(out["own"])
+        ends = np.full(n, -1)
+        ends[own] = np.arange(count)  # a series' last window of this call
+        counts = {"n_dropped": np.zeros(count, np.int64), "n_missing": np.zeros(count, np.int64)}
+        told = np.flatnonzero(lost & (ends >= 0))
+        counts["n_dropped"][ends[told]], counts["n_missing"][ends[told]] = dropped[told], missing[told]
+        names = pd.Series(state["series"]).where(pd.Series(state["known"]), None).astype("Int64")
+        frame = {**out, **counts, "mean_ch": list(out["mean_ch"])}
+        yield pd.DataFrame({"series": names.to_numpy()[own] if count else names.iloc[:0], **{c: frame[c] for c in _OUT[1:]}}).astype({"series": "Int64"})
+        silent = np.flatnonzero(lost & (ends < 0))
+        if len(silent):
+            rows = [(names[i], -1, -1, -1, None, None, None, None, None, dropped[i], missing[i]) for i in silent.tolist()]
+            yield pd.DataFrame(rows, columns=_OUT).astype({"series": "Int64"})
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        series = int(key[0])
+        states = pickle.loads(state.get[0]) if state.exists else {}
         frames = [p for p in pdfs if len(p)]
-        if state.exists:
-            nxt, nwin, ch, *held = state.get
-        else:
-            nxt, nwin, ch, held = int(frames[0]["origin"].iloc[0]), 0, len(frames[0]["x"].iloc[0]), [[]] * 8
-        arrays = [np.asarray(v, dtype="int64" if i % 4 == 0 else "float64") for i, v in enumerate(held)]
-        arrays[1], arrays[5] = arrays[1].reshape(-1, ch), arrays[5].reshape(-1, ch)
-        buf, pend = tuple(arrays[:4]), arrays[4:]
-        new = [(p["seq"].to_numpy(dtype="int64"), np.stack([np.asarray(v, dtype="float64") for v in p["x"]]), p["t"].to_numpy(dtype="float64"), p["arrived"].to_numpy(dtype="float64")) for p in frames]
-        pend = [np.concatenate([v, *(n[i] for n in new)]) for i, v in enumerate(pend)]
-        before = len(pend[0])
-        seq, first = np.unique(pend[0], return_index=True)
-        first = first[seq >= nxt]
-        pend = [v[first] for v in pend]
-        dropped, missing, outs = before - len(first), 0, []
-        while True:
-            ahead = np.flatnonzero(pend[0] != nxt + np.arange(len(pend[0])))
-            run = int(ahead[0]) if len(ahead) else len(pend[0])
-            buf = tuple(np.concatenate([b, v[:run]]) for b, v in zip(buf, pend))
-            pend, nxt = [v[run:] for v in pend], nxt + run
-            out, buf, nwin = emit(series, buf, nwin)
-            if out is not None:
-                outs.append(out)
-            if len(pend[0]) <= gap_limit:
-                break
-            missing += int(pend[0][0]) - nxt
-            nxt, buf = int(pend[0][0]), tuple(v[:0] for v in buf)
-        state.update((int(nxt), int(nwin), int(ch), *(v.ravel().tolist() for v in (*buf, *pend))))
-        if dropped or missing:
-            if outs:
-                outs[-1].loc[outs[-1].index[-1], ["n_dropped", "n_missing"]] = [dropped, missing]
-            else:
-                outs.append(pd.DataFrame([(series, -1, -1, -1, None, None, None, None, None, dropped, missing)], columns=_OUT))
-        for out in outs:
-            yield out[_OUT]
+        frame = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        xs = [np.asarray(v, dtype="float64") for v in frame["x"]]
+        widths = np.array([len(v) for v in xs])
+        for ch in np.unique(widths).tolist():
+            rows = np.flatnonzero(widths == ch)
+            mine = frame if len(rows) == len(frame) else frame.iloc[rows]
+            own = states.setdefault(ch, _empty(ch))
+            yield from of_channels(own, _new_rows(mine, np.concatenate([xs[i] for i in rows.tolist()]).reshape(-1, ch)))
+        if len(states) > 1:
+            every = np.concatenate([np.rec.fromarrays([s["known"], s["series"]]) for s in states.values()])
+            if len(np.unique(every)) < len(every):
+                raise ValueError("a series has samples of different numbers of channels")
+        state.update((pickle.dumps(states, protocol=5),))
 
     return fn
 
@@ -127,11 +212,11 @@ def stream_block_windows(
     Rows with ``window_id = -1`` only report dropped duplicates or samples given up.
     """
     s = sdf.select(
-        F.col(series).cast("long").alias("series"), F.col(seq).cast("long").alias("seq"), F.col(x).cast("array<double>").alias("x"), F.col(truth).cast("double").alias("t"),
+        F.coalesce(F.col(series).cast("long"), F.lit(0)).alias("series"), F.col(series).isNotNull().alias("known"), F.col(seq).cast("long").alias("seq"), F.col(x).cast("array<double>").alias("x"), F.col(truth).cast("double").alias("t"),
         (F.col(origin) if isinstance(origin, str) else F.lit(origin)).cast("long").alias("origin"),
         (F.unix_micros(F.col(arrived).cast("timestamp")) / 1e6 if arrived else F.lit(None)).cast("double").alias("arrived"),
     )
-    return s.groupBy("series").applyInPandasWithState(
+    return s.withColumn("_group", F.pmod(F.xxhash64("series", "known"), F.lit(GROUPS))).groupBy("_group").applyInPandasWithState(
         _window_step(size, step, gap_limit), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
