@@ -42,11 +42,11 @@ class Recent(StatefulProcessor):
         for frame in rows:
             new = frame if new is None else pd.concat([new, frame])
             new = new.drop_duplicates("window_id").nlargest(self.n, "window_id")
-        written = 0
+        written, known = 0, self.recent.exists()  # every question to the store is a round trip
         for values in zip(*(new[c].tolist() for c in self.names)):
             row = tuple(None if pd.isna(v) else v for v in values)
             slot, window_id = (row[0] % self.n,), row[0]
-            held = self.recent.getValue(slot) if self.recent.containsKey(slot) else None
+            held = self.recent.getValue(slot) if known else None
             if held is None or held[0] < window_id:
                 self.recent.updateValue(slot, row)
                 written += 1
