@@ -166,6 +166,30 @@ def test_encoder_cache_turnover(monkeypatch):
         assert e.ids(text) == np.array([*fresh.tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
 
 
+def test_encoder_spells_a_run_once(monkeypatch):
+    """Forms of a word share its runs, and a full table keeps what is in use."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    monkeypatch.setattr(packing, "STRETCH", 50, raising=False)
+    e, asked = packing.Encoder(packing.default_tokenizer()), Counter()
+    whole, model = e.tokenizer, e.tokenizer.model
+
+    class Asked:
+        def tokenize(self, run):
+            asked[run] += 1
+            return model.tokenize(run)
+
+        def encode(self, text, **kw):
+            asked.update(text.lower().split())
+            return whole.encode(text, **kw)
+
+    e.model, e.tokenizer = Asked(), Asked()
+    rng = H.rng(8)
+    for _ in range(30):
+        text = " ".join(["Straße", "STRASSE?!", "Été", "l'ÉTÉ", "we'll", "2024", *(w + m for w in ("word", "Word", "WORD") for m in (".", ",", "?!"))] + ["".join(rng.choice("abcdeé") for _ in range(7)) for _ in range(10)])
+        assert e.ids(text) == np.array([*whole.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
+    assert asked["word"] == 1 and not any(w.startswith("word") for w in asked - Counter(["word"])) and asked["strasse"] == 1
+
+
 # ---- 4: language
 
 
