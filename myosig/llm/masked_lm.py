@@ -11,11 +11,14 @@ The network predicts each token from ``WINDOW`` tokens on either side, itself ma
 P(token) = P(class | both sides) * P(token | class), the latter from the counts of every word
 of the corpus: a rare word has (its count + S(word)) of its class, S a spelling model (a product
 of character probabilities) that is all an unseen word has, so the words of a class sum to at
-most 1.  A task looks no rare word up: it puts out, per batch, each one with its rows, and a
+most 1.  A task looks no rare word up: it puts out, per block, each one with its rows, and a
 shuffle by the word joins them with the table of counts.  A
 document's score is the sum of log P over all of its tokens (its pseudo-log-likelihood), and
 ``mean_log_prob`` its mean.
 
+Texts are tokenised once: :func:`blocks` writes runs of whole documents as numbers of their words,
+with the words and their counts, and what follows reads these and looks every word of a block up once.
+
 Everything is gathered from the whole corpus: word counts by a shuffle, and the weights by
 ``ROUNDS`` passes in which every task trains in numpy (Adagrad, minibatches) on all tokens of
 its texts, starting from the same weights; the tasks' weights are averaged by their numbers
@@ -38,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,8 +73,8 @@ _TOKEN = re.compile(r"\w+|[^\w\s]")
 #: Characters of the spelling model (any code point, and the end), and the share that any of them has alike.
 _CHARACTERS = 0x110000 + 1
 _ALIKE = 0.01
-#: Rare tokens that a task holds before it merges them.
-_RARE = 1_000_000
+#: A block ends at a document with so many tokens or distinct words.
+_BLOCK_TOKENS, _BLOCK_WORDS = 4_000_000, 300_000
 
 
 def tokens(text: str | None) -> list[str]:
@@ -85,6 +89,21 @@ def oov_id(word: str) -> int:
     return 1 + suffix_class(word) * OOV_SLOTS + zlib.crc32(word.encode("utf-8", "surrogatepass")) % OOV_SLOTS
 
 
+class _Suffixes(dict):
+    """Suffix classes by the last two letters."""
+
+    def __missing__(self, end: str) -> int:
+        c = self[end] = suffix_class(end)
+        return c
+
+
+def oov_ids(words: list[str]) -> np.ndarray:
+    """:func:`oov_id` of many words."""
+    whole = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words))
+    ends = np.fromiter(map(_Suffixes().__getitem__, (w[-2:] for w in words)), np.int64, len(words))
+    return 1 + ends * OOV_SLOTS + whole % OOV_SLOTS
+
+
 def vocabulary_size(distinct: int) -> int:
     return max(VOCABULARY, ROOTS * math.isqrt(distinct))
 
@@ -98,6 +117,7 @@ class Vocabulary:
 
     def __init__(self, words: list[str], counts: np.ndarray, table: DataFrame | None = None, characters: dict[str, int] | None = None) -> None:
         self.words = words
+        self.column = pa.array(words, pa.string())
         self.table = table
         self.ids = {w: 1 + SLOTS + i for i, w in enumerate(words)}
         self.classes = np.zeros(len(counts), np.int64)
@@ -134,27 +154,97 @@ class Vocabulary:
         get, other = self.characters.get, self.other
         return sum(get(c, other) for c in word) + get("", other)
 
+    def spellings(self, words: pa.Array) -> np.ndarray:
+        """:meth:`spelling` of many words."""
+        logs = np.full(_CHARACTERS, self.other)
+        for c, x in self.characters.items():
+            logs[ord(c) if c else -1] = x
+        sums = np.concatenate([[0.0], np.cumsum(logs[np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), "<u4")])])
+        ends = np.cumsum(pc.utf8_length(words).to_numpy())
+        return np.diff(sums[np.concatenate([[0], ends])]) + logs[-1]
+
     def __getstate__(self) -> dict:
         return self.__dict__ | {"seen": {}, "table": None}
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+_BLOCKS = pa.schema([
+    ("rows", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+    ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("slots", pa.binary()), ("low", pa.binary()), ("high", pa.binary()),
+])
+_BLOCKS_DDL = "rows array<long>, doc_ids array<long>, sizes array<long>, words array<string>, counts array<long>, slots binary, low binary, high binary"
+
+
+class _Numbers(dict):
+    """Numbers of words by first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _block_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents; the numbers of their tokens' words in two halves, which compress well."""
+    numbers, codes, rows, doc_ids, held = _Numbers(), [], [], [], 0
 
     def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-        held.clear()
-        return out
+        x = np.concatenate(codes)
+        words = list(numbers)
+        lists = (rows, doc_ids, list(map(len, codes)), words, np.bincount(x, minlength=len(numbers)))
+        halves = (oov_ids(words).astype("<u2").tobytes(), (x & 0xFFFF).astype("<u2").tobytes(), (x >> 16).astype("<u2").tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((*lists, *halves), _BLOCKS)], schema=_BLOCKS)
 
     for b in batches:
-        for text in b.column(0):
-            held.update(tokens(text.as_py()))
-            if len(held) > 300_000:
+        for row, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            words = tokens(text.as_py())
+            codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+            rows.append(row)
+            doc_ids.append(doc_id)
+            held += len(words)
+            if held >= _BLOCK_TOKENS or len(numbers) >= _BLOCK_WORDS:
                 yield flush()
-    if held:
+                numbers, codes, rows, doc_ids, held = _Numbers(), [], [], [], 0
+    if rows:
         yield flush()
 
 
+def blocks(docs: DataFrame) -> DataFrame:
+    """The tokens of ``docs`` (text, and doc_id if there is one), written."""
+    doc_id = F.col("doc_id").cast("long") if "doc_id" in docs.columns else F.lit(None).cast("long")
+    plain = docs.select(F.monotonically_increasing_id().alias("row"), doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return written(plain.mapInArrow(_block_batches, _BLOCKS_DDL), "tokens", compression="zstd")
+
+
+class _Block:
+    """A record of :func:`blocks` read under a vocabulary: ``ids`` of its tokens, document after document."""
+
+    def __init__(self, b: pa.RecordBatch, k: int, v: Vocabulary) -> None:
+        get = {f.name: b.column(i)[k] for i, f in enumerate(_BLOCKS)}
+        self.rows, self.doc_ids, sizes = (get[c].values for c in ("rows", "doc_ids", "sizes"))
+        self.sizes, self.words = sizes.to_numpy(), get["words"].values
+        slots, low, high = (np.frombuffer(get[c].as_py(), "<u2") for c in ("slots", "low", "high"))
+        self.codes = low | high.astype(np.uint32) << 16
+        at = pc.index_in(self.words, value_set=v.column).fill_null(-1).to_numpy(zero_copy_only=False)
+        self.table = np.where(at >= 0, 1 + SLOTS + at.astype(np.int64), slots)
+        self.ids = self.table[self.codes]
+
+    def documents(self) -> Iterator[np.ndarray]:
+        ends = np.cumsum(self.sizes)
+        return (self.ids[a:e] for a, e in zip((ends - self.sizes).tolist(), ends.tolist()))
+
+    def rare(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """The rare words, where the documents of each begin in the following, documents, and how often."""
+        number = np.cumsum(self.table <= SLOTS) - 1
+        own, width = np.flatnonzero(self.ids <= SLOTS), max(1, len(self.sizes))
+        at = np.repeat(np.arange(len(self.sizes)), self.sizes)[own]
+        both, n = np.unique(number[self.codes[own]] * width + at, return_counts=True)
+        words = self.words.filter(pa.array(self.table <= SLOTS))
+        return words, np.searchsorted(both // width, np.arange(len(words) + 1)), both % width, n
+
+
+def _read(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> Iterator[_Block]:
+    return (_Block(b, k, v) for b in batches for k in range(len(b)))
+
+
 def _character_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
     for b in batches:
@@ -166,7 +256,12 @@ def _character_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def vocabulary(texts: DataFrame) -> Vocabulary:
     """Count every word of the corpus and keep the most frequent; ties by the word itself."""
-    counts = written(texts.mapInArrow(_count_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    return _vocabulary(blocks(texts))
+
+
+def _vocabulary(parts: DataFrame) -> Vocabulary:
+    each = parts.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    counts = written(each.groupBy("word").agg(F.sum("n").alias("n")), "words")
     size = vocabulary_size(counts.count())
     top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
     slot = F.lit(1) + (F.crc32(F.substring("word", -2, 2).cast("binary")) % SUFFIX_CLASSES) * OOV_SLOTS + F.crc32(F.col("word").cast("binary")) % OOV_SLOTS
@@ -181,6 +276,14 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     return Vocabulary([r.word for r in top], n, counts, {r.c: r.n for r in characters})
 
 
+def _largest(x: np.ndarray) -> np.ndarray:
+    """Largest value of each row, by halves: numpy is slow along short rows."""
+    while x.shape[1] > 8 and x.shape[1] % 2 == 0:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x.max(1)
+
+
 class Network:
     """Weights in numpy, with the squared-gradient sums of Adagrad while training."""
 
@@ -222,7 +325,7 @@ class Network:
         logits = self._hidden(ids) @ self.out
         logits += self.base
         own = logits[np.arange(len(logits)), classes]
-        top = logits.max(1)
+        top = _largest(logits)
         logits -= top[:, None]
         np.exp(logits, out=logits)
         return own - top - np.log(logits.sum(1))
@@ -234,7 +337,7 @@ class Network:
         h = self._hidden(ids)
         p = h @ self.out
         p += self.base
-        p -= p.max(1)[:, None]
+        p -= _largest(p)[:, None]
         np.exp(p, out=p)
         p /= p.sum(1)[:, None]
         p[np.arange(len(p)), classes] -= 1
@@ -255,59 +358,27 @@ class Network:
             w -= RATE * g / np.sqrt(s)
 
 
-class _RareWords:
-    """The rare words of a batch with the rows that hold them, and how often."""
-
-    def __init__(self, v: Vocabulary) -> None:
-        self.v, self.ids, self.at, self.rows, self.held = v, {}, [], [], 0
-        self.done: list[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def add(self, row: int, words: list[str], ids: np.ndarray) -> None:
-        rare = np.flatnonzero(ids <= SLOTS)
-        if not len(rare):
-            return
-        own = self.ids
-        self.at.append(np.fromiter((own.setdefault(words[k], len(own)) for k in rare.tolist()), np.int64, len(rare)))
-        self.rows.append(np.full(len(rare), row))
-        self.held += len(rare)
-        if self.held >= _RARE:
-            self.merge()
-
-    def merge(self) -> None:
-        if self.held:
-            rows = np.concatenate(self.rows)
-            width = int(rows.max()) + 1
-            both, n = np.unique(np.concatenate(self.at) * width + rows, return_counts=True)
-            first = np.searchsorted(both // width, np.arange(len(self.ids) + 1))
-            self.done.append((list(self.ids), first, both % width, n))
-        self.ids, self.at, self.rows, self.held = {}, [], [], 0
-
-
-def _streams(texts: Iterator[str | None], vocabulary: Vocabulary, rare: _RareWords | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _streams(texts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Chunks of ids with ``WINDOW`` edges around every text, and the row of each token (-1: an edge).
 
-    A chunk begins and ends with ``WINDOW`` context tokens that belong to its neighbours.
+    ``texts`` are the ids of each text.  A chunk begins and ends with ``WINDOW`` context tokens that belong to its neighbours.
     """
     edge = np.zeros(WINDOW, np.int64)
     none = np.full(WINDOW, -1)
     ids, rows, held = [edge], [none], WINDOW
     for i, text in enumerate(texts):
-        words = tokens(text)
-        for at in range(0, len(words), CHUNK):
-            x = vocabulary.encode(words[at : at + CHUNK])
-            if rare is not None:
-                rare.add(i, words[at : at + CHUNK], x)
+        for at in range(0, len(text), CHUNK):
+            x = text[at : at + CHUNK]
             ids.append(x)
             rows.append(np.full(len(x), i))
             held += len(x)
             if held >= CHUNK:
                 both = np.concatenate(ids), np.concatenate(rows)
-                more = words[at + CHUNK : at + CHUNK + WINDOW]
-                ahead = np.r_[vocabulary.encode(more), edge][:WINDOW]
+                ahead = np.r_[text[at + CHUNK : at + CHUNK + WINDOW], edge][:WINDOW]
                 yield np.r_[both[0], ahead], np.r_[both[1], none]
                 # the last tokens stay as context of what follows
                 ids, rows, held = [both[0][-WINDOW:]], [none], WINDOW
-        if words:
+        if len(text):
             ids.append(edge)
             rows.append(none)
             held += WINDOW
@@ -322,7 +393,7 @@ def _train_batches(vocabulary, flat):
         from pyspark import TaskContext
 
         net, v, n = Network(flat.value), vocabulary.value, 0
-        for ids, rows in _streams((t.as_py() for b in batches for t in b.column(0)), v):
+        for ids, rows in _streams(x for b in _read(batches, v) for x in b.documents()):
             for at in range(WINDOW, len(ids) - WINDOW, BATCH):
                 to = min(at + BATCH, len(ids) - WINDOW)
                 real = rows[at:to] >= 0
@@ -346,10 +417,14 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Train on all tokens of all texts; returns the flat weights."""
-    sc, ddl = texts.sparkSession.sparkContext, "part int, n long, weights binary"
+    return _train(blocks(texts), v, rounds)
+
+
+def _train(tokenised: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    sc, ddl = tokenised.sparkSession.sparkContext, "part int, n long, weights binary"
     words, flat = sc.broadcast(v), Network(ids=len(v.classes)).flat()
     for _ in range(rounds):
-        parts = written(texts.mapInArrow(_train_batches(words, sc.broadcast(flat)), ddl), "weights")
+        parts = written(tokenised.mapInArrow(_train_batches(words, sc.broadcast(flat)), ddl), "weights")
         n = parts.count()
         while n > 1:
             parts = written(parts.groupBy(F.floor(F.col("part") / AVERAGED).alias("part")).applyInPandas(_average, ddl).withColumn("part", F.floor(F.col("part") / AVERAGED).cast("int")), "weights")
@@ -369,18 +444,17 @@ _SCORED_DDL = "row long, doc_id long, n_tokens long, log_prob double, word strin
 
 
 def _score_batches(vocabulary, flat):
-    """A record for every document, and one for every rare word of a batch."""
+    """A record for every document, and one for every rare word of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, v = Network(flat.value), vocabulary.value
-        for b in batches:
-            rare, names = _RareWords(v), b.column(0).to_numpy(zero_copy_only=False)
-            total, count = score_texts(net, v, (t.as_py() for t in b.column(2)), len(b), rare)
-            yield _record(len(b), row=b.column(0), doc_id=b.column(1), n_tokens=pa.array(count), log_prob=pa.array(total))
-            rare.merge()
-            for words, first, rows, n in rare.done:
-                lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int64())) for x in (names[rows], n)]
-                yield _record(len(words), word=pa.array(words, pa.string()), spelling=pa.array(map(v.spelling, words), pa.float64()), rows=lists[0], times=lists[1])
+        for b in _read(batches, v):
+            total, count = _score_ids(net, v, b.documents(), len(b.sizes))
+            yield _record(len(b.sizes), row=b.rows, doc_id=b.doc_ids, n_tokens=pa.array(count), log_prob=pa.array(total))
+            words, first, at, n = b.rare()
+            if len(words):
+                lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int64())) for x in (b.rows.to_numpy()[at], n)]
+                yield _record(len(words), word=words, spelling=pa.array(v.spellings(words)), rows=lists[0], times=lists[1])
 
     return run
 
@@ -389,13 +463,17 @@ def _record(n: int, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in _SCORED], schema=_SCORED)
 
 
-def score_texts(net: Network, v: Vocabulary, texts: Iterator[str | None], n: int, rare: _RareWords | None = None) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(net: Network, v: Vocabulary, texts: Iterator[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sums of log P and numbers of tokens of ``n`` texts.
 
-    For the words that ``rare`` gathers, log(count + S(word)) is still to be added.
+    For the rare words, log(count + S(word)) is still to be added.
     """
+    return _score_ids(net, v, (v.encode(tokens(t)) for t in texts), n)
+
+
+def _score_ids(net: Network, v: Vocabulary, texts: Iterator[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
     total, count = np.zeros(n), np.zeros(n, np.int64)
-    for ids, rows in _streams(texts, v, rare):
+    for ids, rows in _streams(texts):
         for at in range(WINDOW, len(ids) - WINDOW, BATCH):
             to = min(at + BATCH, len(ids) - WINDOW)
             r = rows[at:to]
@@ -410,11 +488,10 @@ def score_texts(net: Network, v: Vocabulary, texts: Iterator[str | None], n: int
 def score(docs: DataFrame, v: Vocabulary | None = None, flat: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_tokens, log_prob and mean_log_prob of every document; fits on ``docs`` unless given a model."""
     sc = docs.sparkSession.sparkContext
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    v = v or vocabulary(texts)
-    flat = train(texts, v) if flat is None else flat
-    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = written(plain.mapInArrow(_score_batches(sc.broadcast(v), sc.broadcast(flat)), _SCORED_DDL), "scored")
+    tokenised = blocks(docs)
+    v = v or _vocabulary(tokenised)
+    flat = _train(tokenised, v) if flat is None else flat
+    out = written(tokenised.mapInArrow(_score_batches(sc.broadcast(v), sc.broadcast(flat)), _SCORED_DDL), "scored")
     counts = v.table if v.table is not None else docs.sparkSession.createDataFrame([], "word string, n long")
     rare = out.where(F.col("word").isNotNull()).select("word", "spelling", "rows", "times").join(counts, "word", "left")
     log_n = F.when(F.col("n").isNull(), F.col("spelling")).otherwise(F.log(F.col("n") + F.exp("spelling")))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import helpers as H
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from myosig.llm import chosen_path, common, components, langid, masked_lm, mixing, packing, quality_knn
@@ -278,6 +279,40 @@ def test_masked_lm(spark):
     assert abs(np.exp(v.within[1:])[v.classes[1:] == masked_lm.CLASSES - 1].sum() - 1) < 1e-6
 
 
+def test_masked_lm_reads_texts_once(spark, monkeypatch):
+    rng = H.rng(12)
+    rows = [(i, H.prose(rng, rng.randint(0, 60)), "en", "a") for i in range(40)] + [(i, None, None, None) for i in range(40, 43)] + [(None, "one two", None, None)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for x in frames:
+            read.add(len(x))
+            yield x
+
+    docs = H.frame(spark, rows).coalesce(1)
+    got = masked_lm.score(docs.mapInPandas(counted, docs.schema)).collect()
+    assert read.value == len(rows)
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((i, len(masked_lm.tokens(t))) for i, t, *_ in rows)
+    # any cut into blocks gives the same
+    one = masked_lm.blocks(docs).toPandas()
+    monkeypatch.setattr(masked_lm, "_BLOCK_WORDS", 30)
+    ids = pa.array([r[0] for r in rows], pa.int64())
+    cut = list(masked_lm._block_batches(iter([pa.RecordBatch.from_arrays([pa.array(range(len(rows))), ids, pa.array([r[1] for r in rows])], ["row", "doc_id", "text"])])))
+    assert len(one) == 1 < len(cut)
+    v = masked_lm.Vocabulary(["one", "two"], np.ones(1 + masked_lm.SLOTS + 2))
+    found = [x.tolist() for b in masked_lm._read(iter(cut), v) for x in b.documents()]
+    assert found == [v.encode(masked_lm.tokens(t)).tolist() for _, t, *_ in rows]
+    rare, want = Counter(), Counter()
+    for b in masked_lm._read(iter(cut), v):
+        words, first, at, n = b.rare()
+        assert np.allclose(v.spellings(words), list(map(v.spelling, words.to_pylist())))
+        for w, s, e in zip(words.to_pylist(), first, first[1:]):
+            rare.update({(w, b.rows[int(k)].as_py()): int(m) for k, m in zip(at[s:e], n[s:e])})
+    for k, (_, t, *_) in enumerate(rows):
+        want.update((w, k) for w in masked_lm.tokens(t) if w not in v.ids)
+    assert rare == want
+
+
 def test_masked_lm_edges(spark):
     rows = H.awkward(H.rng(8))
     got = masked_lm.score(H.frame(spark, rows)).collect()
