@@ -276,12 +276,14 @@ def _vocabulary(parts: DataFrame) -> Vocabulary:
     return Vocabulary([r.word for r in top], n, counts, {r.c: r.n for r in characters})
 
 
-def _largest(x: np.ndarray) -> np.ndarray:
-    """Largest value of each row, by halves: numpy is slow along short rows."""
-    while x.shape[1] > 8 and x.shape[1] % 2 == 0:
-        half = x.shape[1] // 2
-        x = np.maximum(x[:, :half], x[:, half:])
-    return x.max(1)
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sum of each column: eight partial sums, then pairs of them."""
+    parts = x[:8].copy()
+    for k in range(8, len(x), 8):
+        parts += x[k : k + 8]
+    while len(parts) > 1:
+        parts = parts[0::2] + parts[1::2]
+    return parts[0]
 
 
 class Network:
@@ -320,37 +322,42 @@ class Network:
             pre += x[WINDOW + o : WINDOW + o + n, k * HIDDEN : (k + 1) * HIDDEN]
         return np.tanh(pre, out=pre)
 
+    def _logits(self, hidden: np.ndarray) -> np.ndarray:
+        """A row per class: numpy is slow along short rows."""
+        out = self.out.T @ hidden.T
+        out += self.base[:, None]
+        return out
+
     def log_classes(self, ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """log P(class | both sides) of ids[WINDOW:-WINDOW]."""
-        logits = self._hidden(ids) @ self.out
-        logits += self.base
-        own = logits[np.arange(len(logits)), classes]
-        top = _largest(logits)
-        logits -= top[:, None]
+        logits = self._logits(self._hidden(ids))
+        own = logits[classes, np.arange(len(classes))]
+        top = logits.max(0)
+        logits -= top
         np.exp(logits, out=logits)
-        return own - top - np.log(logits.sum(1))
+        return own - top - np.log(logits.sum(0))
 
     def train(self, ids: np.ndarray, classes: np.ndarray, real: np.ndarray) -> None:
         """One step on ids[WINDOW:-WINDOW]; edges (not ``real``) are context only."""
         if self.sums is None:
             self.sums = [np.full(len(self.table), 1e-2, np.float32)] + [np.full(w.shape, 1e-2, np.float32) for w in self.weights()[1:]]
         h = self._hidden(ids)
-        p = h @ self.out
-        p += self.base
-        p -= _largest(p)[:, None]
+        p = self._logits(h)
+        p -= p.max(0)
         np.exp(p, out=p)
-        p /= p.sum(1)[:, None]
-        p[np.arange(len(p)), classes] -= 1
-        p *= (real / max(1.0, real.sum()))[:, None].astype(np.float32)
+        p /= _sums(p)
+        p[classes, np.arange(len(classes))] -= 1
+        p *= (real / max(1.0, real.sum())).astype(np.float32)
+        p = np.ascontiguousarray(p.T)
         g_out, g_base = h.T @ p, p.sum(0)
         d = (p @ self.out.T) * (1 - h * h)
-        spread = np.zeros((len(ids), _WIDTH), np.float32)
-        for k, o in enumerate(_OFFSETS):
-            spread[WINDOW + o : WINDOW + o + len(d), k * HIDDEN : (k + 1) * HIDDEN] = d
         order = np.argsort(ids.astype(np.uint16) if len(self.table) <= 1 << 16 else ids, kind="stable")
         ranked = ids[order]
         first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        g_table, at = np.add.reduceat(spread[order], first, axis=0), ranked[first]
+        around = np.zeros((len(ids) + 2 * WINDOW, HIDDEN), np.float32)
+        around[2 * WINDOW : 2 * WINDOW + len(d)] = d
+        spread = np.take(around, order[:, None] + (WINDOW - np.array(_OFFSETS)), axis=0, mode="clip").reshape(len(ids), _WIDTH)
+        g_table, at = np.add.reduceat(spread, first, axis=0), ranked[first]
         self.sums[0][at] += (g_table * g_table).mean(1) * len(d)
         self.table[at] -= (RATE * np.sqrt(len(d)) / np.sqrt(self.sums[0][at]))[:, None] * g_table
         for w, s, g in zip(self.weights()[1:], self.sums[1:], (d.sum(0), g_out, g_base)):
