@@ -335,7 +335,7 @@ class Network:
         top = logits.max(0)
         logits -= top
         np.exp(logits, out=logits)
-        return own - top - np.log(logits.sum(0))
+        return own - top - np.log(_sums(logits))
 
     def train(self, ids: np.ndarray, classes: np.ndarray, real: np.ndarray) -> None:
         """One step on ids[WINDOW:-WINDOW]; edges (not ``real``) are context only."""
