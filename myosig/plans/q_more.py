@@ -101,6 +101,10 @@ def q_take_windows(spark, sf_dir):
 
 
 # --------------------------------------------------------------------- storage round trips
+#: Folders of the feature store, whatever the number of subjects.
+SUBJECT_FOLDERS = 64
+
+
 @query(
     "feature_store_roundtrip",
     ["SRC-02", "SRC-03"],
@@ -115,7 +119,7 @@ def q_feature_store(spark, sf_dir):
     ix = with_row_index(adapters.signal(spark, sf_dir), adapters.SUBJECT_ORDER, series=["subject"], count_name="n_rows")
     w = sliding_windows(ix, 8, 4, series=["subject"], aggs={"mav": ft.mav("x"), "gait_target": ft.target_mean("gait")})
     base = scratch_folder(spark, "feature_store")
-    io.write_features(w, os.path.join(base, "features"), partition_by=["subject"], order=["window_id"])
+    io.write_features(w, os.path.join(base, "features"), partition_by=["subject"], order=["window_id"], folders=SUBJECT_FOLDERS)
     io.write_schema_artifacts(os.path.join(base, "schema"), ["mav"], ["gait_target"], spark=spark)
     back = io.read_subjects(spark, os.path.join(base, "features"))
     return back.select(F.col("subject").cast("bigint").alias("subject"), "window_id", r6("mav").alias("mav"), r6("gait_target").alias("gait_target"))

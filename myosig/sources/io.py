@@ -12,7 +12,7 @@ import json
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,15 @@ GOLDEN_SCHEMA = T.StructType(
 )
 
 
+#: Folder of a row, and the number of folders, in a dataset whose partition values are hashed into folders.
+FOLDER, FOLDERS = "subject_folder", "subject_folders"
+
+
+def _folder(*parts: Column) -> Column:
+    *values, n = parts
+    return F.pmod(F.xxhash64(*values), n).cast("int")
+
+
 def read_recording(spark: SparkSession, path: str, schema: T.StructType | None = SAMPLE_SCHEMA) -> DataFrame:
     """SRC-01: one recording (Parquet) with a declared schema (no inference)."""
     r = spark.read
@@ -49,14 +58,19 @@ def read_recording(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def read_subjects(spark: SparkSession, root: str, subjects: Sequence[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """SRC-02: a ``subject=...`` partitioned dataset; a subject list prunes partitions at planning time."""
+    """SRC-02: a dataset partitioned by subject, one folder each (``subject=...``) or hashed into a number of
+    folders (:func:`write_features`); a subject list prunes folders at planning time in both."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     df = r.option("basePath", root).parquet(root)
+    hashed = {FOLDER, FOLDERS} <= set(df.columns)
     if subjects is not None:
         df = df.where(F.col("subject").isin(list(subjects)))
-    return df
+        if hashed:
+            kind = df.schema["subject"].dataType
+            df = df.where(F.col(FOLDER).isin([_folder(F.lit(s).cast(kind), F.col(FOLDERS)) for s in subjects]))
+    return df.drop(FOLDER, FOLDERS) if hashed else df
 
 
 def write_features(
@@ -66,16 +80,28 @@ def write_features(
     csv_path: str | None = None,
     order: Sequence[str] = (),
     max_records_per_file: int = 5_000_000,
+    folders: int | None = None,
 ) -> None:
     """SRC-03: the feature database as partitioned Parquet (and CSV with a header if asked).
 
     Rows are range-partitioned on (partition columns, order) before writing: each
     subject lands in one or a few tasks (few files per directory) while a subject
     holding a large share of the rows is still split over many tasks.
+
+    ``folders``: the partition values are hashed into so many folders, in which their rows lie in
+    order, and stay columns of the files.  A folder a value costs the driver a file to commit, list
+    and open per value, so its time follows the number of values; this one does not.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *partition_by, *order)
-    ranged.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy(*partition_by).parquet(path)
+    keys = list(partition_by)
+    if folders is not None:
+        df_out = df.withColumn(FOLDERS, F.lit(folders)).withColumn(FOLDER, _folder(*map(F.col, keys), F.col(FOLDERS)))
+        sort = [FOLDER, *keys, *order]
+        ranged = df_out.repartitionByRange(n, *sort).sortWithinPartitions(FOLDERS, *sort)
+        keys = [FOLDERS, FOLDER]
+    else:
+        ranged = df.repartitionByRange(n, *keys, *order)
+    ranged.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy(*keys).parquet(path)
     if csv_path:
         df.write.mode("overwrite").option("header", True).csv(csv_path)
 
