@@ -197,8 +197,7 @@ def q_logistic(spark, sf_dir):
 def q_boosted(spark, sf_dir):
     w = _cls_windows(spark, sf_dir)
     train = w.where(F.col("split") == sp.TRAIN)
-    c = fit.fit_boosted_classifier(train, WIN_FEATURES, "label")
-    r = fit.fit_boosted_regressor(train, WIN_FEATURES, "gait_target")
+    c, r = fit.fit_boosted_models(train, WIN_FEATURES, "label", "gait_target")
     p = r.setPredictionCol("gait_pred").transform(c.transform(fit.assemble(w, WIN_FEATURES)))
     return p.select("window_id", "split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "gait_target", "gait_pred")
 
