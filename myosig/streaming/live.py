@@ -1,10 +1,12 @@
 """STR-06: the view of every series' latest windows, kept in Spark's state store.
 
 A second streaming query reads the windows that the first one appended and keeps, per series,
-the ``n`` latest in a map state: a window's slot is its id modulo ``n``, so a new window
-replaces the one that leaves the view.  A batch writes at most ``n`` slots per series it
-touches and reads no other; the whole sink table is never ranked again.  The view is read
-from the checkpoint through Spark's state data source, ``n`` rows per series.
+the ``n`` latest in ``n`` slots: a window's slot is its id modulo ``n``, so a new window
+replaces the one that leaves the view.  A slot is a key of a streaming aggregate, the largest
+of its windows: a batch reads and writes only the slots of its windows, in the JVM (a call
+per series and a question to the store per window took most of the time), and the whole
+sink table is never ranked again.  The view is read from the checkpoint through Spark's state
+data source, at most ``n`` rows per series.
 
 Window ids of a series run without holes, as :mod:`myosig.streaming.windows` numbers them.
 Files may be read in any order and windows may repeat: a slot keeps its largest id.  Rows that only
@@ -14,47 +16,14 @@ report losses (``window_id`` below 0) and rows without a series are no windows.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from myosig.session import ensure_checkpoint_dir
 from myosig.streaming.windows import ROCKSDB_PROVIDER, state_partitions
 
-_VARIABLE = "recent"
-_WRITTEN = "series long, n_written long"
-
-
-class Recent(StatefulProcessor):
-    """The latest ``n`` windows of a series; returns how many slots a batch wrote."""
-
-    def __init__(self, n: int, names: Sequence[str], ddl: str) -> None:
-        self.n, self.names, self.ddl = n, list(names), ddl
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getMapState(_VARIABLE, "slot long", self.ddl)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = None  # at most n rows, however many arrive
-        for frame in rows:
-            new = frame if new is None else pd.concat([new, frame])
-            new = new.drop_duplicates("window_id").nlargest(self.n, "window_id")
-        written, known = 0, self.recent.exists()  # every question to the store is a round trip
-        for values in zip(*(new[c].tolist() for c in self.names)):
-            row = tuple(None if pd.isna(v) else v for v in values)
-            slot, window_id = (row[0] % self.n,), row[0]
-            held = self.recent.getValue(slot) if known else None
-            if held is None or held[0] < window_id:
-                self.recent.updateValue(slot, row)
-                written += 1
-        yield pd.DataFrame({"series": [key[0]], "n_written": [written]})
-
-    def close(self) -> None:
-        pass
-
 
 def update_live_view(
     spark: SparkSession, windows_path: str, name: str, base: str | None = None, columns: Sequence[str] = ("mav", "truth_last"), n: int = 150,
@@ -69,13 +38,12 @@ def update_live_view(
     names = ["window_id", *columns]
     schema = spark.read.parquet(windows_path).schema
     new = spark.readStream.schema(schema).parquet(windows_path).where("window_id >= 0 AND series IS NOT NULL").select(F.col("series").cast("long").alias("series"), *names)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema if f.name != "series")
     settings = {"spark.sql.shuffle.partitions": str(state_partitions(spark)), "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        kept = new.groupBy("series").transformWithStateInPandas(Recent(n, names, ddl), _WRITTEN, "Update", "None")
+        kept = new.groupBy("series", F.pmod("window_id", F.lit(n)).alias("slot")).agg(F.max(F.struct(*names)).alias("latest"))
         w = kept.writeStream.format("noop").option("checkpointLocation", view).outputMode("update")
         q = w.trigger(availableNow=True).start() if trigger_once else w.start()
     finally:
@@ -90,5 +58,5 @@ def update_live_view(
 
 def read_live_view(spark: SparkSession, view: str) -> DataFrame:
     """(series, window_id, columns): the view as of the last finished batch."""
-    state = spark.read.format("statestore").option("stateVarName", _VARIABLE).load(view)
-    return state.select(F.col("key.series").alias("series"), "user_map_value.*")
+    state = spark.read.format("statestore").load(view)
+    return state.select(F.col("key.series").alias("series"), "value.max.*")

@@ -25,3 +25,15 @@ def test_view_follows_the_sink(spark):
     got = _rows(read_live_view(spark, view).fillna(-1))
     assert got == _rows(live_view(spark, sink, 10).dropDuplicates(["series", "window_id"]).fillna(-1))
     assert [r[1] for r in got if r[0] == 0] == list(range(30, 40))
+
+
+def test_view_is_kept_by_an_aggregate_of_slots(spark):
+    """No call per series: the state is that of a streaming aggregate, a key per slot, and windows come in any order."""
+    base, n, ids = scratch_folder(spark, "test_live_slots"), 5, 23
+    sink = os.path.join(base, "sink")
+    rows = spark.range(400 * ids).selectExpr("id % 400 AS series", "id DIV 400 AS window_id", "CAST(id AS DOUBLE) AS mav", "CAST(nullif(id % 3, 0) AS DOUBLE) AS truth_last")
+    rows.union(rows.where("window_id > 15")).orderBy("mav", ascending=False).write.parquet(sink)
+    view = update_live_view(spark, sink, "view", base, n=n)
+    got = sorted((r.series, r.window_id, r.mav, r.truth_last) for r in read_live_view(spark, view).collect())
+    assert got == sorted((i % 400, i // 400, float(i), float(i % 3) or None) for i in range(400 * ids) if i // 400 >= ids - n)
+    assert {r.operatorName for r in spark.read.format("state-metadata").load(view).collect()} == {"stateStoreSave"}
