@@ -24,9 +24,12 @@ from myosig.session import ensure_checkpoint_dir
 from myosig.streaming.windows import GAP_LIMIT
 
 FEED_SCHEMA = "subject bigint, seq bigint, x double, gait double, activity string, event_id bigint, first_seq bigint, arrived timestamp"
-#: Rows per feed file (one file is one micro-batch by default); at least ``MIN_FILES`` files.
+#: Rows per feed file; at least ``MIN_FILES`` files.
 FILE_ROWS = 200_000
 MIN_FILES = 4
+#: A micro-batch reads so many files by default, or fewer, for at least ``MIN_FILES`` batches.  Every batch rewrites the
+#: rows that wait, so with short batches the work grew with the square of the feed.
+BATCH_FILES = 20
 #: A row comes after at most so many later samples of its series.
 DISORDER = GAP_LIMIT // 2
 
@@ -40,8 +43,8 @@ def _files(df: DataFrame) -> int:
     return max(MIN_FILES, -(-df.count() // FILE_ROWS))
 
 
-def _in_turn(spark: SparkSession, path: str) -> None:
-    """Ascending modification times for the part files, in the order of their partitions."""
+def _store(spark: SparkSession, path: str) -> tuple:
+    """The file system of ``path``, and a function that lists its part files in the order of their partitions."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -49,6 +52,12 @@ def _in_turn(spark: SparkSession, path: str) -> None:
         found = [f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
         return sorted(found, key=lambda f: int(f.getPath().getName().split("-")[1]))
 
+    return fs, parts
+
+
+def _in_turn(spark: SparkSession, path: str) -> None:
+    """Ascending modification times for the part files, in the order of their partitions."""
+    fs, parts = _store(spark, path)
     files = parts()
     last = max((f.getModificationTime() for f in files), default=0) // 1000 * 1000
     for i, f in enumerate(files):
@@ -83,8 +92,10 @@ def write_feed(spark: SparkSession, sf_dir: str, path: str, start_activity: str
     return _write(spark, feed, path, "subject", _files(s))
 
 
-def stream_samples(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """SRC-12: the feed as a stream (fixed schema, one file per micro-batch by default)."""
+def stream_samples(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """SRC-12: the feed as a stream (fixed schema); ``max_files`` per micro-batch, by default up to ``BATCH_FILES``."""
+    if max_files is None:
+        max_files = max(1, min(BATCH_FILES, len(_store(spark, path)[1]()) // MIN_FILES))
     return spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
 
 

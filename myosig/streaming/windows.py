@@ -51,11 +51,14 @@ OUT_SCHEMA = (
     "truth_last double, arrived_last double, n_dropped long, n_missing long"
 )
 _OUT = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
+#: The same for one channel, whose samples come and go as numbers: arrays would be handled row by row.
+ONE_SCHEMA = OUT_SCHEMA.replace("mean_ch array<double>", "mean_x double")
 #: Per number of channels the arrays of all series of a group: next_seq, next_win, buffered and pending rows.
 STATE_SCHEMA = "arrays binary"
 #: Series are dealt by hash into so many groups, fixed for the life of a checkpoint: a call of the
 #: group function costs milliseconds, so its number must not follow the number of series.
 GROUPS = 512
+TASKS_PER_CORE = 4
 _ROWS = ("own", "seq", "x", "t", "a")
 
 
@@ -114,26 +117,32 @@ def _empty(ch: int) -> dict:
 def _with_series(state: dict, new: dict) -> np.ndarray:
     """Add the series seen first, by (known, series) and from their first row's origin; the place of every new row's series."""
     n = len(state["nxt"])
-    keys = np.rec.fromarrays([np.concatenate([state[c], new[c]]) for c in ("known", "series")], names="known,series")
-    own, first, place = np.unique(keys, return_index=True, return_inverse=True)
+    known, series = (np.concatenate([state[c], new[c]]) for c in ("known", "series"))
+    order = np.lexsort((series, known))  # stable: a series' place is that of its first row
+    known, series = known[order], series[order]
+    starts = np.concatenate([[True], (known[1:] != known[:-1]) | (series[1:] != series[:-1])])
+    first, place = order[starts], np.empty(len(order), np.int64)
+    place[order] = np.cumsum(starts) - 1
     held, seen = place[:n], first[first >= n] - n
     if pd.isna(new["origin"][seen]).any():
         raise ValueError("a series declares no origin")
     fresh = np.flatnonzero(first >= n)
 
     def spread(old, values):
-        out = np.empty(len(own), old.dtype)
+        out = np.empty(len(first), old.dtype)
         out[held], out[fresh] = old, values
         return out
 
-    state["known"], state["series"] = own["known"].copy(), own["series"].copy()
+    state["known"], state["series"] = known[starts], series[starts]
     state["nxt"], state["win"] = spread(state["nxt"], new["origin"][seen].astype(np.int64)), spread(state["win"], 0)
     for side in ("buf", "pend"):  # the order of the series held does not change
         state[side] = {**state[side], "own": held[state[side]["own"]]}
     return place[n:]
 
 
-def _window_step(size: int, step: int, gap_limit: int):
+def _window_step(size: int, step: int, gap_limit: int, one: bool = False):
+    """The group function; ``one``: samples are numbers (``ONE_SCHEMA``), not arrays."""
+    names_out = [c.replace("mean_ch", "mean_x") for c in _OUT] if one else _OUT
     if not 0 < step <= size:
         raise ValueError("need 0 < step <= size")
 
@@ -173,17 +182,21 @@ def _window_step(size: int, step: int, gap_limit: int):
         told = np.flatnonzero(lost & (ends >= 0))
         counts["n_dropped"][ends[told]], counts["n_missing"][ends[told]] = dropped[told], missing[told]
         names = pd.Series(state["series"]).where(pd.Series(state["known"]), None).astype("Int64")
-        frame = {**out, **counts, "mean_ch": list(out["mean_ch"])}
-        yield pd.DataFrame({"series": names.to_numpy()[own] if count else names.iloc[:0], **{c: frame[c] for c in _OUT[1:]}}).astype({"series": "Int64"})
+        frame = {**out, **counts, **({"mean_x": out["mean_ch"][:, 0]} if one else {"mean_ch": list(out["mean_ch"])})}
+        yield pd.DataFrame({"series": names.take(own).array, **{c: frame[c] for c in names_out[1:]}})
         silent = np.flatnonzero(lost & (ends < 0))
         if len(silent):
             rows = [(names[i], -1, -1, -1, None, None, None, None, None, dropped[i], missing[i]) for i in silent.tolist()]
-            yield pd.DataFrame(rows, columns=_OUT).astype({"series": "Int64"})
+            yield pd.DataFrame(rows, columns=names_out).astype({"series": "Int64"})
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         states = pickle.loads(state.get[0]) if state.exists else {}
         frames = [p for p in pdfs if len(p)]
         frame = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        if one:
+            yield from of_channels(states.setdefault(1, _empty(1)), _new_rows(frame, frame["x"].to_numpy(dtype="float64")[:, None]))
+            state.update((pickle.dumps(states, protocol=5),))
+            return
         xs = [np.asarray(v, dtype="float64") for v in frame["x"]]
         widths = np.array([len(v) for v in xs])
         for ch in np.unique(widths).tolist():
@@ -200,31 +213,35 @@ def _window_step(size: int, step: int, gap_limit: int):
     return fn
 
 
-def stream_block_windows(
-    sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t",
+def _stream(
+    sdf: DataFrame, size: int, step: int, series: str, seq: str, x: str, truth: str, one: bool,
     origin: int | str = 0, arrived: str | None = None, gap_limit: int = GAP_LIMIT,
 ) -> DataFrame:
-    """STR-01/02/03/05 for multi-channel samples (``x`` is an array per sample, e.g. an electrode grid):
-    per window MAV and RMS over all samples and channels, the mean of every channel, the truth
-    and arrival time (epoch seconds) at its last sample.
-
-    ``origin``: a series' first sequence number, or the column that declares it.
-    Rows with ``window_id = -1`` only report dropped duplicates or samples given up.
-    """
     s = sdf.select(
-        F.coalesce(F.col(series).cast("long"), F.lit(0)).alias("series"), F.col(series).isNotNull().alias("known"), F.col(seq).cast("long").alias("seq"), F.col(x).cast("array<double>").alias("x"), F.col(truth).cast("double").alias("t"),
+        F.coalesce(F.col(series).cast("long"), F.lit(0)).alias("series"), F.col(series).isNotNull().alias("known"), F.col(seq).cast("long").alias("seq"), F.col(x).cast("double" if one else "array<double>").alias("x"), F.col(truth).cast("double").alias("t"),
         (F.col(origin) if isinstance(origin, str) else F.lit(origin)).cast("long").alias("origin"),
         (F.unix_micros(F.col(arrived).cast("timestamp")) / 1e6 if arrived else F.lit(None)).cast("double").alias("arrived"),
     )
     return s.withColumn("_group", F.pmod(F.xxhash64("series", "known"), F.lit(GROUPS))).groupBy("_group").applyInPandasWithState(
-        _window_step(size, step, gap_limit), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        _window_step(size, step, gap_limit, one), ONE_SCHEMA if one else OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
+def stream_block_windows(sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t", **kw) -> DataFrame:
+    """STR-01/02/03/05 for multi-channel samples (``x`` is an array per sample, e.g. an electrode grid):
+    per window MAV and RMS over all samples and channels, the mean of every channel, the truth
+    and arrival time (epoch seconds, of the column ``arrived``) at its last sample.
+
+    ``origin`` (default 0): a series' first sequence number, or the column that declares it.
+    ``gap_limit``: rows that may wait for a missing sample of their series.
+    Rows with ``window_id = -1`` only report dropped duplicates or samples given up.
+    """
+    return _stream(sdf, size, step, series, seq, x, truth, False, **kw)
+
+
 def stream_windows(sdf: DataFrame, size: int, step: int, series: str = "series", seq: str = "seq", x: str = "x", truth: str = "t", **kw) -> DataFrame:
     """The same for one channel (``x`` a number): ``mean_x`` instead of ``mean_ch``."""
-    w = stream_block_windows(sdf.withColumn(x, F.array(F.col(x).cast("double"))), size, step, series, seq, x, truth, **kw)
-    return w.select(*[F.col("mean_ch")[0].alias("mean_x") if c == "mean_ch" else F.col(c) for c in w.columns])
+    return _stream(sdf, size, step, series, seq, x, truth, True, **kw)
 
 
 def add_latency(df: DataFrame) -> DataFrame:
@@ -235,8 +252,9 @@ def add_latency(df: DataFrame) -> DataFrame:
 
 def state_partitions(spark: SparkSession) -> int:
     """Stateful shuffles are not coalesced by AQE and their partition count is fixed for the
-    life of the checkpoint: the session's shuffle partitions, which the user sizes to the data."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    life of the checkpoint: the session's shuffle partitions, which the user sizes to the data,
+    but at most ``TASKS_PER_CORE`` a core: every one commits a state store in every micro-batch."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def run_to_table(

@@ -88,3 +88,51 @@ def test_state_and_calls_do_not_follow_the_number_of_series(spark):
     got = {(r.series, r.window_id): r.mean_x for r in sw.complete_windows(spark, path).collect()}
     assert got == {(None if s == 7 else s, w): s + n * (4 * w + 3.5) for s in range(n) for w in range(2)}
     assert spark.read.format("statestore").load(os.path.join(base, "w", "checkpoint")).count() <= sw.GROUPS
+
+
+def test_samples_as_numbers_give_the_windows_of_arrays_of_one():
+    """Numbers and arrays of one number: the same windows, losses and state."""
+    rng, held = np.random.default_rng(4), (Held(), Held())
+    fns = sw._window_step(4, 2, 6), sw._window_step(4, 2, 6, True)
+    for b in range(4):
+        seq = rng.permutation(np.concatenate([np.arange(b * 9, b * 9 + 14)] * 5))  # some come again
+        s = rng.choice([-3, 0, 0, 5, 8], len(seq))
+        known = rng.random(len(seq)) > 0.2
+        x = np.where(rng.random(len(seq)) > 0.1, rng.normal(size=len(seq)), np.nan)
+        frame = pd.DataFrame({"series": np.where(known, s, 0), "known": known, "seq": seq, "x": x, "t": seq / 2, "origin": b * 9, "arrived": 1.0})
+        arrays = frame.assign(x=[[v] for v in x])
+        want = [p.assign(mean_x=[m if m is None else m[0] for m in p["mean_ch"]]) for p in fns[0]((0,), iter([arrays]), held[0])]
+        got = list(fns[1]((0,), iter([frame]), held[1]))
+        assert len(got) == len(want) and sum(map(len, got))
+        for g, w in zip(got, want):
+            assert list(g.columns) == [c.replace("mean_ch", "mean_x") for c in sw._OUT]
+            pd.testing.assert_frame_equal(g, w[list(g.columns)], check_dtype=False)
+    assert held[0].get == held[1].get
+
+
+def test_batches_and_state_stores_do_not_follow_the_feed(spark, monkeypatch):
+    """Many files are read in few micro-batches, and state stores follow the cores, not the shuffle partitions."""
+    from myosig import adapters
+    from myosig.streaming import feed as fd
+
+    n, each = 60, 40
+    sig = spark.range(n * each).selectExpr(
+        "id AS event_id", "timestamp_seconds(id) AS ts", f"CAST(id % {n} AS BIGINT) AS subject", "'walk' AS activity", "1 AS reps", "CAST(0 AS DOUBLE) AS gait", "CAST(id AS DOUBLE) AS x"
+    )
+    monkeypatch.setattr(adapters, "signal", lambda spark, sf_dir: sig)
+    monkeypatch.setattr(fd, "FILE_ROWS", 40)
+    base = fd.scratch_folder(spark, "test_batches")
+    parts, before = 4 * spark.sparkContext.defaultParallelism + 7, spark.conf.get("spark.sql.shuffle.partitions")
+    path = fd.write_feed(spark, "", os.path.join(base, "feed"))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        out = sw.run_to_table(spark, sw.stream_windows(fd.stream_samples(spark, path), 8, 4, series="subject", truth="gait"), "w", base)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    got = {(r.series, r.window_id): r.mean_x for r in sw.complete_windows(spark, out).collect()}
+    assert got == {(s, w): s + n * (4 * w + 3.5) for s in range(n) for w in range(each // 4 - 1)}
+    ckpt = os.path.join(base, "w", "checkpoint")
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    batches = [f for f in os.listdir(os.path.join(ckpt, "commits")) if f.isdigit()]
+    assert len(files) > 50 and fd.MIN_FILES <= len(batches) <= -(-len(files) // min(fd.BATCH_FILES, len(files) // fd.MIN_FILES))
+    assert spark.read.format("state-metadata").load(ckpt).first()["numPartitions"] < parts
