@@ -58,6 +58,7 @@ STATE_SCHEMA = "arrays binary"
 #: Series are dealt by hash into so many groups, fixed for the life of a checkpoint: a call of the
 #: group function costs milliseconds, so its number must not follow the number of series.
 GROUPS = 512
+#: State stores per core at most.
 TASKS_PER_CORE = 4
 _ROWS = ("own", "seq", "x", "t", "a")
 
